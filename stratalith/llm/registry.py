@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import url_reputation
+from . import histogram_shards, license_scan, packing, secret_scan, url_reputation
 
-MODULES = (url_reputation,)
+MODULES = (url_reputation, packing, license_scan, secret_scan, histogram_shards)
 
 
 def queries() -> dict:
