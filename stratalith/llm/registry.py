@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import histogram_shards, license_scan, packing, secret_scan, url_reputation
+from . import embedding_dedup, histogram_shards, license_scan, packing, secret_scan, simhash, toxicity, url_reputation
 
-MODULES = (url_reputation, packing, license_scan, secret_scan, histogram_shards)
+MODULES = (url_reputation, packing, license_scan, secret_scan, simhash, embedding_dedup, toxicity, histogram_shards)
 
 
 def queries() -> dict:
