@@ -2,9 +2,31 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, histogram_shards, license_scan, packing, secret_scan, simhash, toxicity, url_reputation
+from . import (
+    decontamination,
+    embedding_dedup,
+    histogram_shards,
+    license_scan,
+    packing,
+    pii,
+    secret_scan,
+    simhash,
+    toxicity,
+    url_reputation,
+)
 
-MODULES = (url_reputation, packing, license_scan, secret_scan, simhash, embedding_dedup, toxicity, histogram_shards)
+MODULES = (
+    url_reputation,
+    packing,
+    license_scan,
+    secret_scan,
+    decontamination,
+    simhash,
+    embedding_dedup,
+    toxicity,
+    histogram_shards,
+    pii,
+)
 
 
 def queries() -> dict:
