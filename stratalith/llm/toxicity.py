@@ -42,7 +42,7 @@ from .common import arrow_type, table
 ORDER, DECAY, WORD = 3, 0.6, 24
 LETTERS = 40
 START, END = "^", "$"
-TRAIN_ROWS, LANDMARKS, ROUNDS, WITNESSES = 8_000, 240, 3, 3
+TRAIN_ROWS, LANDMARKS, NEGATIVES, ROUNDS, WITNESSES = 6_000, 240, 60_000, 3, 3
 #: Least log ratio of a word's shares of toxic and of clean documents to be put forward.
 LEAST_ODDS = 2.0
 THRESHOLD = 0.7
@@ -183,14 +183,19 @@ def document_features(found: list[list[float]]) -> list[float]:
 
 def fit_machine(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, penalty: float = 0.2) -> np.ndarray:
     """Squared-hinge support vector machine by Newton steps; the last column is the bias."""
-    x = np.hstack([features, np.ones((len(features), 1))]).astype(np.float64)
-    w = np.zeros(x.shape[1])
-    ridge = penalty * np.eye(x.shape[1])
+    n, m = len(features), features.shape[1] + 1
+    w, ridge = np.zeros(m), penalty * np.eye(m)
     ridge[-1, -1] = 1e-3
     for _ in range(25):
-        inside = sign * (x @ w) < 1
-        a, b, c = x[inside], sign[inside], weight[inside]
-        new = np.linalg.solve(ridge + (a * c[:, None]).T @ a, (a * (c * b)[:, None]).sum(axis=0))
+        left, right = ridge.copy(), np.zeros(m)
+        for lo in range(0, n, 8192):
+            x = np.hstack([features[lo : lo + 8192], np.ones((min(8192, n - lo), 1))]).astype(np.float64)
+            b, c = sign[lo : lo + 8192], weight[lo : lo + 8192]
+            inside = b * (x @ w) < 1
+            a, b, c = x[inside], b[inside], c[inside]
+            left += (a * c[:, None]).T @ a
+            right += (a * (c * b)[:, None]).sum(axis=0)
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-6:
             break
         w = new
@@ -215,8 +220,10 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
     y = np.array(labels)
     if len(texts) < 2 or y.min() == y.max():
         return None
-    parts = [sentences(t) for t in texts]
-    own = [sorted({read_as_letters(w) for s in p for w in s if len(w) >= ORDER}) for p in parts]
+    once: dict[str, str] = {}  # each different word is held once
+    parts = [[[once.setdefault(w, w) for w in s] for s in sentences(t)] for t in texts]
+    read = {w: read_as_letters(w) for w in once if len(w) >= ORDER}
+    own = [sorted({read[w] for s in p for w in s if w in read}) for p in parts]
     # two thirds teach the machine, the rest the curve
     teach = np.array([zlib.crc32(t.encode()) % 3 != 0 for t in texts])
     if len(set(y[teach].tolist())) < 2 or len(set(y[~teach].tolist())) < 2:
@@ -241,8 +248,10 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
     values, vectors = np.linalg.eigh((columns.T @ columns).astype(np.float64))
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
     features = columns @ whiten.astype(np.float32)
-    # all different clean words are many: those of one document are drawn by hash, those of more stay
-    negatives = [w for w, n in clean.items() if n > 1 or zlib.crc32(w.encode()) % 4 == 0]
+    del columns
+    # different clean words are many: the most common ones, and as many drawn by hash
+    drawn = sorted(common[NEGATIVES // 2 :], key=lambda w: (zlib.crc32(w.encode()), w))
+    negatives = [w for w in clean if w in put_forward] + common[: NEGATIVES // 2] + drawn[: NEGATIVES // 2]
     x_clean = kernel_sums(negatives, features)
     c_clean = np.array([clean[w] for w in negatives], float) ** 0.75
     w = None
