@@ -479,6 +479,41 @@ def find_pii(docs: DataFrame, net: Network | None, *, id_col: str = "doc_id", te
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def redact(docs: DataFrame, net: Network | None, *, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The documents with every find replaced by its kind in angle brackets, and ``length_col`` (if there is
+    one) set to the new length of texts that changed. Finds that overlap are replaced as one."""
+    sent = docs.sparkSession.sparkContext.broadcast(net)
+    at = docs.columns.index(text_col)
+    length_at = docs.columns.index(length_col) if length_col in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            lengths = batch.column(length_at).to_pylist() if length_at is not None else None
+            found = find_all([(t or "").encode() for t in texts], sent.value)
+            for i, spans in enumerate(found):
+                if spans:
+                    texts[i] = redacted(texts[i], spans)
+                    if lengths is not None:
+                        lengths[i] = len(texts[i])
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, columns[at].type)
+            if lengths is not None:
+                columns[length_at] = pa.array(lengths, columns[length_at].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def redacted(text: str, spans: list[tuple[int, int, int, bool]]) -> str:
+    out, last = "", 0
+    for a, k, b, _ in spans:
+        if a >= last:
+            out += f"{text[last:a]}<{KINDS[k].upper()}>"
+        last = max(last, b)
+    return out + text[last:]
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_pii(docs, train_network(docs))

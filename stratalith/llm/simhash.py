@@ -32,7 +32,7 @@ from .common import LOWER_ASCII, arrow_type, connected_components, map_arrow, ma
 
 SEED, SHINGLE, RADIUS, BLOCKS = 42, 3, 3, 2
 #: Classes in the sample that steers the cut, classes that a shard should hold, classes that a leaf compares at once.
-SAMPLE, SHARD_CLASSES, LEAF = 20_000, 8_000, 256
+SAMPLE, SHARD_CLASSES, LEAF = 20_000, 32_000, 256
 
 
 def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
@@ -237,6 +237,7 @@ def near_links(
         seen = np.array([r["fps"][column] for r in sample], np.int64).view(np.uint64)
         trees += [(column, k, m, grow(seen, np.uint64(m), part_radius, most, rng)) for k, m in enumerate(parts)]
     sent = spark.sparkContext.broadcast(trees)
+    sketch = sketch_from
     placed_schema = "tree int, leaf int, rep long, fps array<long>"
     placed_arrow = arrow_type(placed_schema)
 
@@ -245,30 +246,36 @@ def near_links(
             if not batch.num_rows:
                 continue
             width = len(batch.column(1)[0])
-            fps = batch.column(1).flatten().to_numpy().reshape(-1, width).view(np.uint64)
+            fps = batch.column(1).flatten().to_numpy().reshape(-1, width)
             for t, (column, _, mask, tree) in enumerate(sent.value):
-                for leaf, at in route(np.ascontiguousarray(fps[:, column]), tree, np.uint64(mask), part_radius):
-                    part = batch.take(pa.array(at))
+                # the tree's own fingerprint and the sketch are all that its shards need
+                carried = np.hstack([fps[:, [column]], fps[:, width if sketch is None else sketch :]])
+                for leaf, at in route(np.ascontiguousarray(fps[:, column]).view(np.uint64), tree, np.uint64(mask), part_radius):
+                    own = carried[at]
+                    offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * own.shape[1])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), v, np.int32)) for v in (t, leaf)] + [c.cast(f.type) for c, f in zip(part.columns, list(placed_arrow)[2:], strict=True)],
+                        [
+                            *(pa.array(np.full(len(at), v, np.int32)) for v in (t, leaf)),
+                            batch.column(0).take(pa.array(at)),
+                            pa.ListArray.from_arrays(offsets, pa.array(own.ravel())).cast(placed_arrow.field(3).type),
+                        ],
                         schema=placed_arrow,
                     )
 
     out = arrow_type("a long, b long")
-    sketch = sketch_from
 
     def compare(shard: pa.Table) -> pa.Table:
-        column, _, mask, _ = sent.value[shard.column("tree")[0].as_py()]
+        mask = sent.value[shard.column("tree")[0].as_py()][2]
         reps = shard.column("rep").to_numpy()
         flat = shard.column("fps").combine_chunks()
         flat = flat.flatten().to_numpy().reshape(len(reps), -1).view(np.uint64)
-        own = np.ascontiguousarray(flat[:, column])
+        own = np.ascontiguousarray(flat[:, 0])
 
         def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             near = np.bitwise_count(own[a][:, None] ^ own[b][None, :]) <= radius
             if sketch is not None and near.any():
                 x, y = np.nonzero(near)
-                differ = np.bitwise_count(flat[a[x], sketch:] ^ flat[b[y], sketch:]).sum(axis=1, dtype=np.int32)
+                differ = np.bitwise_count(flat[a[x], 1:] ^ flat[b[y], 1:]).sum(axis=1, dtype=np.int32)
                 near[x, y] = differ <= sketch_radius
             return near
 

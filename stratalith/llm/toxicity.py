@@ -281,6 +281,24 @@ def sentence_margins(model: Model, parts: list[list[list[str]]], known: dict[str
         yield [[known[w] for w in s] for s in p]
 
 
+def scores(model: Model | None, texts: pa.Array, known: dict[str, float]) -> list[float]:
+    """Score of each text of a batch, some megabytes of text at a time."""
+    if model is None:
+        return [0.0] * len(texts)
+    out: list[float] = []
+    at = 0
+    while at < len(texts):
+        part, size = [], 0
+        while at < len(texts) and size < 1 << 20:
+            text = texts[at].as_py()
+            part.append(sentences(text))
+            size += len(text or "")
+            at += 1
+        x = np.array([document_features(f) for f in sentence_margins(model, part, known)])
+        out += (1 / (1 + np.exp(-np.clip(x @ model.curve[:-1] + model.curve[-1], -30, 30)))).tolist()
+    return out
+
+
 def score_toxicity(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and score of each document."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -290,27 +308,26 @@ def score_toxicity(docs: DataFrame, model: Model | None, *, id_col: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
-            texts, scores, at = batch.column(1), [], 0
-            while at < len(texts):
-                upto, size = at, 0
-                part = []
-                while upto < len(texts) and size < 1 << 20:
-                    text = texts[upto].as_py()
-                    part.append(sentences(text))
-                    size += len(text or "")
-                    upto += 1
-                at = upto
-                if sent.value is None:
-                    scores += [0.0] * len(part)
-                    continue
-                x = np.array([document_features(f) for f in sentence_margins(sent.value, part, known)])
-                line = x @ sent.value.curve[:-1] + sent.value.curve[-1]
-                scores += (1 / (1 + np.exp(-np.clip(line, -30, 30)))).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], schema=arrow)
+            found = scores(sent.value, batch.column(1), known)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], schema=arrow)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def drop_toxic(docs: DataFrame, model: Model | None, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with a score below the threshold, all columns as they are."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, float] = {}
+        for batch in batches:
+            found = scores(sent.value, batch.column(at), known)
+            yield batch.filter(pa.array([s < threshold for s in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
