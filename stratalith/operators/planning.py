@@ -46,7 +46,10 @@ def balance_histogram(histogram: dict[int, int], bins: int) -> dict[int, list[in
     loads = [(0, b) for b in range(bins)]
     out: dict[int, list[int]] = {}
     for size in sorted(histogram, reverse=True):
-        whole, left = divmod(histogram[size], bins) if histogram[size] > 4 * bins else (0, histogram[size])
+        # what would level the bins goes one by one, the rest of a large count to all alike
+        spread = max(loads)[0] - min(loads)[0]
+        whole = max(0, histogram[size] // bins - spread // size - 1)
+        left = histogram[size] - whole * bins
         dealt = [whole] * bins
         loads = [(load + whole * size, b) for load, b in loads]
         heapq.heapify(loads)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import layers, runs
+from . import layers, runs, series
 
-MODULES = (layers, runs)
+MODULES = (layers, runs, series)
 
 
 def queries() -> dict:
