@@ -76,3 +76,41 @@ def expand_families(signatures: DataFrame, *, name: str, params: str) -> DataFra
     longer = signatures.select(name, F.col(params).alias("longer"))
     both = short.join(longer, name).where((F.size("longer") > F.col("n")) & (F.slice("longer", F.lit(1), F.col("n")) == F.col("short")))
     return both.select(name, "short", "longer")
+
+
+def call_shapes(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
+    """(keys, name, arity, kinds, n_calls) of calls without calls in their arguments: the kind of each argument is
+    string, number, bool, none, keyword or name."""
+    calls = docs.select(*keys, F.explode(F.expr(rf"regexp_extract_all({text}, r'([A-Za-z_][A-Za-z0-9_.]*[(][^()]*[)])', 1)")).alias("call"))
+    name = F.regexp_extract("call", "^([^(]*)", 1)
+    inner = F.trim(F.regexp_extract("call", "[(]([^()]*)[)]$", 1))
+
+    def kind(argument: Column) -> Column:
+        a = F.trim(argument)
+        return (
+            F.when(a.rlike("^[A-Za-z_][A-Za-z0-9_]*\\s*=[^=]"), "keyword")
+            .when(a.rlike("^['\"]"), "string")
+            .when(a.rlike("^[+-]?[0-9]"), "number")
+            .when(a.isin("True", "False"), "bool")
+            .when(a == "None", "none")
+            .otherwise("name")
+        )
+
+    kinds = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(inner, ","), kind))
+    shapes = calls.select(*keys, name.alias("name"), F.size(kinds).cast("long").alias("arity"), F.array_join(kinds, ",").alias("kinds"))
+    return shapes.groupBy(*keys, "name", "arity", "kinds").agg(F.count("*").alias("n_calls"))
+
+
+def import_names(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
+    """(keys, module, alias) of plain imports, one line each."""
+    found = F.explode(F.expr(rf"regexp_extract_all({text}, r'(?m)^(\s*import\s+[A-Za-z_][A-Za-z0-9_.]*(?:\s+as\s+[A-Za-z_][A-Za-z0-9_]*)?)', 1)"))
+    lines = docs.select(*keys, found.alias("line"))
+    module = F.regexp_extract("line", "import\\s+([A-Za-z0-9_.]+)", 1)
+    alias = F.regexp_extract("line", "as\\s+([A-Za-z0-9_]+)$", 1)
+    return lines.select(*keys, module.alias("module"), F.when(alias != "", alias).otherwise(module).alias("alias")).distinct()
+
+
+def match_names(rows: DataFrame, names: DataFrame, *, row: str, name: str) -> DataFrame:
+    """Rows whose text is a name, or begins with it and a space and a slash: the part before `` /`` is joined."""
+    own = rows.withColumn("_head", F.regexp_extract(row, "^(.*?)(?: /.*)?$", 1))
+    return own.join(names.select(F.col(name).alias("_head")), "_head").select(*rows.columns, F.col("_head").alias("matched_name"))

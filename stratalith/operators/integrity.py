@@ -147,3 +147,21 @@ def keep_first(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
     best = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(order)).alias("_row"))
     return best.select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest)).select(*rows.columns)
+
+
+def limit_violations(rows: DataFrame, *, keys: list[str], limits: dict[str, tuple[Column, int]]) -> DataFrame:
+    """(keys, error_code) for groups where an aggregate passes its limit; ``limits``: code to (aggregate, limit)."""
+    sums = rows.groupBy(*keys).agg(*(a.alias(code) for code, (a, _) in limits.items()))
+    return violations(sums, keys, {code: F.col(code) <= most for code, (_, most) in limits.items()})
+
+
+def total_join(rows: DataFrame, known: DataFrame, on: list[str], what: str) -> DataFrame:
+    """An inner join in which every row must have a partner; reading one without raises."""
+    marked = rows.join(known.withColumn("_known", F.lit(True)), on, "left")
+    return marked.where(F.assert_true(F.col("_known").isNotNull(), F.lit(f"no match: {what}")).isNull()).drop("_known")
+
+
+def same_ids(left: DataFrame, right: DataFrame, *, key: str, order: str, item: str) -> DataFrame:
+    """Keys whose ordered items differ between two sides, found place by place."""
+    both = left.select(key, order, F.col(item).alias("one")).join(right.select(key, order, F.col(item).alias("other")), [key, order], "full")
+    return both.where(~F.col("one").eqNullSafe(F.col("other"))).groupBy(key).agg(F.count("*").alias("n_differ"), F.min(order).alias("first_place"))

@@ -104,3 +104,14 @@ def resume_decision(previous: DataFrame, current: DataFrame, *, key: str, fields
         valid = F.when(present, F.col(c) == F.col(f"was_{c}")).otherwise(valid)
     decision = F.when(F.col("known") & same & valid, "resume").otherwise("restart")
     return both.select(*current.columns, decision.alias("decision"))
+
+
+def top_per_group(rows: DataFrame, *, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of each key in an order; Spark keeps n rows a key before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("place", place).where(F.col("place") <= n)
+
+
+def preferred_or_first(rows: DataFrame, *, preferred: Column, order: list[str]) -> DataFrame:
+    """One row: a preferred one if there is any, else the first in an order."""
+    return rows.orderBy(F.desc(F.coalesce(preferred, F.lit(False))), *order).limit(1)

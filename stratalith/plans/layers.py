@@ -130,12 +130,34 @@ def set_difference(spark, sf_dir):
     return integrity.set_difference(customers, suppliers, "nation")
 
 
+def limit_violations(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    limits = {
+        "too-many-lines": (F.count("*"), 6),
+        "too-much-quantity": (F.sum(F.round("l_quantity").cast("long")), 150),
+        "too-many-suppliers": (F.count_distinct("l_suppkey"), 6),
+    }
+    return integrity.limit_violations(lines, keys=["l_orderkey"], limits=limits)
+
+
+def total_join(spark, sf_dir):
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    known = customers.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return integrity.total_join(orders.select("o_orderkey", "o_custkey"), known, ["o_custkey"], "customer")
+
+
+def same_ids(spark, sf_dir):
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role").distinct()
+    expected = talks.select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, "user").otherwise("assistant").alias("role")).distinct()
+    return integrity.same_ids(talks, expected, key="conv_id", order="turn", item="role")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         overlay_winner, overlay_layers, conflict_manifest, index_stats, case_collisions, manifest_size_audit, manifest_presence_audit,
         reference_anti, order_violations, totals_check, unique_key_violations, signature_consistency, split_contiguity, split_assembly,
-        digest_chain, canonical_digest, invariant_violations, set_difference,
+        digest_chain, canonical_digest, invariant_violations, set_difference, limit_violations, total_join, same_ids,
     )
 }
 
@@ -185,4 +207,10 @@ SQL = {
       s AS (SELECT DISTINCT s_nationkey AS nation FROM supplier WHERE s_nationkey % 4 <> 2)
       SELECT nation, 'missing' AS state FROM c WHERE nation NOT IN (SELECT nation FROM s)
       UNION ALL SELECT nation, 'unmanifested' FROM s WHERE nation NOT IN (SELECT nation FROM c)""",
+    "limit_violations": """SELECT l_orderkey, error_code FROM (SELECT l_orderkey, unnest([CASE WHEN n > 6 THEN 'too-many-lines' END, CASE WHEN q > 150 THEN 'too-much-quantity' END,
+      CASE WHEN s > 6 THEN 'too-many-suppliers' END]) AS error_code FROM (SELECT l_orderkey, count(*) AS n, sum(round(l_quantity)::BIGINT) AS q, count(DISTINCT l_suppkey) AS s
+      FROM lineitem GROUP BY 1)) WHERE error_code IS NOT NULL""",
+    "total_join": "SELECT o_custkey, o_orderkey, c_nationkey FROM orders JOIN customer ON c_custkey = o_custkey",
+    "same_ids": """WITH t AS (SELECT DISTINCT conv_id, turn, role FROM conversations), e AS (SELECT DISTINCT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'user' ELSE 'assistant' END AS role FROM t)
+      SELECT t.conv_id, count(*) AS n_differ, min(t.turn) AS first_place FROM t JOIN e ON e.conv_id = t.conv_id AND e.turn = t.turn WHERE t.role <> e.role GROUP BY 1""",
 }

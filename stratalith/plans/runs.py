@@ -138,12 +138,26 @@ def format_bytes_duration(spark, sf_dir):
     )
 
 
+def top_per_group(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_suppkey", "l_shipdate")
+    order = [F.desc("l_extendedprice"), *(F.asc(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"))]
+    return planning.top_per_group(lines, keys=["l_orderkey"], order=order, n=3).drop("l_shipdate")
+
+
+def with_missing(spark, sf_dir):
+    from ..operators.stages import with_missing as fill
+
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    open_ = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderstatus").alias("state"))
+    return fill(customers, open_, on="c_custkey", state="state")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         stage_stats_download, stage_stats_pivot, run_rollup, counter_rates, disk_estimate, history_latest, retry_schedule, processing_result,
         ledger_cost, posting_conflicts, release_counts, plan_branch, version_chain, chain_status, last_transition, chunk_assign, lpt_balance,
-        format_bytes_duration,
+        format_bytes_duration, top_per_group, with_missing,
     )
 }
 
@@ -217,4 +231,7 @@ SQL = {
       WHEN n_chars * 17 >= 60 THEN (n_chars * 17 // 60)::VARCHAR || 'm ' || {_TWO.format('(n_chars * 17 % 60)')} || 's'
       ELSE (n_chars * 17)::VARCHAR || 's' END AS duration_text,
       '€' || (n_chars // 100)::VARCHAR || '.' || {_TWO.format('(n_chars % 100)')} AS money_text FROM documents""",
+    "top_per_group": """SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_suppkey, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+      ORDER BY l_extendedprice DESC, l_linenumber, l_partkey, l_suppkey, l_shipdate) AS place FROM lineitem) WHERE place <= 3""",
+    "with_missing": """SELECT c_custkey, coalesce(max(o_orderstatus), 'pending') AS state FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1""",
 }

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalith.functions import canon, formats, paths
-from stratalith.operators import convert, evidence, graph, history, integrity, monitor, overlay, planning, stats
+from stratalith.operators import convert, evidence, graph, history, integrity, monitor, overlay, planning, stages, stats
 
 
 def rows(df, *columns):
@@ -246,3 +246,63 @@ def test_conversions(spark):
     assert one(spark, "# only\nreturn", "string", convert.strip_decompiler_marks) == "pass\n"
     assert one(spark, "Unsupported opcode: X", "string", convert.has_failure_mark) is True
     assert one(spark, "a\r\nb\rc\n", "string", formats.normalize_newlines) == "a\nb\nc\n"
+
+
+def test_stages_are_kept_and_checked(spark, tmp_path):
+    calls = []
+
+    def double(t):
+        calls.append(1)
+        return t.select((F.col("id") * 2).alias("id"))
+
+    steps = [stages.Stage("double", 1, double, key=("id",), checks={"odd": F.col("id") % 2 == 0}), stages.Stage("half", 1, lambda t: t.where("id > 2"), {"least": 2})]
+    first, report = stages.run_stages(spark, str(tmp_path), spark.range(4), "v1", steps)
+    assert rows(first, "id") == [(4,), (6,)] and [r["reused"] for r in report] == [False, False]
+    assert [r["reused"] for r in stages.run_stages(spark, str(tmp_path), spark.range(4), "v1", steps)[1]] == [True, True]
+    assert [r["reused"] for r in stages.run_stages(spark, str(tmp_path), spark.range(4), "v2", steps)[1]] == [False, False]
+    assert len(calls) == 2
+    bad = [stages.Stage("bad", 1, lambda t: t, key=("id",), checks={"odd": F.col("id") % 2 == 0})]
+    with pytest.raises(ValueError, match="bad"):
+        stages.run_stages(spark, str(tmp_path), spark.range(4), "v1", bad)
+
+
+def test_stage_states(spark):
+    data = [("r", "a", "succeeded", "t", "t", "d", None), ("r", "b", "running", "t", None, None, None), ("s", "a", "failed", "t", "t", "d", None), ("s", "b", "odd", None, None, None, None)]
+    table = spark.createDataFrame(data, "run string, stage string, state string, started_at string, finished_at string, result_digest string, error string")
+    found = rows(stages.state_violations(table, ["run", "stage"]), "run", "stage", "error_code")
+    assert found == [("s", "a", "failed-with-result_digest"), ("s", "a", "failed-without-error"), ("s", "b", "unknown-state")]
+    none = spark.createDataFrame([], "run string")
+    assert rows(stages.interrupt_stale(table, none, "run").where("stage = 'b'"), "state") == [("interrupted",), ("odd",)]
+
+
+def test_fixpoint(spark):
+    least = lambda t: t.select(F.least(F.col("id") + 1, F.lit(5)).alias("id"))
+    found, rounds = stages.until_stable(spark.range(3), least, most=9)
+    assert rows(found, "id") == [(5,)] * 3 and rounds == 5
+    with pytest.raises(RuntimeError):
+        stages.until_stable(spark.range(3), lambda t: t.select((F.col("id") + 1).alias("id")), most=2)
+
+
+def test_total_join_raises(spark):
+    a, b = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1, "x")], "k int, v string")
+    with pytest.raises(Exception, match="no match: k"):
+        integrity.total_join(a, b, ["k"], "k").collect()
+    assert rows(integrity.total_join(a.where("k = 1"), b, ["k"], "k"), "v") == [("x",)]
+
+
+def test_source_usage(spark):
+    text = "import game.player as p\nimport time\np.callback(1.5, None)\nplayer()\np.callback(2, x=3)\nf('a', True)\n"
+    docs = spark.createDataFrame([("f.py", text)], "path string, text string")
+    assert rows(evidence.import_names(docs, keys=["path"], text="text"), "module", "alias") == [("game.player", "p"), ("time", "time")]
+    found = rows(evidence.call_shapes(docs, keys=["path"], text="text"), "name", "arity", "kinds", "n_calls")
+    assert found == [("f", 2, "string,bool", 1), ("p.callback", 2, "number,keyword", 1), ("p.callback", 2, "number,none", 1), ("player", 0, "", 1)]
+    jobs = spark.createDataFrame([("build",), ("build / x",), ("builder",), ("test / build",)], "job string")
+    names = spark.createDataFrame([("build",)], "name string")
+    assert rows(evidence.match_names(jobs, names, row="job", name="name"), "job") == [("build / x",), ("build",)]
+
+
+def test_preferred(spark):
+    data = spark.createDataFrame([("a", 5), ("b", 9), ("c", 9)], "name string, size int")
+    assert planning.preferred_or_first(data, preferred=F.col("name") == "a", order=["size"]).first().name == "a"
+    largest = data.withColumn("less", -F.col("size"))
+    assert planning.preferred_or_first(largest, preferred=F.lit(False), order=["less", "name"]).first().name == "b"
