@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import file_suffix
 
-#: Beginnings of binary formats, in hex.
+#: Beginnings of binary formats, in hex.
 MAGIC = {"zip": "504B0304", "seven-zip": "377ABCAF271C", "packed-xml": "454EA162", "gettext": "DE120495", "pe": "4D5A"}
 
 

@@ -27,13 +27,17 @@ def retry_cycles(runs: DataFrame, *, target: str, time: str, success: Column, fa
     return open_.groupBy(target).agg(F.min(time).alias("first_failed"), F.max(time).alias("last_failed"), F.count("*").alias("n_failures"))
 
 
-def next_retry(first: Column, last: Column) -> Column:
-    """When to retry: cycles under 3 days half a day after the last failure, under 10 a day, else 7 days.
+#: A retry waits so many seconds while its cycle is younger than so many; older ones wait a week.
+RETRY_WAITS = ((3 * 86400, 12 * 3600), (10 * 86400, 86400))
+LONGEST_WAIT = 7 * 86400
 
-    Times in whole seconds.
-    """
-    age = last - first
-    return last + F.when(age < 3 * 86400, 12 * 3600).when(age < 10 * 86400, 86400).otherwise(7 * 86400)
+
+def next_retry(first: Column, last: Column) -> Column:
+    """When to retry, by the age of the cycle from its first to its last failure; in whole seconds."""
+    wait = F.lit(LONGEST_WAIT)
+    for age, seconds in reversed(RETRY_WAITS):
+        wait = F.when(last - first < age, seconds).otherwise(wait)
+    return last + wait
 
 
 def is_blocked(now: Column, due: Column, release: Column, failed_release: Column) -> Column:
