@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.formats import format_bytes, format_cents, format_duration
-from ..operators import graph, history, planning, stats
+from ..operators import graph, history, planning, report, stats
 from .tables import table
 
 def _cents(column: str):
@@ -144,6 +144,17 @@ def top_per_group(spark, sf_dir):
     return planning.top_per_group(lines, keys=["l_orderkey"], order=order, n=3).drop("l_shipdate")
 
 
+def grouped_text(spark, sf_dir):
+    nations = table(spark, sf_dir, "nation")
+    return report.grouped_text(nations, keys=["n_regionkey"], line=F.concat_ws(" ", F.lit("def"), "n_name"), order=["n_name"])
+
+
+def status_lines(spark, sf_dir):
+    counts = release_counts(spark, sf_dir)
+    cells = [F.col(c) for c in ("n_name", "n_error", "n_ok", "overall")]
+    return counts.select("n_nationkey", report.markdown_line(*cells).alias("markdown"), report.html_line(*cells).alias("html"), report.badge(F.col("n_name"), F.col("overall")).alias("badge"))
+
+
 def with_missing(spark, sf_dir):
     from ..operators.stages import with_missing as fill
 
@@ -157,7 +168,7 @@ QUERIES = {
     for f in (
         stage_stats_download, stage_stats_pivot, run_rollup, counter_rates, disk_estimate, history_latest, retry_schedule, processing_result,
         ledger_cost, posting_conflicts, release_counts, plan_branch, version_chain, chain_status, last_transition, chunk_assign, lpt_balance,
-        format_bytes_duration, top_per_group, with_missing,
+        format_bytes_duration, top_per_group, with_missing, grouped_text, status_lines,
     )
 }
 
@@ -234,4 +245,10 @@ SQL = {
     "top_per_group": """SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_suppkey, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
       ORDER BY l_extendedprice DESC, l_linenumber, l_partkey, l_suppkey, l_shipdate) AS place FROM lineitem) WHERE place <= 3""",
     "with_missing": """SELECT c_custkey, coalesce(max(o_orderstatus), 'pending') AS state FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1""",
+    "grouped_text": """SELECT n_regionkey, string_agg('def ' || n_name, chr(10) ORDER BY n_name) AS text FROM nation GROUP BY 1""",
 }
+_COUNTS = SQL["release_counts"]
+SQL["status_lines"] = f"""WITH x AS ({_COUNTS}) SELECT n_nationkey,
+  '| ' || regexp_replace(n_name, '([\\\\`*_{{}}\\[\\]()#+.!|-])', '\\\\\\1', 'g') || ' | ' || n_error || ' | ' || n_ok || ' | ' || overall || ' |' AS markdown,
+  '<tr><td>' || n_name || '</td><td>' || n_error || '</td><td>' || n_ok || '</td><td>' || overall || '</td></tr>' AS html,
+  '{{"color":"' || CASE overall WHEN 'ok' THEN 'brightgreen' WHEN 'problems' THEN 'red' ELSE 'lightgrey' END || '","label":"' || n_name || '","message":"' || overall || '","schemaVersion":1}}' AS badge FROM x"""
