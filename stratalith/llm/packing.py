@@ -17,6 +17,7 @@ apart. A null id is packed like any other.
 from __future__ import annotations
 
 import base64
+import math
 import zlib
 from collections.abc import Callable
 from functools import cache
@@ -28,8 +29,6 @@ from pyspark.sql import functions as F
 from .common import map_arrow, materialize, table
 
 SEQUENCE, END_TOKEN = 2048, 1
-#: Ranks of one length that one bucket takes.
-BUCKET_ROWS = 50_000
 
 
 @cache
@@ -140,7 +139,8 @@ def pack_pieces(pieces: DataFrame, *, size: int = SEQUENCE, order: tuple[str, ..
     places = spark.createDataFrame(
         entries or [(0, 0, 0, 0, 0)], "e_length long, first_rank long, n_ranks long, first_sequence long, offset long"
     )
-    buckets = -(-max(histogram.values(), default=1) // BUCKET_ROWS)
+    # the most common length in as many buckets as a bucket then has rows
+    buckets = max(1, math.isqrt(max(histogram.values(), default=1)))
     keyed = pieces.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
     counts = keyed.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -168,8 +168,7 @@ def test_histogram_packs_whole(histogram):
     assert sum(c for c, _ in patterns) <= -(-used // 1024) + 1
 
 
-def test_ranks_cross_buckets(spark, monkeypatch):
-    monkeypatch.setattr(packing, "BUCKET_ROWS", 7)
+def test_ranks_cross_buckets(spark):
     pieces = spark.range(500).selectExpr("id AS doc_id", "0L AS start", "CAST(500 + id % 3 AS BIGINT) AS length")
     got = packing.pack_pieces(pieces, order=("doc_id", "start")).collect()
     assert len(got) == len({(r.sequence_id, r.offset) for r in got}) == 500
