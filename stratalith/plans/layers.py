@@ -152,12 +152,31 @@ def same_ids(spark, sf_dir):
     return integrity.same_ids(talks, expected, key="conv_id", order="turn", item="role")
 
 
+def full_audit(spark, sf_dir):
+    """Every check of the tables at once: how many violations each has."""
+    checks = {
+        "order-total": totals_check(spark, sf_dir),
+        "duplicate-line": unique_key_violations(spark, sf_dir),
+        "line-numbers": split_contiguity(spark, sf_dir).where("NOT contiguous"),
+        "reference": reference_anti(spark, sf_dir),
+        "declared-size": manifest_size_audit(spark, sf_dir).where("NOT agrees"),
+        "unlabelled": manifest_presence_audit(spark, sf_dir).where("state <> 'present'"),
+        "ambiguous-winner": overlay_winner(spark, sf_dir).where("rule = 'ambiguous'"),
+        "invariant": invariant_violations(spark, sf_dir),
+    }
+    counts = [rows.agg(F.count("*").alias("n_violations")).select(F.lit(name).alias("check_name"), "n_violations") for name, rows in checks.items()]
+    found = counts[0]
+    for other in counts[1:]:
+        found = found.union(other)
+    return found
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         overlay_winner, overlay_layers, conflict_manifest, index_stats, case_collisions, manifest_size_audit, manifest_presence_audit,
         reference_anti, order_violations, totals_check, unique_key_violations, signature_consistency, split_contiguity, split_assembly,
-        digest_chain, canonical_digest, invariant_violations, set_difference, limit_violations, total_join, same_ids,
+        digest_chain, canonical_digest, invariant_violations, set_difference, limit_violations, total_join, same_ids, full_audit,
     )
 }
 
@@ -214,3 +233,15 @@ SQL = {
     "same_ids": """WITH t AS (SELECT DISTINCT conv_id, turn, role FROM conversations), e AS (SELECT DISTINCT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'user' ELSE 'assistant' END AS role FROM t)
       SELECT t.conv_id, count(*) AS n_differ, min(t.turn) AS first_place FROM t JOIN e ON e.conv_id = t.conv_id AND e.turn = t.turn WHERE t.role <> e.role GROUP BY 1""",
 }
+
+_AUDIT = {
+    "order-total": SQL["totals_check"],
+    "duplicate-line": SQL["unique_key_violations"],
+    "line-numbers": f"SELECT * FROM ({SQL['split_contiguity']}) WHERE NOT contiguous",
+    "reference": SQL["reference_anti"],
+    "declared-size": f"SELECT * FROM ({SQL['manifest_size_audit']}) WHERE NOT agrees",
+    "unlabelled": f"SELECT * FROM ({SQL['manifest_presence_audit']}) WHERE state <> 'present'",
+    "ambiguous-winner": f"SELECT * FROM ({SQL['overlay_winner']}) WHERE rule = 'ambiguous'",
+    "invariant": SQL["invariant_violations"],
+}
+SQL["full_audit"] = " UNION ALL ".join(f"SELECT '{name}' AS check_name, count(*) AS n_violations FROM ({sql})" for name, sql in _AUDIT.items())
