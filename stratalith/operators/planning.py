@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,22 @@ def rank_over_all(rows: DataFrame, order: list[Column], *, rough: Column) -> Dat
     return ranked.select(*rows.columns, (F.col("_within") + F.col("_before")).alias("rank"))
 
 
+def rank_within(rows: DataFrame, *, key: str, item: str, most: int) -> DataFrame:
+    """``rank`` from 0 within each key, in an order of no meaning that tells items apart.
+
+    Keys have ``most`` rows at most. Rows are ranked in hashed buckets, as many as a bucket then has rows,
+    so a key that most rows share is ranked by many tasks.
+    """
+    buckets = max(1, math.isqrt(most))
+    own = rows.withColumn("_bucket", F.pmod(F.xxhash64(item), F.lit(buckets)))
+    counts = own.groupBy(key, "_bucket").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(key, "_bucket").orderBy(item)
+    ranked = own.withColumn("_within", F.row_number().over(within) - 1).join(counts, [key, "_bucket"])
+    return ranked.select(*rows.columns, (F.col("_within") + F.col("_before")).alias("rank"))
+
+
 def assign_chunks(ranked: DataFrame, *, total: int, workers: int, per_worker: int = 4) -> DataFrame:
     """Even chunk and round-robin worker of each ranked row."""
     size = max(1, -(-total // (workers * per_worker)))
@@ -74,9 +91,8 @@ def balance_batches(rows: DataFrame, *, item: str, size: str, bins: int, grain:
                 edges.append((value, first, first + n, b))
                 first += n
     table = rows.sparkSession.createDataFrame(edges or [(0, 0, 0, 0)], "e_size long, first long, past long, batch int")
-    place = F.row_number().over(Window.partitionBy("_size").orderBy(item)) - 1
-    ranked = own.withColumn("_rank", place)
-    fits = (F.col("_size") == F.col("e_size")) & (F.col("_rank") >= F.col("first")) & (F.col("_rank") < F.col("past"))
+    ranked = rank_within(own, key="_size", item=item, most=max(counts.values(), default=1))
+    fits = (F.col("_size") == F.col("e_size")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("past"))
     return ranked.join(F.broadcast(table), fits).select(*rows.columns, "batch")
 
 
