@@ -30,7 +30,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ TRAIN_ROWS, LANDMARKS, NEGATIVES, ROUNDS, WITNESSES = 6_000, 240, 60_000, 3, 3
 LEAST_ODDS = 2.0
 THRESHOLD = 0.7
 #: Words that a task keeps scores of.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 500_000
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|[\r\n]+")
 _SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
@@ -171,12 +171,14 @@ class Model:
     curve: np.ndarray
 
     def margins(self, words: list[str]) -> np.ndarray:
-        return kernel_sums([read_as_letters(w) for w in words], self.weights)[:, 0] + self.bias
+        places: dict[str, int] = {}  # words that differ in closing marks alone are read alike
+        at = [places.setdefault(read_as_letters(w), len(places)) for w in words]
+        return (kernel_sums(list(places), self.weights)[:, 0] + self.bias)[at] if at else np.zeros(0)
 
 
-def document_features(found: list[list[float]]) -> list[float]:
+def document_features(found: list[float]) -> list[float]:
     """Three highest sentence margins, clipped, and the log count of sentences above 0."""
-    best = sorted((max(s) for s in found), reverse=True)
+    best = sorted(found, reverse=True)
     top = [min(max(m, -1.5), 2.0) for m in (*best[:3], -1.5, -1.5, -1.5)][:3]
     return [*top, float(np.log1p(sum(m > 0 for m in best)))]
 
@@ -271,14 +273,15 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
     return Model(model.weights, model.bias, fit_curve(np.array(held), y[rest]))
 
 
-def sentence_margins(model: Model, parts: list[list[list[str]]], known: dict[str, float]) -> Iterator[list[list[float]]]:
-    """Margins of the words of each document's sentences; ``known`` keeps scores of words."""
+def sentence_margins(model: Model, parts: list[list[list[str]]], known: dict[str, float]) -> Iterator[list[float]]:
+    """Margin of each sentence of each document: that of its most toxic word; ``known`` keeps scores of words."""
     if len(known) > KEPT_WORDS:
         known.clear()
-    new = list({w for p in parts for s in p for w in s if w not in known})
+    new = list(set(chain.from_iterable(chain.from_iterable(parts))).difference(known))
     known.update(zip(new, model.margins(new).tolist(), strict=True))
+    margin = known.__getitem__
     for p in parts:
-        yield [[known[w] for w in s] for s in p]
+        yield [max(map(margin, s)) for s in p]
 
 
 def scores(model: Model | None, texts: pa.Array, known: dict[str, float]) -> list[float]:
@@ -289,7 +292,7 @@ def scores(model: Model | None, texts: pa.Array, known: dict[str, float]) -> lis
     at = 0
     while at < len(texts):
         part, size = [], 0
-        while at < len(texts) and size < 1 << 20:
+        while at < len(texts) and size < 1 << 22:
             text = texts[at].as_py()
             part.append(sentences(text))
             size += len(text or "")
