@@ -204,3 +204,18 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_embedding_dedup": op7_embedding_dedup}
+
+#: All pairs by definition; the passes find these but for the share that MISSED allows.
+SQL = {
+    "op7_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT vec_id, e FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r(id, other) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, p.b FROM r JOIN p ON p.a = r.other),
+c AS (SELECT id, min(other) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id"""
+}
