@@ -42,7 +42,7 @@ from .common import arrow_type, table
 ORDER, DECAY, WORD = 3, 0.6, 24
 LETTERS = 40
 START, END = "^", "$"
-TRAIN_ROWS, LANDMARKS, NEGATIVES, ROUNDS, WITNESSES = 6_000, 240, 60_000, 3, 3
+TRAIN_ROWS, LANDMARKS, NEGATIVES, ROUNDS, WITNESSES = 6_000, 240, 50_000, 3, 3
 #: Least log ratio of a word's shares of toxic and of clean documents to be put forward.
 LEAST_ODDS = 2.0
 THRESHOLD = 0.7
@@ -183,20 +183,22 @@ def document_features(found: list[float]) -> list[float]:
     return [*top, float(np.log1p(sum(m > 0 for m in best)))]
 
 
-def fit_machine(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, penalty: float = 0.2) -> np.ndarray:
-    """Squared-hinge support vector machine by Newton steps; the last column is the bias."""
-    n, m = len(features), features.shape[1] + 1
+def fit_machine(blocks: list[tuple[np.ndarray, float, np.ndarray]], penalty: float = 0.2) -> np.ndarray:
+    """Squared-hinge support vector machine by Newton steps over blocks of (features, sign, weights); the
+    last weight is the bias."""
+    m = blocks[0][0].shape[1] + 1
     w, ridge = np.zeros(m), penalty * np.eye(m)
     ridge[-1, -1] = 1e-3
     for _ in range(25):
         left, right = ridge.copy(), np.zeros(m)
-        for lo in range(0, n, 8192):
-            x = np.hstack([features[lo : lo + 8192], np.ones((min(8192, n - lo), 1))]).astype(np.float64)
-            b, c = sign[lo : lo + 8192], weight[lo : lo + 8192]
-            inside = b * (x @ w) < 1
-            a, b, c = x[inside], b[inside], c[inside]
-            left += (a * c[:, None]).T @ a
-            right += (a * (c * b)[:, None]).sum(axis=0)
+        for features, sign, weight in blocks:
+            for lo in range(0, len(features), 4096):
+                part = features[lo : lo + 4096]
+                x = np.hstack([part, np.ones((len(part), 1))]).astype(np.float64)
+                inside = sign * (x @ w) < 1
+                x, c = x[inside], weight[lo : lo + 4096][inside]
+                left += (x * c[:, None]).T @ x
+                right += sign * (x * c[:, None]).sum(axis=0)
         new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-6:
             break
@@ -261,11 +263,10 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
         positives = sorted(put_forward)
         c_toxic = np.array([put_forward[p] for p in positives], float)
         share = c_clean.sum() / max(1.0, c_toxic.sum())
-        x = np.vstack([kernel_sums(positives, features), x_clean])
-        sign = np.concatenate([np.ones(len(positives)), -np.ones(len(negatives))])
-        w = fit_machine(x, sign, np.concatenate([c_toxic * min(share, 5.0), c_clean]))
+        w = fit_machine([(kernel_sums(positives, features), 1.0, c_toxic * min(share, 5.0)), (x_clean, -1.0, c_clean)])
         known = sorted(toxic)
-        margin = dict(zip(known, kernel_sums(known, features) @ w[:-1], strict=True))
+        line = (features @ w[:-1].astype(np.float32))[:, None]
+        margin = dict(zip(known, kernel_sums(known, line)[:, 0].tolist(), strict=True))
         put_forward = Counter(o for best in rank(lambda t: margin[t] + 0.1 * odds[t]) for o in best)
     model = Model((features @ w[:-1].astype(np.float32))[:, None], float(w[-1]), np.zeros(5))
     rest = ~teach if not teach.all() else teach
