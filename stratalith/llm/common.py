@@ -41,6 +41,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(where)
 
 
+#: Ids of one column that may be broadcast (8 MB); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def small_side(ids: DataFrame) -> DataFrame:
+    """A written table of ids, marked for broadcast if it was counted and found small."""
+    ids = materialize(ids, "ids")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def arrow_type(schema: str | T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

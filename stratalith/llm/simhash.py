@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_ASCII, arrow_type, connected_components, map_arrow, materialize, table
+from .common import LOWER_ASCII, arrow_type, connected_components, map_arrow, materialize, small_side, table
 
 SEED, SHINGLE, RADIUS, BLOCKS = 42, 3, 3, 2
 #: Classes in the sample that steers the cut, classes that a shard should hold, classes that a leaf compares at once.
@@ -172,6 +172,7 @@ class Forest:
         p, q = self.roots(a), self.roots(b)
         key = np.minimum(p, q) * len(self.up) + np.maximum(p, q)
         _, first = np.unique(key, return_index=True)
+        first.sort()  # pairs come closest first and are taken so
         made = []
         for i in first[p[first] != q[first]].tolist():
             x, y = self.root(int(a[i])), self.root(int(b[i]))
@@ -184,7 +185,8 @@ class Forest:
 def links_within(fps: np.ndarray, mask: np.uint64, radius: int, close, forest: Forest, rng: np.random.Generator) -> list[tuple[int, int]]:
     """Forest links among fingerprints of a shard: the tree goes on until leaves are small.
 
-    ``close(a, b)`` decides on places a (column) against b (row) as a matrix of booleans.
+    ``close(a, b)`` gives those of the pairs of places a and b that are linked, and their distances. Of
+    a leaf's pairs the closest are linked first.
     """
     made: list[tuple[int, int]] = []
     stack = [np.arange(len(fps))]
@@ -205,10 +207,11 @@ def links_within(fps: np.ndarray, mask: np.uint64, radius: int, close, forest: F
         for i in range(0, len(at), LEAF):
             for j in range(0, i + 1, LEAF):
                 a, b = at[i : i + LEAF], at[j : j + LEAF]
-                x, y = np.nonzero(close(a, b))
+                x, y, far = close(a, b)
+                order = np.argsort(far, kind="stable")
                 if i == j:
-                    x, y = x[x > y], y[x > y]
-                made += forest.link(a[x], b[y])
+                    order = order[x[order] > y[order]]
+                made += forest.link(a[x[order]], b[y[order]])
     return made
 
 
@@ -271,13 +274,14 @@ def near_links(
         flat = flat.flatten().to_numpy().reshape(len(reps), -1).view(np.uint64)
         own = np.ascontiguousarray(flat[:, 0])
 
-        def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            near = np.bitwise_count(own[a][:, None] ^ own[b][None, :]) <= radius
-            if sketch is not None and near.any():
-                x, y = np.nonzero(near)
-                differ = np.bitwise_count(flat[a[x], 1:] ^ flat[b[y], 1:]).sum(axis=1, dtype=np.int32)
-                near[x, y] = differ <= sketch_radius
-            return near
+        def close(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            apart = np.bitwise_count(own[a][:, None] ^ own[b][None, :])
+            x, y = np.nonzero(apart <= radius)
+            if sketch is None:
+                return x, y, apart[x, y]
+            differ = np.bitwise_count(flat[a[x], 1:] ^ flat[b[y], 1:]).sum(axis=1, dtype=np.int32)
+            near = differ <= sketch_radius
+            return x[near], y[near], differ[near]
 
         made = links_within(own, np.uint64(mask), part_radius, close, Forest(len(own)), np.random.default_rng(7))
         pairs = np.array(made, np.int64).reshape(-1, 2)
@@ -287,11 +291,37 @@ def near_links(
     return placed.groupBy("tree", "leaf").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(fps: DataFrame, *, id_col: str, **how) -> DataFrame:
-    """component_id for each row of (id, fps): the smallest id reachable over links."""
+def verified_links(links: DataFrame, docs: DataFrame, *, id_col: str, text_col: str, width: int, least: float) -> DataFrame:
+    """The links whose documents share ``least`` or more of their different runs of ``width`` words.
+
+    Runs are compared by hashes of 32 bits. Only documents with a link are read as sets, and their texts
+    are moved only if these are many; an id that repeats is read once.
+    """
+    links = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    ends = links.select(F.col("a").alias("end")).union(links.select(F.col("b").alias("end"))).distinct()
+    own = docs.select(F.col(id_col).cast("long").alias("end"), F.col(text_col).alias("words")).join(
+        small_side(ends), "end", "left_semi"
+    )
+
+    def work(ids: list, texts: list) -> list:
+        return [ids, [np.unique(shingle_hashes(t, width).astype(np.uint32)).view(np.int32) for t in texts]]
+
+    sets = map_arrow(own, work, "end long, runs array<int>").dropDuplicates(["end"])
+    sets = materialize(sets, "runs")
+    one, other = (sets.select(F.col("end").alias(c), F.col("runs").alias(f"runs_{c}")) for c in ("a", "b"))
+    both = links.join(one, "a").join(other, "b")
+    shared = F.size(F.array_intersect("runs_a", "runs_b"))
+    whole = F.size("runs_a") + F.size("runs_b") - shared
+    return both.where((whole == 0) | (shared >= F.lit(least) * whole)).select("a", "b")
+
+
+def near_duplicates(fps: DataFrame, *, id_col: str, verify=None, **how) -> DataFrame:
+    """component_id for each row of (id, fps): the smallest id reachable over links. ``verify`` may take
+    the links and leave some out."""
     fps = materialize(fps, "fingerprints")
     classes = materialize(fps.groupBy("fps").agg(F.min(id_col).cast("long").alias("rep")).where("rep IS NOT NULL"), "classes")
-    components = connected_components(near_links(classes, **how))
+    links = near_links(classes, **how)
+    components = connected_components(verify(links) if verify else links)
     named = classes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
         F.col("fps").alias("class_fps"), F.coalesce("component_id", "rep").alias("component_id")
     )

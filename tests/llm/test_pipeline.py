@@ -70,10 +70,10 @@ def test_one_of_each_group_stays(stages):
         group = [i for i in (r.doc_id, 100_000 + k, 200_000 + k) if i in before]
         assert not group or sum(i in after for i in group) <= 1
     assert len({t for i, t in after.items() if i is not None}) == len([i for i in after if i is not None])
-    # whoever went has a near copy among the others
+    # whoever went has a near copy among the others, by exact comparison
     texts = {i: shingles(t) for i, t in before.items() if i is not None}
     for i in set(texts) - set(after):
-        assert any(len(texts[i] & s) / len(texts[i] | s) >= 0.6 for j, s in texts.items() if j != i), i
+        assert any(len(texts[i] & s) / len(texts[i] | s) >= 0.8 for j, s in texts.items() if j != i), i
     assert out[2].where("doc_id IS NULL").count() == out[1].where("doc_id IS NULL").count()
 
 
