@@ -24,6 +24,7 @@ a toxic word. Without labels of both kinds all scores are 0. Repeated rows get e
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections import Counter
@@ -47,7 +48,7 @@ TRAIN_ROWS, LANDMARKS, NEGATIVES, ROUNDS, WITNESSES = 6_000, 240, 50_000, 3, 3
 LEAST_ODDS = 2.0
 THRESHOLD = 0.7
 #: Words that a task keeps scores of.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 250_000
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|[\r\n]+")
 _SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
@@ -228,6 +229,7 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
     parts = [[[once.setdefault(w, w) for w in s] for s in sentences(t)] for t in texts]
     read = {w: read_as_letters(w) for w in once if len(w) >= ORDER}
     own = [sorted({read[w] for s in p for w in s if w in read}) for p in parts]
+    del once, read
     # two thirds teach the machine, the rest the curve
     teach = np.array([zlib.crc32(t.encode()) % 3 != 0 for t in texts])
     if len(set(y[teach].tolist())) < 2 or len(set(y[~teach].tolist())) < 2:
@@ -254,8 +256,8 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
     features = columns @ whiten.astype(np.float32)
     del columns
     # different clean words are many: the most common ones, and as many drawn by hash
-    drawn = sorted(common[NEGATIVES // 2 :], key=lambda w: (zlib.crc32(w.encode()), w))
-    negatives = [w for w in clean if w in put_forward] + common[: NEGATIVES // 2] + drawn[: NEGATIVES // 2]
+    drawn = heapq.nsmallest(NEGATIVES // 2, common[NEGATIVES // 2 :], key=lambda w: (zlib.crc32(w.encode()), w))
+    negatives = [w for w in clean if w in put_forward] + common[: NEGATIVES // 2] + drawn
     x_clean = kernel_sums(negatives, features)
     c_clean = np.array([clean[w] for w in negatives], float) ** 0.75
     w = None
