@@ -33,6 +33,8 @@ from .common import LOWER_ASCII, arrow_type, connected_components, map_arrow, ma
 SEED, SHINGLE, RADIUS, BLOCKS = 42, 3, 3, 2
 #: Classes in the sample that steers the cut, classes that a shard should hold, classes that a leaf compares at once.
 SAMPLE, SHARD_CLASSES, LEAF = 20_000, 32_000, 256
+#: Documents and runs that one side of a comparison of sets holds.
+TILE, TILE_RUNS = 1_000, 1_000_000
 
 
 def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
@@ -291,28 +293,87 @@ def near_links(
     return placed.groupBy("tree", "leaf").applyInArrow(compare, "a long, b long")
 
 
+def similar_pairs(at: np.ndarray, runs: np.ndarray, m: int, least: float, forest: Forest) -> list[tuple[int, int]]:
+    """Forest links among ``m`` sets that share ``least`` or more: set ``at[i]`` holds ``runs[i]``, each run once.
+
+    Shared runs are counted exactly: by a matrix product for runs in many sets, pair by pair for others.
+    """
+    sizes = np.bincount(at, minlength=m)
+    order = np.lexsort((at, runs))
+    at, runs = at[order], runs[order]
+    _, starts, held = np.unique(runs, return_index=True, return_counts=True)
+    number = np.repeat(np.arange(len(starts)), held)
+    often = held * 8 > m
+    shared = np.zeros((m, m), np.float32)
+    dense = np.flatnonzero(often & (held > 1))
+    for k in range(0, len(dense), 2048):
+        block = dense[k : k + 2048]
+        column = np.full(len(starts), -1)
+        column[block] = np.arange(len(block))
+        places = np.flatnonzero(column[number] >= 0)
+        has = np.zeros((m, len(block)), np.float32)
+        has[at[places], column[number[places]]] = 1
+        shared += has @ has.T
+    few = np.flatnonzero(~often[number] & (held[number] > 1))
+    at, number = at[few], number[few]
+    for apart in range(1, len(at)):
+        same = number[apart:] == number[:-apart]
+        if not same.any():
+            break
+        x, y = at[:-apart][same], at[apart:][same]
+        np.add.at(shared, (x, y), 1)
+        np.add.at(shared, (y, x), 1)
+    made: list[tuple[int, int]] = []
+    for lo in range(0, m, LEAF):
+        own = shared[lo : lo + LEAF].astype(np.float64)
+        x, y = np.nonzero(own >= least * (sizes[lo : lo + LEAF, None] + sizes[None, :] - own))
+        x += lo
+        made += forest.link(x[x > y], y[x > y])
+    return made
+
+
 def verified_links(links: DataFrame, docs: DataFrame, *, id_col: str, text_col: str, width: int, least: float) -> DataFrame:
-    """The links whose documents share ``least`` or more of their different runs of ``width`` words.
+    """Links between documents that share ``least`` or more of their different runs of ``width`` words.
+
+    ``links`` need only join each pair in question by a path: all pairs within its components are
+    compared, so a forest of candidates loses none. Small components share a task's group; one of more
+    than TILE documents or TILE_RUNS runs is cut into chunks, and each two chunks are a group. A group returns a
+    forest of verified links.
 
     Runs are compared by hashes of 32 bits. Only documents with a link are read as sets, and their texts
     are moved only if these are many; an id that repeats is read once.
     """
-    links = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    ends = links.select(F.col("a").alias("end")).union(links.select(F.col("b").alias("end"))).distinct()
-    own = docs.select(F.col(id_col).cast("long").alias("end"), F.col(text_col).alias("words")).join(
-        small_side(ends), "end", "left_semi"
+    members = small_side(connected_components(links).select(F.col("id").alias("end"), "component_id"))
+    own = docs.select(F.col(id_col).cast("long").alias("end"), F.col(text_col).alias("words")).join(members, "end")
+
+    def work(ids: list, components: list, texts: list) -> list:
+        return [ids, components, [np.unique(shingle_hashes(t, width).astype(np.uint32)).view(np.int32) for t in texts]]
+
+    sets = map_arrow(own.select("end", "component_id", "words"), work, "end long, component_id long, runs array<int>")
+    sets = materialize(sets.dropDuplicates(["end"]), "runs")
+    sizes = sets.groupBy("component_id").agg(F.count("*").alias("n"), F.sum(F.size("runs")).alias("runs"))
+    chunks = F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("runs") / TILE_RUNS))
+    large = small_side(sizes.withColumn("chunks", chunks).where("chunks > 1").select("component_id", "chunks"))
+    total = sets.agg(F.count("*"), F.sum(F.size("runs"))).first()
+    parts = max(1, -(-total[0] // TILE), -(-(total[1] or 0) // TILE_RUNS))
+    groups = F.expr(
+        f"""CASE WHEN chunks IS NULL
+          THEN array(struct(pmod(xxhash64(component_id), {parts}) AS part, -1L AS one, -1L AS other))
+          ELSE transform(filter(sequence(0L, chunks - 1), j -> j <> pmod(xxhash64(end), chunks)), j ->
+            struct(component_id AS part, least(j, pmod(xxhash64(end), chunks)) AS one, greatest(j, pmod(xxhash64(end), chunks)) AS other)) END"""
     )
+    placed = sets.join(large, "component_id", "left").select("end", "runs", F.explode(groups).alias("to")).select("to.*", "end", "runs")
+    out = arrow_type("a long, b long")
 
-    def work(ids: list, texts: list) -> list:
-        return [ids, [np.unique(shingle_hashes(t, width).astype(np.uint32)).view(np.int32) for t in texts]]
-
-    sets = map_arrow(own, work, "end long, runs array<int>").dropDuplicates(["end"])
-    sets = materialize(sets, "runs")
-    one, other = (sets.select(F.col("end").alias(c), F.col("runs").alias(f"runs_{c}")) for c in ("a", "b"))
-    both = links.join(one, "a").join(other, "b")
-    shared = F.size(F.array_intersect("runs_a", "runs_b"))
-    whole = F.size("runs_a") + F.size("runs_b") - shared
-    return both.where((whole == 0) | (shared >= F.lit(least) * whole)).select("a", "b")
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks().sort_by("end")
+        ends, runs = rows.column("end").to_numpy(), rows.column("runs").combine_chunks()
+        at = np.repeat(np.arange(len(ends)), runs.value_lengths().to_numpy())
+        made = similar_pairs(at, runs.flatten().to_numpy(), len(ends), least, Forest(len(ends)))
+        pairs = np.array(made, np.int64).reshape(-1, 2)
+        return pa.Table.from_arrays([pa.array(ends[pairs[:, 0]]), pa.array(ends[pairs[:, 1]])], schema=out)
+
+    return placed.groupBy("part", "one", "other").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(fps: DataFrame, *, id_col: str, verify=None, **how) -> DataFrame:
