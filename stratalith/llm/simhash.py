@@ -376,13 +376,56 @@ def verified_links(links: DataFrame, docs: DataFrame, *, id_col: str, text_col:
     return placed.groupBy("part", "one", "other").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(fps: DataFrame, *, id_col: str, verify=None, **how) -> DataFrame:
-    """component_id for each row of (id, fps): the smallest id reachable over links. ``verify`` may take
-    the links and leave some out."""
+def min_bands(runs: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A hash for each band of ``rows`` minima of the runs under other orders each; none for no runs."""
+    if not len(runs):
+        return np.zeros(0, np.int64)
+    draw = np.random.default_rng(9)
+    flips = draw.integers(0, 1 << 63, bands * rows, np.uint64) << np.uint64(1)
+    factors = draw.integers(0, 1 << 63, bands * rows, np.uint64) << np.uint64(1) | np.uint64(1)
+    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(runs), 512):
+        mixed = (runs[at : at + 512, None] ^ flips) * factors
+        least = np.minimum(least, mixed.min(axis=0))
+    keys = np.arange(1, bands + 1, dtype=np.uint64)
+    for column in least.reshape(bands, rows).T:
+        keys = remix(keys ^ column, 1)
+    return keys.view(np.int64)
+
+
+def similar_documents(docs: DataFrame, *, id_col: str, text_col: str, width: int, least: float, bands: int, rows: int) -> DataFrame:
+    """component_id for each row: the smallest id reachable over pairs that share ``least`` or more of their
+    different runs of ``width`` words.
+
+    Documents with equal sets of runs are one class. Classes are candidates if all ``rows`` minima of one of
+    ``bands`` are equal: a pair of similarity s is missed with a probability of (1 - s ** rows) ** bands,
+    wherever its texts differ. Candidates are compared on their runs.
+    """
+    import xxhash
+
+    def work(ids: list, texts: list) -> list:
+        sets = [np.unique(shingle_hashes(t, width)) for t in texts]
+        return [ids, [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [min_bands(s, bands, rows) for s in sets]]
+
+    sets = map_arrow(docs.select(id_col, text_col), work, f"`{id_col}` {dict(docs.dtypes)[id_col]}, runs_id binary, bands array<long>")
+    sets = materialize(sets, "run-sets")
+    classes = sets.groupBy("runs_id", "bands").agg(F.min(id_col).cast("long").alias("rep")).where("rep IS NOT NULL")
+    classes = materialize(classes, "classes")
+    spread = classes.select("rep", F.explode("bands").alias("band"))
+    first = spread.groupBy("band").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
+    links = spread.join(small_side(first), "band").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    found = connected_components(verified_links(links, docs, id_col=id_col, text_col=text_col, width=width, least=least))
+    named = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "runs_id", F.coalesce("component_id", "rep").alias("component_id")
+    )
+    return sets.select(id_col, "runs_id").join(named, "runs_id", "left").select(id_col, "component_id")
+
+
+def near_duplicates(fps: DataFrame, *, id_col: str, **how) -> DataFrame:
+    """component_id for each row of (id, fps): the smallest id reachable over links."""
     fps = materialize(fps, "fingerprints")
     classes = materialize(fps.groupBy("fps").agg(F.min(id_col).cast("long").alias("rep")).where("rep IS NOT NULL"), "classes")
-    links = near_links(classes, **how)
-    components = connected_components(verify(links) if verify else links)
+    components = connected_components(near_links(classes, **how))
     named = classes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
         F.col("fps").alias("class_fps"), F.coalesce("component_id", "rep").alias("component_id")
     )
