@@ -1,14 +1,14 @@
-"""Operator 5: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Operator 5: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
 Test items are cut into runs of ``SEED_WORDS`` words (an item with fewer is one run). One pass over the
-documents looks up every run of their words among the items' seeds and keeps, for each document and item
-that share a seed, the passages of the document around the diagonals of the shared seeds. Passages are
-then filtered by rarity: one seed that few documents hold, or several seeds of any kind, make a
-candidate; so a phrase that stands everywhere starts no alignment alone, but an item made of such
-phrases is still found. Each candidate passage is aligned with its item by Smith-Waterman over words
-(match 2, other word or gap -1), and the score as a share of the item's own decides.
-
-Documents are never shuffled: seeds, common seeds and items go to the tasks. Items are taken in blocks of
+documents looks up every run of their words among the items' seeds and takes, for each document and item
+that share a seed, the passages of the document around the diagonals of the shared seeds. However common its
+seeds are, each passage is judged: it is aligned with its item by Smith-Waterman over words
+(match 2, other word or gap -1), and the score as a share of the item's own decides. Only passages that hold
+too few of the item's words for the least score in any order are not aligned, which loses none.
+A copy that shares no run of ``SEED_WORDS`` words with its item is not seen.
+
+Documents are never shuffled: seeds and items go to the tasks. Items are taken in blocks of
 ``BLOCK_WORDS`` words at most, one pass for each block, so what is sent to tasks has a fixed bound however
 large the benchmark is. No cap is set on documents, items or passages.
 
@@ -19,7 +19,6 @@ Returns one row for each document and item found.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +29,12 @@ from pyspark.sql import functions as F
 from .common import arrow_type, materialize, table
 from .license_scan import WORD_BYTES
 
-SEED_WORDS, LEAST_SCORE = 4, 0.5
-#: A seed is rare in so many documents or this share of them; so many seeds of any kind make a candidate
-#: as well.
-RARE_DOCS, RARE_SHARE, SEEDS_OF_ANY_KIND = 20, 0.001, 3
+SEED_WORDS, LEAST_SCORE = 3, 0.5
+#: Words that a passage reaches beyond its item at least.
+SLACK_WORDS = 4
 BLOCK_WORDS = 2_000_000
-#: Common seeds that are sent to tasks; beyond it the rest count as rare, which only aligns more.
-MOST_COMMON_SEEDS = 500_000
+#: Alignments that a task remembers.
+MOST_KNOWN = 20_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
 
@@ -110,7 +108,7 @@ class Seeds:
         out = []
         for key, (diagonals, seeds) in by_item.items():
             n = len(self.words[key])
-            slack = max(SEED_WORDS, n // 3)
+            slack = max(SLACK_WORDS, n // 3)
             spans: list[list[int]] = []
             for d in sorted(diagonals):
                 lo, hi = max(0, d - slack), min(len(words), d + n + slack)
@@ -149,72 +147,49 @@ def best_alignment(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, i
     return score / (MATCH * len(item)), j - back, j
 
 
-def find_passages(docs: DataFrame, seeds, *, id_col: str, text_col: str) -> DataFrame:
-    """(id, item, seeds, spans: array of (start word, words)) for documents that share a seed."""
-    schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, item long, seeds array<long>, spans array<struct<start: long, words: string>>"
-    arrow = arrow_type(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = words_of(text.as_py())
-                for item, spans, own in seeds.value.passages(words, hashes.of(words)):
-                    out[0].append(key)
-                    out[1].append(item)
-                    out[2].append(np.array(own, np.uint64).view(np.int64))
-                    out[3].append([{"start": lo, "words": b" ".join(words[lo:hi]).decode("utf-8", "replace")} for lo, hi in spans])
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow)
-
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+def may_reach(item: np.ndarray, passage: np.ndarray, least_score: float) -> bool:
+    """Whether the words of both, in any order, allow the score."""
+    words, n = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(words, passage), len(words) - 1)
+    held = np.bincount(at[words[at] == passage], minlength=len(words))
+    return np.minimum(held, n).sum() >= least_score * len(item)
 
 
-def common_seeds(passages: DataFrame, limit: int) -> set[int]:
-    """Seeds in more than ``limit`` documents, counted in each task before they are summed."""
-    arrow = arrow_type("seed long, n long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            counts.update(batch.column(0).flatten().to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], schema=arrow)
-
-    totals = passages.select("seeds").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    found = totals.where(F.col("n") > limit).orderBy(F.desc("n"), "seed").limit(MOST_COMMON_SEEDS)
-    return {r["seed"] for r in found.collect()}
-
-
-def align_passages(passages: DataFrame, seeds, common, *, id_col: str, least_score: float) -> DataFrame:
-    schema = f"`{id_col}` {dict(passages.dtypes)[id_col]}, item_id long, score double, start_word long, end_word long, n_seeds long"
+def align_passages(docs: DataFrame, seeds, *, id_col: str, text_col: str, least_score: float) -> DataFrame:
+    """The best passage of each document and item that share a seed, if it has the score."""
+    schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, item_id long, score double, start_word long, end_word long, n_seeds long"
     arrow = arrow_type(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        known: dict = {}
+        items: dict[int, np.ndarray] = {}
         for batch in batches:
             out: list[list] = [[] for _ in arrow]
-            known: dict = {}
-            items: dict[int, np.ndarray] = {}
-            for key, item, own, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = seeds.value.words[item]
-                most = max(1, len(words) - SEED_WORDS + 1)
-                if all(s in common.value for s in own) and len(own) < min(SEEDS_OF_ANY_KIND, most):
-                    continue
-                if item not in items:
-                    items[item] = hashes.of(words)
-                best = (0.0, 0, 0)
-                for span in spans:
-                    at = (item, span["words"])
-                    if at not in known:
-                        known[at] = best_alignment(items[item], hashes.of(span["words"].encode().split()))
-                    score, lo, hi = known[at]
-                    best = max(best, (score, span["start"] + lo, span["start"] + hi))
-                if best[0] >= least_score:
-                    for column, value in zip(out, (key, item, *best, len(own)), strict=True):
-                        column.append(value)
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words = words_of(text.as_py())
+                own = hashes.of(words)
+                for item, spans, shared in seeds.value.passages(words, own):
+                    if item not in items:
+                        items[item] = hashes.of(seeds.value.words[item])
+                    best = (0.0, 0, 0)
+                    for start, end in spans:
+                        passage = own[start:end]
+                        if not may_reach(items[item], passage, least_score):
+                            continue
+                        at = (item, passage.tobytes())
+                        if at not in known:
+                            if len(known) >= MOST_KNOWN:
+                                known.clear()
+                            known[at] = best_alignment(items[item], passage)
+                        score, lo, hi = known[at]
+                        best = max(best, (score, start + lo, start + hi))
+                    if best[0] >= least_score:
+                        for column, value in zip(out, (key, item, *best, len(shared)), strict=True):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow)
 
-    return passages.mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def find_contamination(
@@ -233,7 +208,6 @@ def find_contamination(
     own = items.select(F.col(item_id_col).cast("long").alias("item"), F.col(item_text_col).alias("words")).where("item IS NOT NULL AND words IS NOT NULL")
     size = own.agg(F.sum(F.length("words"))).first()[0] or 0
     blocks = max(1, -(-size // (4 * BLOCK_WORDS)))
-    n_docs = docs.count()
     found = None
     for block in range(blocks):
         rows = own.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).distinct().collect()
@@ -241,9 +215,7 @@ def find_contamination(
         for r in sorted(rows):
             texts.setdefault(r["item"], []).extend(words_of(r["words"]))
         seeds = context.broadcast(Seeds([(k, w) for k, w in texts.items() if w]))
-        passages = materialize(find_passages(docs, seeds, id_col=id_col, text_col=text_col), "passages")
-        common = context.broadcast(common_seeds(passages, max(RARE_DOCS, int(RARE_SHARE * n_docs))))
-        part = align_passages(passages, seeds, common, id_col=id_col, least_score=least_score)
+        part = materialize(align_passages(docs, seeds, id_col=id_col, text_col=text_col, least_score=least_score), "contamination")
         found = part if found is None else found.unionByName(part)
     return found
 
