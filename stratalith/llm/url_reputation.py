@@ -11,7 +11,8 @@ pages (63 at most) are joined by broadcast, all others by a shuffle join in whic
 carry a key of their own, so no host gathers in one task.
 
 Nulls, empties: a null url or one without ``://`` has empty host and path and is judged by the pages
-that share them. A null outcome counts for nothing. Repeated pages count as often as they stand.
+that share them. A null outcome counts for nothing; a host without any other takes its domain's rate, a
+domain without one its suffix's, a suffix the rate of all. Repeated pages count as often as they stand.
 """
 
 from __future__ import annotations
@@ -54,11 +55,12 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
-def registered(host: Column) -> tuple[Column, Column]:
-    """Registered domain and public suffix of a host; an address of digits is its own domain."""
+def registered(host: Column, suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and public suffix of a host, of two labels if it is one of ``suffixes``; an address
+    of digits is its own domain."""
     bare = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
     last = lambda n: F.substring_index(bare, ".", -n)
-    two = last(2).isin(*TWO_LABEL_SUFFIXES)
+    two = last(2).isin(*suffixes)
     address = bare.rlike("^[0-9.]+$")
     domain = F.when(address, bare).when(two, last(3)).otherwise(last(2))
     suffix = F.when(address, F.lit("(address)")).when(two, last(2)).otherwise(last(1))
@@ -76,15 +78,17 @@ def match_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Col
 
 
 def moments(groups: DataFrame) -> dict:
-    """Sums over (n, y) that fix a level's mean and concentration; whole numbers, so exact."""
-    row = groups.select(
+    """Sums over (n, y) that fix a level's mean and concentration, of groups with outcomes; whole numbers, so
+    exact, and decimals, so that a group may hold any number of pages."""
+    n, y = (f"CAST({c} AS DECIMAL(15, 0))" for c in "ny")
+    row = groups.where("n > 0").select(
         F.count("*").alias("m"),
         F.sum("n").alias("n"),
         F.sum("y").alias("y"),
-        F.sum(F.expr("n * n")).alias("nn"),
-        F.sum(F.expr("(y * y * 1000000) div n")).alias("s"),
+        F.sum(F.expr(f"CAST({n} * {n} AS DECIMAL(28, 0))")).alias("nn"),
+        F.sum(F.expr(f"({y} * {y} * CAST(1000000 AS DECIMAL(7, 0))) div {n}")).alias("s"),
     ).first()
-    return {k: v or 0 for k, v in row.asDict().items()}
+    return {k: int(v or 0) for k, v in row.asDict().items()}
 
 
 def concentration(m: dict, default: float = 10.0) -> float:
@@ -101,7 +105,9 @@ def concentration(m: dict, default: float = 10.0) -> float:
 
 
 def host_reputation(counts: DataFrame, *, z: float) -> DataFrame:
-    """(host, domain, suffix, n, y) to (host, n, bad_rate, bad_low): posterior mean and lower bound."""
+    """(host, domain, suffix, rows, n, y) to (host, rows, bad_rate, bad_low): posterior mean and lower bound.
+
+    Concentrations come from the groups with outcomes; one without takes the mean of its prior."""
     domains = counts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
     of_host, of_domain, of_suffix = moments(counts), moments(domains), moments(suffixes)
@@ -114,8 +120,9 @@ def host_reputation(counts: DataFrame, *, z: float) -> DataFrame:
     mean = F.expr(f"(y + {k_host!r}D * pd) / (n + {k_host!r}D)")
     return (
         counts.join(domains, ["domain", "suffix"])
-        .select("host", "n", mean.alias("bad_rate"))
+        .select("host", "rows", "n", mean.alias("bad_rate"))
         .withColumn("bad_low", F.expr(f"bad_rate - {z!r}D * sqrt(bad_rate * (1D - bad_rate) / (n + {k_host!r}D + 1D))"))
+        .drop("n")
     )
 
 
@@ -126,6 +133,7 @@ def judge_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     rules: tuple[Rule, ...] = RULES,
+    suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES,
     block_above: float = 0.5,
     z: float = 1.645,
 ) -> DataFrame:
@@ -135,18 +143,15 @@ def judge_urls(
     """
     host, path = split_url(F.col(url_col))
     labelled = pages.select(host.alias("host"), outcome.cast("int").alias("bad"))
-    domain, suffix = registered(F.col("host"))
+    domain, suffix = registered(F.col("host"), suffixes)
     counts = (
         labelled.groupBy("host")
         .agg(F.count("*").alias("rows"), F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("y"))
         .select("host", domain.alias("domain"), suffix.alias("suffix"), "rows", "n", "y")
     )
     counts = materialize(counts, "host-counts")
-    # A host without an outcome still gets its domain's rate: it joins with n = 0.
-    known = counts.where("n > 0")
     total = counts.agg(F.sum("rows")).first()[0] or 0
-    rated = host_reputation_or_prior(counts, known, z=z)
-    rated = materialize(rated, "host-rates")
+    rated = materialize(host_reputation(counts, z=z), "host-rates")
     hot = rated.where(F.col("rows") * HOT > total).select(
         F.col("host").alias("hot_host"), F.col("bad_rate").alias("hot_rate"), F.col("bad_low").alias("hot_low")
     )
@@ -169,12 +174,6 @@ def judge_urls(
     )
 
 
-def host_reputation_or_prior(counts: DataFrame, known: DataFrame, *, z: float) -> DataFrame:
-    """Rates of all hosts; the moments come from those with outcomes alone."""
-    rated = host_reputation(known.drop("rows"), z=z)
-    return counts.select("host", "rows").join(rated.drop("n"), "host", "left").fillna({"bad_rate": 0.0, "bad_low": 0.0})
-
-
 def page_outcome() -> Column:
     """Weak label of a page: bad (1) if its host has a spam word or its html runs of marks."""
     host, _ = split_url(F.col("url"))
@@ -197,8 +196,8 @@ def _level_sql(source: str) -> str:
     rho = f"least(greatest(({spread} / ({p} * (1 - {p})) - (m - 1)) / {room}, 1 / 1001::DOUBLE), 0.5)"
     return f"""(SELECT CASE WHEN n = 0 OR y = 0 OR y = n OR {room} <= 0 THEN 10.0::DOUBLE
         ELSE (1 - {rho}) / {rho} END AS k, n AS all_n, y AS all_y
-      FROM (SELECT count(*)::DOUBLE AS m, sum(n)::DOUBLE AS n, sum(y)::DOUBLE AS y, sum(n * n)::DOUBLE AS nn,
-              sum((y * y * 1000000) // n)::DOUBLE AS s FROM {source}))"""
+      FROM (SELECT count(*)::DOUBLE AS m, sum(n)::DOUBLE AS n, sum(y)::DOUBLE AS y, sum(n::HUGEINT * n)::DOUBLE AS nn,
+              sum((y::HUGEINT * y * 1000000) // n)::DOUBLE AS s FROM {source}))"""
 
 
 _RULE_SQL = " ".join(

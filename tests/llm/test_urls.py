@@ -66,5 +66,26 @@ def test_hosts_shrink_to_their_domain(spark):
     judged = urls.judge_urls(pages(spark, rows).select("page_id", "url", "html"), F.when(F.col("html") == "b", 1).when(F.col("html") == "g", 0))
     found = {r.page_id: r for r in judged.where("page_id >= 2000").collect()}
     assert len(found) == 2
+    assert found[2000].verdict == "block" and found[2001].verdict == "allow"
+    assert found[2000].bad_rate > 0.8 and found[2001].bad_rate < 0.2
     labelled = {r.host: r for r in judged.where("page_id < 2000").collect()}
     assert all(r.verdict == ("block" if ".bad." in h else "allow") for h, r in labelled.items())
+
+
+def test_unlabelled_levels_take_the_next(spark):
+    """A host of a bad domain, a domain of a bad suffix and a suffix of its own, none with an outcome."""
+    rows = [(i, f"https://h{i % 9}.spam{i % 30}.bad/x", "b") for i in range(600)] + [(1000 + i, f"https://h{i % 9}.fine{i % 30}.good/x", "g") for i in range(900)]
+    rows += [(2000, "https://new.spam3.bad/", None), (2001, "https://new.other.bad/", None), (2002, "https://new.other.none/", None), (2003, "https://new.other.good/", None)]
+    judged = urls.judge_urls(pages(spark, rows).select("page_id", "url", "html"), F.when(F.col("html") == "b", 1).when(F.col("html") == "g", 0), z=0.5)
+    rate = {r.page_id: r.bad_rate for r in judged.where("page_id >= 2000").collect()}
+    assert rate[2000] > rate[2001] > rate[2002] > rate[2003]
+    assert rate[2002] == pytest.approx(601 / 1502)
+
+
+def test_moments_of_huge_hosts(spark):
+    """Counts whose squares leave a long behind."""
+    counts = spark.createDataFrame([(4_000_000_000, 3_100_000_000), (10, 2), (0, 0)], "n long, y long")
+    m = urls.moments(counts)
+    assert m["m"] == 2 and m["nn"] == 16 * 10**18 + 100
+    assert m["s"] == 3_100_000_000**2 * 10**6 // 4_000_000_000 + 4 * 10**5
+    assert 1 <= urls.concentration(m) <= 1000
