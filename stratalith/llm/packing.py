@@ -36,16 +36,20 @@ def encoder(vocabulary: str) -> Callable[[str], np.ndarray]:
     """The ids of a text by a byte-level vocabulary of public_tokenizers.
 
     Read as ranks, which gives the ids of the tokenizers file of the same name at a third of its
-    time; the tests hold one against the other.
+    time; the tests hold one against the other. Strings of the file's added tokens get those tokens' ids.
     """
+    import json
+
     import public_tokenizers
     import tiktoken
 
+    with open(public_tokenizers.path(vocabulary), "rb") as file:
+        added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
     path = public_tokenizers.path(vocabulary.replace(".json", ".tiktoken"))
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: encoding.encode_to_numpy(text, disallowed_special=())
+    encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
 
 
 def cut(ids: np.ndarray, size: int) -> list[tuple[int, int, int]]:
@@ -57,19 +61,19 @@ def cut(ids: np.ndarray, size: int) -> list[tuple[int, int, int]]:
 
 
 def token_pieces(docs: DataFrame, *, id_col: str, text_col: str, size: int, end_token: int, vocabulary: str) -> DataFrame:
-    """One row for each piece: id, start, length, ids_crc32, doc_tokens."""
+    """One row for each piece: id, start, length, ids_crc32, doc_tokens; and turn, which tells repeated rows apart."""
 
     def work(ids: list, texts: list) -> list:
         encode = encoder(vocabulary)
-        out: list[list] = [[], [], [], [], []]
-        for key, text in zip(ids, texts, strict=True):
+        out: list[list] = [[], [], [], [], [], []]
+        for turn, (key, text) in enumerate(zip(ids, texts, strict=True)):
             tokens = np.append(encode((text or b"").decode("utf-8", "replace")), np.uint32(end_token))
             for start, length, crc in cut(tokens, size):
-                for column, value in zip(out, (key, start, length, crc, len(tokens)), strict=True):
+                for column, value in zip(out, (key, start, length, crc, len(tokens), turn), strict=True):
                     column.append(value)
         return out
 
-    schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, start long, length long, ids_crc32 long, doc_tokens long"
+    schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, start long, length long, ids_crc32 long, doc_tokens long, turn int"
     return map_arrow(docs.select(id_col, text_col), work, schema)
 
 
@@ -171,10 +175,10 @@ def pack_documents(
     end_token: int = END_TOKEN,
     vocabulary: str = "byte_bpe_50k.json",
 ) -> DataFrame:
-    """Pieces of all documents with their sequence and offset, and the sequence's padded length."""
+    """Pieces of all documents with their sequence and offset."""
     pieces = token_pieces(docs, id_col=id_col, text_col=text_col, size=size, end_token=end_token, vocabulary=vocabulary)
     pieces = materialize(pieces, "pieces")
-    return pack_pieces(pieces, size=size, order=(id_col, "start", "ids_crc32", "doc_tokens"))
+    return pack_pieces(pieces, size=size, order=(id_col, "start", "ids_crc32", "doc_tokens", "turn")).drop("turn")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

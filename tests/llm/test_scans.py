@@ -125,12 +125,13 @@ def test_trigram_queries_are_mandatory():
 
 def test_packing_places_every_token_once(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(edges(spark).selectExpr("doc_id + 100000", "text"))
+    marked = [(200_000, "hello <|endoftext|> world"), (200_001, "<|endoftext|>"), (200_002, " <|endoftext|><|endoftext|>\n<|endoftext"), (200_003, "a  <|endoftext|>  b")]
+    docs = docs.union(spark.createDataFrame(marked, "doc_id long, text string"))
     got = packing.pack_documents(docs.withColumn("offset", F.lit(1))).collect()
     import public_tokenizers
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     by_doc, by_sequence = {}, {}
     for r in got:
         by_doc.setdefault(r.doc_id, []).append(r)
@@ -208,3 +209,12 @@ def test_shards_of_edges(spark, tmp_path):
 def test_empty_tables(spark, tmp_path, run):
     edges(spark).where("doc_id = 99").write.parquet(f"{tmp_path}/documents.parquet")
     assert run(spark, str(tmp_path)).collect() == []
+
+
+def test_repeated_rows_are_ranked_in_many_buckets(spark):
+    """Rows alike in id and text have turns of their own, so they share no bucket."""
+    docs = spark.range(2_000).selectExpr("7L AS doc_id", "'the same text' AS text")
+    pieces = packing.token_pieces(docs, id_col="doc_id", text_col="text", size=2048, end_token=1, vocabulary="byte_bpe_50k.json")
+    assert pieces.select("turn").distinct().count() >= 250
+    got = packing.pack_documents(docs).collect()
+    assert len({(r.sequence_id, r.offset) for r in got}) == 2_000
