@@ -3,15 +3,20 @@
 Equal vectors are folded into one class first. In each pass every class gets 64 signs of random
 projections; classes are sorted by them as one number, so that vectors at a small angle tend to share a
 long beginning and stand near each other. Each class is compared with the ``window`` classes before it,
-by cosine in double precision. Passes repeat with other projections; their number follows from the
-angle, the window and the count of classes, so that a pair at the least cosine is missed by one in
-fifty or fewer. All passes are one sort and one exchange of vectors.
+by cosine in double precision. All passes of a level are one sort and one exchange of vectors.
+
+How many passes a level makes follows from the angle, the window and the count of classes; whether that was
+enough is read from the data. A partner that shares more leading signs with a class than the classes at both
+ends of its window do stands within the window, and a pair at the least cosine shares k signs with a known
+probability. So each class has a bound on the probability that such a partner was missed in all passes. Those
+above ``MISSED``, in a dense topic or among many copies, and those with a window filled with links go to a next
+level by themselves, with a window four times as wide, until none is left or the window holds all that are
+left, which is exact. A pair is in danger only if both its ends are, so a level need not look at the others.
 
 Every class carries its ranks in all passes, so a pair is counted in the first pass that compares it and
 in no other, and no list of pairs is written: a block returns sums of links for its classes, and a
-spanning forest for the components. If any class finds its window filled with links, its partners may
-reach beyond: the passes are repeated with a window four times as wide, until none is filled or the
-window holds everything. So a dense cluster costs its comparisons but loses no links to the bound.
+spanning forest for the components. A task's group holds TILE rows of a block and TILE before it at most:
+wider windows are compared in several groups.
 
 Nulls, empties: a vector that is null, empty, zero, or holds a null or a number that is not finite, or
 whose id is null, links with nothing: n_links 0, component_id its id. Vectors of different lengths do
@@ -32,7 +37,8 @@ from .common import arrow_type, connected_components, materialize, table
 from .simhash import Forest
 
 LEAST_COSINE, WINDOW, MISSED = 0.95, 256, 0.02
-ROWS_AT_ONCE = 512
+#: Rows that one side of a group holds, and of these the rows compared at once.
+TILE, ROWS_AT_ONCE = 8192, 512
 
 
 def passes_for(n: int, window: int, least: float, missed: float = MISSED) -> int:
@@ -43,8 +49,13 @@ def passes_for(n: int, window: int, least: float, missed: float = MISSED) -> int
     """
     if window >= n:
         return 1
-    together = (1 - math.acos(least) / math.pi) ** math.log2(n / window)
-    return max(4, math.ceil(math.log(missed) / math.log(1 - together)))
+    found = together(least) ** math.log2(n / window)
+    return max(4, math.ceil(math.log(missed) / math.log(1 - found)))
+
+
+def together(least: float) -> float:
+    """Probability that two vectors at the least cosine share a sign."""
+    return 1 - math.acos(least) / math.pi
 
 
 def unit_rows(column: pa.Array, size: int) -> np.ndarray:
@@ -53,8 +64,9 @@ def unit_rows(column: pa.Array, size: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def projection_keys(classes: DataFrame, passes: int) -> DataFrame:
-    """(pass, size, key, rep): 64 projection signs of each class in each pass, as an ordered long."""
+def projection_keys(classes: DataFrame, passes: int, before: int = 0) -> DataFrame:
+    """(pass, size, key, rep): 64 projection signs of each class in each pass, as an ordered long. ``before``
+    passes drew other projections."""
     schema = "pass int, size int, key long, rep long"
     arrow = arrow_type(schema)
 
@@ -66,7 +78,7 @@ def projection_keys(classes: DataFrame, passes: int) -> DataFrame:
                 part = batch.take(pa.array(at))
                 x = unit_rows(part.column("embedding"), int(size))
                 for p in range(passes):
-                    planes = np.random.default_rng([7, p, int(size)]).standard_normal((int(size), 64))
+                    planes = np.random.default_rng([7, before + p, int(size)]).standard_normal((int(size), 64))
                     signs = np.packbits(x @ planes > 0, axis=1).view(">u8")[:, 0].astype(np.uint64)
                     key = (signs ^ np.uint64(1 << 63)).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
@@ -77,9 +89,10 @@ def projection_keys(classes: DataFrame, passes: int) -> DataFrame:
     return classes.select("rep", "size", "embedding").mapInArrow(run, schema)
 
 
-def ranks(keys: DataFrame, n: int) -> DataFrame:
-    """(rep, ranks array<long>): each class's place in the order of each pass."""
-    ordered = keys.sort("pass", "size", "key", "rep").select("pass", "rep", F.monotonically_increasing_id().alias("at"))
+def ranks(keys: DataFrame, n: int, window: int, least: float) -> DataFrame:
+    """(rep, ranks array<long>, missed): each class's place in the order of each pass, and the logarithm of a
+    bound on the probability that a partner at the least cosine is in none of its windows."""
+    ordered = keys.sort("pass", "size", "key", "rep").select("pass", "rep", "size", "key", F.monotonically_increasing_id().alias("at"))
     ordered = materialize(ordered, "projection-order")
     part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
     # one row for each partition of the sort
@@ -90,33 +103,44 @@ def ranks(keys: DataFrame, n: int) -> DataFrame:
         before += count
     starts = keys.sparkSession.createDataFrame(rows or [(0, 0)], "part long, before long")
     placed = ordered.withColumn("part", part).join(F.broadcast(starts), "part").withColumn("r", F.col("before") + place - F.col("pass") * n)
-    by_pass = F.sort_array(F.collect_list(F.struct("pass", "r")))  # as many as passes
-    return placed.groupBy("rep").agg(F.transform(by_pass, lambda x: x["r"]).alias("ranks"))
-
-
-def window_links(classes: DataFrame, n: int, *, least: float, window: int) -> DataFrame:
-    """Rows (kind, a, b). links: b more vectors are linked to class a. edge: a and b are linked, a
-    spanning forest. full: the window of a is filled with links in a pass."""
-    passes = passes_for(n, window, least)
-    block = 4 * window
-    ranked = classes.join(ranks(projection_keys(classes, passes), n), "rep")
-    blocks = F.expr(
-        f"""explode(flatten(transform(ranks, (r, p) -> if(r % {block} >= {block - window},
-          array(struct(p, r div {block} AS block), struct(p, r div {block} + 1 AS block)),
-          array(struct(p, r div {block} AS block))))))"""
-    )
-    placed = ranked.select("rep", "n", "size", "embedding", "ranks", blocks.alias("to")).select(
-        F.col("to.p").alias("pass"), F.col("to.block").alias("block"), "rep", "n", "size", "embedding", "ranks"
+    placed = placed.select("pass", "rep", "size", "key", "r")
+    # the leading signs that a class shares with the one a window further on bound both their windows
+    ends = placed.select("pass", (F.col("r") - window).alias("r"), F.col("rep").alias("end"), F.col("size").alias("end_size"), F.col("key").alias("end_key"))
+    signs = F.expr("CASE WHEN size <> end_size THEN 0 WHEN key = end_key THEN 65 ELSE 65 - length(bin(key ^ end_key)) END")
+    edges = placed.join(ends, ["pass", "r"]).select("pass", signs.alias("signs"), F.explode(F.array("rep", "end")).alias("rep"))
+    rows_of = placed.select("pass", "rep", "r", F.lit(0).alias("signs")).unionByName(edges.select("pass", "rep", F.lit(None).cast("long").alias("r"), "signs"))
+    by_class = rows_of.groupBy("rep", "pass").agg(F.max("r").alias("r"), F.max("signs").alias("signs"))
+    passes = by_class.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("pass", "r", "signs"))).alias("p"))  # as many as passes
+    # found for certain without classes at both ends; else never taken for certain
+    escaped = F.expr(f"aggregate(p, 0D, (sum, x) -> sum + if(x.signs = 0, -745D, ln(1D - 0.999999D * pow({together(least)!r}D, x.signs))))")
+    return passes.select("rep", F.transform("p", lambda x: x["r"]).alias("ranks"), escaped.alias("missed"))
+
+
+def window_links(placed: DataFrame, windows: list[int], first_pass: int, *, least: float) -> DataFrame:
+    """Rows (kind, a, b) from the passes from ``first_pass`` on over (rep, n, size, embedding, ranks). links: b
+    more vectors are linked to class a. edge: a and b are linked, a spanning forest of each group. full: a is
+    linked to all classes between it and an end of its window.
+    ``windows``: that of each place in ranks."""
+    window = windows[-1]
+    block = min(4 * window, TILE)
+    tiles = -(-window // TILE)
+    # a row is at home in its block, with each tile of the window before it; and before the blocks that reach it
+    tasks = F.expr(
+        f"""explode(flatten(transform(filter(sequence(0, {len(windows) - 1}), p -> p >= {first_pass}), p ->
+          concat(transform(sequence(0, {tiles - 1}), t -> struct(p, ranks[p] div {block} AS block, t AS tile)),
+            transform(filter(sequence(ranks[p] div {block}, (ranks[p] + {window}) div {block}), b -> b * {block} > ranks[p]),
+              b -> struct(p, b AS block, CAST((b * {block} - ranks[p] - 1) div {TILE} AS INT) AS tile))))))"""
     )
+    sent = placed.select("rep", "n", "size", "embedding", "ranks", tasks.alias("to")).select("to.*", "rep", "n", "size", "embedding", "ranks")
     schema = "kind string, a long, b long"
     out = arrow_type(schema)
 
     def compare(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
-        p, first = rows.column("pass")[0].as_py(), rows.column("block")[0].as_py() * block
+        p, first, tile = rows.column("p")[0].as_py(), rows.column("block")[0].as_py() * block, rows.column("tile")[0].as_py()
         order = rows.column("ranks").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
-        rows = rows.take(pa.array(np.argsort(order[:, p])))
-        order = order[np.argsort(order[:, p])]
+        by_rank = np.argsort(order[:, p])
+        rows, order = rows.take(pa.array(by_rank)), order[by_rank]
         place, sizes = order[:, p], rows.column("size").to_numpy()
         reps, weights = rows.column("rep").to_numpy(), rows.column("n").to_numpy()
         sums = np.zeros(len(reps), np.int64)
@@ -128,19 +152,24 @@ def window_links(classes: DataFrame, n: int, *, least: float, window: int) -> Da
             x = unit_rows(rows.column("embedding").combine_chunks().take(pa.array(at)), int(size))
             for lo in range(0, len(at), ROWS_AT_ONCE):
                 own = np.arange(lo, min(lo + ROWS_AT_ONCE, len(at)))
-                own = own[place[at[own]] >= first]  # the others are at home in the block before
+                own = own[place[at[own]] >= first]  # the others are at home in a block before
                 if not len(own):
                     continue
                 far = np.searchsorted(place[at], place[at[own[0]]] - window)
                 near = np.arange(far, own[-1] + 1)
+                if tile:  # the block's own rows meet in its first group
+                    near = near[place[at[near]] < first]
                 gap = place[at[own]][:, None] - place[at[near]][None, :]
                 linked = (x[own] @ x[near].T >= least) & (gap > 0) & (gap <= window)
-                full[at[own]] |= linked.sum(axis=1) >= window
+                if tiles == 1 or tile == tiles - 1:  # the end of the window is here
+                    i, j = np.nonzero(linked & (gap == window))
+                    filled = linked[i].sum(axis=1) >= np.minimum(window, (gap[i] > 0).sum(axis=1))
+                    full[at[own[i[filled]]]] = full[at[near[j[filled]]]] = True
                 i, j = np.nonzero(linked)
                 i, j = at[own[i]], at[near[j]]
                 new = np.ones(len(i), bool)
                 for q in range(p):
-                    new &= np.abs(order[i, q] - order[j, q]) > window
+                    new &= np.abs(order[i, q] - order[j, q]) > windows[q]
                 i, j = i[new], j[new]
                 np.add.at(sums, i, weights[j])
                 np.add.at(sums, j, weights[i])
@@ -149,10 +178,35 @@ def window_links(classes: DataFrame, n: int, *, least: float, window: int) -> Da
         pairs = np.array(edges, np.int64).reshape(-1, 2)
         kinds = ["links"] * len(with_links) + ["edge"] * len(pairs) + ["full"] * len(filled)
         a = np.concatenate([reps[with_links], reps[pairs[:, 0]], reps[filled]])
-        b = np.concatenate([sums[with_links], reps[pairs[:, 1]], filled * 0])
+        b = np.concatenate([sums[with_links], reps[pairs[:, 1]], 0 * filled])
         return pa.Table.from_arrays([pa.array(kinds, pa.string()), pa.array(a), pa.array(b)], schema=out)
 
-    return placed.groupBy("pass", "block").applyInArrow(compare, schema)
+    return sent.groupBy("p", "block", "tile").applyInArrow(compare, schema)
+
+
+def all_links(classes: DataFrame, *, least: float, window: int) -> DataFrame:
+    """Links of all classes (rep, n, size, embedding), level by level."""
+    live = classes.withColumns({"ranks": F.array().cast("array<long>"), "missed": F.lit(0.0)})
+    windows: list[int] = []
+    found = None
+    while True:
+        n = live.count()
+        passes, before = passes_for(n, window, least), len(windows)
+        own = ranks(projection_keys(live, passes, before), n, window, least)
+        own = own.select("rep", F.col("ranks").alias("new_ranks"), F.col("missed").alias("new_missed"))
+        live = live.join(own, "rep").select(
+            "rep", "n", "size", "embedding", F.concat("ranks", "new_ranks").alias("ranks"), (F.col("missed") + F.col("new_missed")).alias("missed")
+        )
+        live = materialize(live, "vector-ranks")
+        windows += [window] * passes
+        part = materialize(window_links(live, windows, before, least=least), "links")
+        found = part if found is None else found.unionByName(part)
+        full = part.where("kind = 'full'").select(F.col("a").alias("rep"), F.lit(True).alias("full")).distinct()
+        live = live.join(full, "rep", "left").where((F.col("missed") > math.log(MISSED)) | F.col("full")).drop("full")
+        live = materialize(live, "vectors-in-danger")
+        if window >= n or live.isEmpty():
+            return found
+        window *= 4
 
 
 def dedup_vectors(
@@ -173,12 +227,7 @@ def dedup_vectors(
         .withColumn("size", F.size("embedding"))
     )
     classes = materialize(classes, "vector-classes")
-    n = classes.count()
-    while True:
-        found = materialize(window_links(classes, n, least=least, window=window), "links")
-        if window >= n or found.where("kind = 'full'").isEmpty():
-            break
-        window *= 4
+    found = all_links(classes, least=least, window=window)
     sums = found.where("kind = 'links'").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("links"))
     components = connected_components(found.where("kind = 'edge'").select("a", "b")).withColumnRenamed("id", "rep")
     named = (

@@ -118,6 +118,31 @@ def test_vectors_are_brute_force(spark, window, clusters):
     assert all(got[i].kept == (got[i].component_id == i) for i in degree)
 
 
+@pytest.mark.parametrize(("tile", "window", "n"), [(8192, 256, 5_000), (64, 16, 500)])
+def test_dense_clusters_and_topics_keep_their_links(spark, monkeypatch, tile, window, n):
+    """A cluster of copies that no window holds, and a topic of vectors that are near but not linked, with
+    planted pairs: levels widen where they must, in groups of bounded rows."""
+    monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    rng = np.random.default_rng(12)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    noise = lambda k: unit(rng.standard_normal((k, 32)))
+    centre, other = noise(2)
+    topic = unit(np.sqrt(0.88) * centre + np.sqrt(0.12) * noise(n // 2))
+    copies = unit(other + 0.1 * noise(n))
+    planted = unit(topic[: n // 5] + 0.29 * noise(n // 5))
+    x = np.vstack([noise(n // 2), topic, copies, planted])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.dedup_vectors(table, window=window).collect()}
+    links = np.concatenate([(x[k : k + 500] @ x.T >= 0.95).sum(axis=1) - 1 for k in range(0, len(x), 500)])
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= links).all()
+    own = slice(n, 2 * n)
+    # windows of the query's width find all; of narrow ones the law's share may be missed
+    assert links[own].min() > window and found[own].sum() >= (1 if window == 256 else 1 - embedding_dedup.MISSED) * links[own].sum()
+    pairs = [*range(n // 2, n), *range(2 * n, len(x))]
+    assert links[pairs].sum() > n // 5 and found[pairs].sum() >= 0.97 * links[pairs].sum()
+
+
 @pytest.mark.parametrize(("run", "name", "schema"), [
     (simhash.op6_simhash, "documents", "doc_id long, text string"),
     (embedding_dedup.op7_embedding_dedup, "embeddings", "vec_id long, embedding array<float>"),
