@@ -8,6 +8,9 @@ seeds are, each passage is judged: it is aligned with its item by Smith-Waterman
 too few of the item's words for the least score in any order are not aligned, which loses none.
 A copy that shares no run of ``SEED_WORDS`` words with its item is not seen.
 
+An item of fewer than ``LEAST_WORDS`` words says little by itself: it is found only in documents of at most
+twice as many words, such as one that is nothing but the item.
+
 Documents are never shuffled: seeds and items go to the tasks. Items are taken in blocks of
 ``BLOCK_WORDS`` words at most, one pass for each block, so what is sent to tasks has a fixed bound however
 large the benchmark is. No cap is set on documents, items or passages.
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import arrow_type, materialize, table
 from .license_scan import WORD_BYTES
 
-SEED_WORDS, LEAST_SCORE = 3, 0.5
+SEED_WORDS, LEAST_SCORE, LEAST_WORDS = 3, 0.5, 5
 #: Words that a passage reaches beyond its item at least.
 SLACK_WORDS = 4
 BLOCK_WORDS = 2_000_000
@@ -70,54 +73,71 @@ def runs(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 class Seeds:
-    """Items of a block with their seeds: from seed to the items and places that hold it."""
+    """Items of a block with their seeds, as arrays: of each width the sorted seeds, and for each the items
+    and places that hold it."""
 
     def __init__(self, items: list[tuple[int, list[bytes]]]) -> None:
         hashes = WordHashes()
-        self.words = dict(items)
-        self.places: dict[int, list[tuple[int, int]]] = {}
-        by_width: dict[int, set[int]] = {}
-        for key, words in items:
-            n = min(SEED_WORDS, len(words))
-            for at, seed in enumerate(runs(hashes.of(words), n).tolist()):
-                self.places.setdefault(seed, []).append((key, at))
-                by_width.setdefault(n, set()).add(seed)
-        # a table of the top 20 bits lets nearly all runs go by
-        self.sorted = {n: np.array(sorted(s), np.uint64) for n, s in by_width.items()}
-        self.seen = {n: np.bincount((s >> np.uint64(44)).astype(np.int64), minlength=1 << 20) > 0 for n, s in self.sorted.items()}
-
-    def hits(self, hashes: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(place in the document, seed) of each shared run."""
-        for n, known in self.sorted.items():
-            found = runs(hashes, n)
-            at = np.flatnonzero(self.seen[n][(found >> np.uint64(44)).astype(np.int64)])
+        self.keys = [key for key, _ in items]
+        self.sizes = np.array([len(words) for _, words in items], np.int64)
+        self.words = [hashes.of(words) for _, words in items]
+        self.widths: dict[int, tuple[np.ndarray, ...]] = {}
+        for n in range(1, SEED_WORDS + 1):
+            own = np.flatnonzero(np.minimum(self.sizes, SEED_WORDS) == n)
+            if not len(own):
+                continue
+            parts = [runs(self.words[i], n) for i in own]
+            seeds, item = np.concatenate(parts), np.repeat(own.astype(np.int32), [len(p) for p in parts])
+            place = np.concatenate([np.arange(len(p), dtype=np.int32) for p in parts])
+            order = np.argsort(seeds, kind="stable")
+            known, starts, held = np.unique(seeds[order], return_index=True, return_counts=True)
+            # a table of the top 20 bits lets nearly all runs go by
+            seen = np.bincount((known >> np.uint64(44)).astype(np.int64), minlength=1 << 20) > 0
+            self.widths[n] = (known, starts, held, item[order], place[order], seen)
+
+    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, diagonal, seed) of each place where a run of the document is one of an item."""
+        found: list[tuple[np.ndarray, ...]] = []
+        for n, (known, starts, held, item, place, seen) in self.widths.items():
+            own = runs(hashes, n)
+            at = np.flatnonzero(seen[(own >> np.uint64(44)).astype(np.int64)])
+            near = np.minimum(np.searchsorted(known, own[at]), len(known) - 1)
+            same = known[near] == own[at]
+            at, near = at[same], near[same]
             if len(at):
-                own = found[at]
-                near = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                at = at[known[near] == own]
-                yield from zip(at.tolist(), found[at].tolist(), strict=True)
-
-    def passages(self, words: list[bytes], hashes: np.ndarray) -> list[tuple[int, list[tuple[int, int]], list[int]]]:
-        """(item, spans of words around its diagonals, its different seeds) for each item that shares one."""
-        by_item: dict[int, tuple[set[int], set[int]]] = {}
-        for at, seed in self.hits(hashes):
-            for key, place in self.places[seed]:
-                diagonals, seeds = by_item.setdefault(key, (set(), set()))
-                diagonals.add(at - place)
-                seeds.add(seed)
-        out = []
-        for key, (diagonals, seeds) in by_item.items():
-            n = len(self.words[key])
-            slack = max(SLACK_WORDS, n // 3)
-            spans: list[list[int]] = []
-            for d in sorted(diagonals):
-                lo, hi = max(0, d - slack), min(len(words), d + n + slack)
-                if spans and lo <= spans[-1][1]:
-                    spans[-1][1] = max(hi, spans[-1][1])
-                else:
-                    spans.append([lo, hi])
-            out.append((key, [(lo, hi) for lo, hi in spans], sorted(seeds)))
-        return out
+                n_held = held[near]
+                first = np.repeat(starts[near] - np.cumsum(n_held) + n_held, n_held)
+                where = first + np.arange(len(first))
+                found.append((item[where], np.repeat(at, n_held) - place[where], np.repeat(own[at], n_held)))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return tuple(np.concatenate(columns) for columns in zip(*found, strict=True))
+
+    def passages(self, hashes: np.ndarray) -> list[tuple[int, list[tuple[int, int]], int]]:
+        """(item, spans of words around its diagonals, count of its different seeds) for each item that shares one."""
+        item, diagonal, seed = self.hits(hashes)
+        fits = (self.sizes[item] >= LEAST_WORDS) | (len(hashes) <= 2 * self.sizes[item])
+        item, diagonal, seed = item[fits], diagonal[fits], seed[fits]
+        if not len(item):
+            return []
+        order = np.lexsort((seed, item))
+        new = np.ones(len(item), bool)
+        new[1:] = (np.diff(item[order]) != 0) | (np.diff(seed[order]) != 0)
+        items, n_seeds = np.unique(item[order][new], return_counts=True)
+        order = np.lexsort((diagonal, item))
+        item, diagonal = item[order], diagonal[order]
+        n = self.sizes[item]
+        slack = np.maximum(SLACK_WORDS, n // 3)
+        lo, hi = np.maximum(0, diagonal - slack), np.minimum(len(hashes), diagonal + n + slack)
+        # of one item, ends grow with the diagonal: a span goes on while the next begins within it
+        begins = np.ones(len(item), bool)
+        begins[1:] = (item[1:] != item[:-1]) | (lo[1:] > hi[:-1])
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(item)) - 1
+        spans: dict[int, list[tuple[int, int]]] = {}
+        for i, a, b in zip(item[starts].tolist(), lo[starts].tolist(), hi[ends].tolist(), strict=True):
+            spans.setdefault(i, []).append((a, b))
+        return [(i, spans[i], k) for i, k in zip(items.tolist(), n_seeds.tolist(), strict=True)]
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -147,12 +167,11 @@ def best_alignment(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, i
     return score / (MATCH * len(item)), j - back, j
 
 
-def may_reach(item: np.ndarray, passage: np.ndarray, least_score: float) -> bool:
-    """Whether the words of both, in any order, allow the score."""
-    words, n = np.unique(item, return_counts=True)
+def may_reach(words: np.ndarray, n: np.ndarray, passage: np.ndarray, least: float) -> bool:
+    """Whether a passage holds enough of an item's different words, which stand n times in it, in any order."""
     at = np.minimum(np.searchsorted(words, passage), len(words) - 1)
     held = np.bincount(at[words[at] == passage], minlength=len(words))
-    return np.minimum(held, n).sum() >= least_score * len(item)
+    return np.minimum(held, n).sum() >= least
 
 
 def align_passages(docs: DataFrame, seeds, *, id_col: str, text_col: str, least_score: float) -> DataFrame:
@@ -163,29 +182,29 @@ def align_passages(docs: DataFrame, seeds, *, id_col: str, text_col: str, least_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         known: dict = {}
-        items: dict[int, np.ndarray] = {}
+        counted: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             out: list[list] = [[] for _ in arrow]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = words_of(text.as_py())
-                own = hashes.of(words)
-                for item, spans, shared in seeds.value.passages(words, own):
-                    if item not in items:
-                        items[item] = hashes.of(seeds.value.words[item])
+                own = hashes.of(words_of(text.as_py()))
+                for i, spans, n_seeds in seeds.value.passages(own):
+                    item = seeds.value.words[i]
+                    if i not in counted:
+                        counted[i] = np.unique(item, return_counts=True)
                     best = (0.0, 0, 0)
                     for start, end in spans:
                         passage = own[start:end]
-                        if not may_reach(items[item], passage, least_score):
+                        if not may_reach(*counted[i], passage, least_score * len(item)):
                             continue
-                        at = (item, passage.tobytes())
+                        at = (i, passage.tobytes())
                         if at not in known:
                             if len(known) >= MOST_KNOWN:
                                 known.clear()
-                            known[at] = best_alignment(items[item], passage)
+                            known[at] = best_alignment(item, passage)
                         score, lo, hi = known[at]
                         best = max(best, (score, start + lo, start + hi))
                     if best[0] >= least_score:
-                        for column, value in zip(out, (key, item, *best, len(shared)), strict=True):
+                        for column, value in zip(out, (key, seeds.value.keys[i], *best, n_seeds), strict=True):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow)
 

@@ -177,6 +177,47 @@ def test_contamination_finds_planted_copies(spark, monkeypatch, block_words):
     assert all(r.start_word in range(55, 66) for r in found if r.doc_id is not None and r.doc_id < 1000)
 
 
+def brute_contamination(docs, items):
+    """(document, item) for each pair that shares a run of three words and aligns over the whole document."""
+    found = set()
+    for d, text in docs:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
+        number = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        seeds = {tuple(words[k : k + 3]) for k in range(len(words) - 2)}
+        for i, item in items:
+            own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", item.lower())
+            if not any(tuple(own[k : k + 3]) in seeds for k in range(len(own) - 2)):
+                continue
+            a, b = np.array([number.get(w, -1 - k) for k, w in enumerate(own)]), np.array([number[w] for w in words])
+            if decontamination.align(a, b)[0] >= 0.5 * 2 * len(own):
+                found.add((d, i))
+    return found
+
+
+def test_contamination_is_brute_force(spark):
+    """All documents of the smallest tables and copies edited at random, from whole to beyond recognition."""
+    rng = np.random.default_rng(6)
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
+    items += [(900 + k, "which of the following holds " + " ".join(f"q{k}x{j}" for j in range(12))) for k in range(20)]
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars < 20000").collect()]
+    for n in range(250):
+        text = items[rng.integers(len(items))][1].split()
+        docs.append((10_000 + n, " ".join([*rng.choice(text, 30), *edit(text, rng, float(rng.random() * 0.9)), *rng.choice(text, 30)])))
+    docs.append((20_000, "which of the following holds is what is asked"))
+    frame = lambda rows, key: spark.createDataFrame(rows, f"{key} long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_contamination(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    want = brute_contamination(docs, items)
+    assert got == want
+    assert len(want) > 100
+    assert {i for d, i in want if d >= 10_000} and not [d for d, _ in want if d == 20_000]
+
+
+def test_short_items_mark_no_long_documents(spark):
+    docs = spark.createDataFrame([(1, "yes"), (2, "well yes"), (3, "and yes it is so"), (4, "true or false it is asked here"), (5, "True or false?")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "yes"), (2, "true or false")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.find_contamination(docs, items).collect()} == {(1, 1), (2, 1), (5, 2)}
+
+
 def test_alignment_is_brute_force():
     rng = np.random.default_rng(4)
     for _ in range(30):
