@@ -67,11 +67,16 @@ def test_pii_base_is_brute_force(spark, tmp_path, monkeypatch):
     assert sorted(str((r.doc_id, [r.n_email, r.n_ip, r.n_card, r.n_phone], r.base_sha256)) for r in got) == sorted(want)
 
 
-def test_pii_network_on_held_out_documents(spark):
-    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 3 = 0").orderBy("doc_id").collect()]
-    held = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 3 = 1").collect()]
-    cut = [t[pii.window_places(t)[0][0] :][: pii.REGION] for t in texts if pii.window_places(t)]
-    net = pii.fit(*pii.training_windows(cut, np.random.default_rng(9)))
+@pytest.fixture(scope="module")
+def tagger(spark):
+    """A network trained on a third of the documents, and the texts of another third."""
+    texts = {k: [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(f"doc_id % 3 = {k}").orderBy("doc_id").collect()] for k in (0, 1)}
+    cut = [region for t in texts[0] for region in pii.drawn_regions(t)]
+    return pii.fit(*pii.training_windows(cut, np.random.default_rng(9))), texts[1]
+
+
+def test_pii_network_on_held_out_documents(tagger):
+    net, held = tagger
     tagged = pii.tagged_spans(held, net)
     base = [pii.code_points(t.encode(), pii.pattern_spans(t.encode())) for t in held]
     found = sum(len(set(a) & set(b)) for a, b in zip(tagged, base, strict=True))
@@ -81,12 +86,62 @@ def test_pii_network_on_held_out_documents(spark):
     assert len(added) <= 0.01 * len(clean)
     kinds = {k for s in pii.find_all([b"please write to john.doe (at) mail.example.com now"], net) for _, k, _, base in s if not base}
     assert kinds == {0}
+    # numbers that stand like cards but fail the check digit are what these documents add
+    assert sum(not own for s in pii.find_all([t.encode() for t in held], net) for *_, own in s) >= 40
+
+
+def planted(held, made, rng):
+    host = held[rng.integers(len(held))]
+    at = int(rng.integers(max(1, len(host) - 200)))
+    before, after = (re.sub("[0-9@]", "", host[lo : lo + 80]) for lo in (at, at + 80))
+    return f"{before} {made} {after}", len(before) + 1
+
+
+def test_pii_network_finds_what_patterns_miss(tagger):
+    """Unseen values of each kind in words of held-out documents, of which no pattern finds any part."""
+    net, held = tagger
+    rng = np.random.default_rng(77)
+    missed = {k: [0, 0, 0] for k in range(4)}
+    for n in range(800):
+        kind = n % 4
+        made = pii.spelled(kind, rng)
+        text, at = planted(held, made, rng)
+        spans = pii.find_all([text.encode()], net)[0]
+        mine = [s for s in spans if s[0] < at + len(made) and at < s[2]]
+        if not any(s[3] for s in mine):
+            missed[kind][0] += 1
+            missed[kind][1] += any(s[:3] == (at, kind, at + len(made)) for s in mine)
+            missed[kind][2] += any(s[1] == kind for s in mine)
+    total, exact, overlapping = map(sum, zip(*missed.values(), strict=True))
+    assert min(n for n, _, _ in missed.values()) >= 100
+    assert exact >= 0.85 * total and overlapping >= 0.93 * total
+    assert all(part >= 0.85 * n for n, _, part in missed.values())
+    marked = sum(bool(pii.find_all([planted(held, pii.lookalike(rng), rng)[0].encode()], net)[0]) for _ in range(400))
+    assert marked <= 8
+
+
+def test_pii_gradients_are_differences():
+    rng = np.random.default_rng(0)
+    net = pii.Network.fresh(rng)
+    net.w = {k: v.astype(np.float64) + 0.1 * rng.standard_normal(v.shape) for k, v in net.w.items()}
+    x, y = rng.integers(0, pii.CLASSES, (3, 7)), rng.integers(0, pii.TAGS, (3, 7))
+    _, g = net.gradients(x, y)
+    for name, v in net.w.items():
+        at = (x[0, 3] if name[0] == "x" else 1, *([2] if v.ndim > 1 else []))
+        before, losses = v[at], []
+        for step in (1e-2, -1e-2):
+            v[at] = before + step
+            losses.append(net.gradients(x, y)[0])
+        v[at] = before
+        assert abs((losses[0] - losses[1]) / 2e-2 - g[name][at]) < 2e-3, name
 
 
 def test_windows_cover_every_trigger():
-    text = "x" * 100 + "12 " * 200 + "y" * 300 + "a(at)b"
+    text = "x" * 100 + "12 " * 200 + "y" * 300 + "a(at)b" + "z" * 200 + "me [AT] here Dot there"
     places = pii.window_places(text)
-    for m in pii._TRIGGER.finditer(text):
+    marks = [*pii._DIGITS.finditer(text), *pii._SPELLED.finditer(text)]
+    assert len(marks) == 203
+    for m in marks:
         assert any(lo <= m.start() and m.end() <= hi for lo, hi in places)
     assert all(hi - lo <= pii.WIDTH for lo, hi in places)
 
