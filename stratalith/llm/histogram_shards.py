@@ -3,14 +3,15 @@
 Rows are ordered by a 60-bit hash of their text and then by id, so equal texts stand together and a
 group is split only where a shard is full. Boundaries of equal bytes are found without sorting: each
 round, all partitions count rows and exact bytes below a set of probe keys, counts are summed, and the
-interval of each boundary shrinks to the two probes around it, until one row is left in it. Then rows
-are exchanged once, into the ranges between the splitters, and numbered there.
+interval of each boundary shrinks to the two probes around it, until the upper one passes the boundary by a
+thousandth of a shard (``TOLERANCE``) at most or one row is left. Then rows are exchanged once, into the ranges between the splitters, and numbered there.
 
 What the driver sees is a count for each probe. Shards of many rows are split into more ranges, each
 with a known number of rows before it, so no task numbers more than ``range_rows`` rows or so.
 
-Nulls, empties: a null text has no bytes and hashes like the empty text. A null id counts as the
-smallest id there is less one. Rows that repeat an id and a text get slots in any order among them.
+Nulls, empties: a null text has no bytes and hashes like the empty text. Rows without an id count as having
+negative ids of their own. Rows that repeat an id and a text have one key, so they share a shard, and get slots
+in any order among them.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_type, materialize, table
 
-SHARDS, ROW_BYTES = 40, 16
+SHARDS, ROW_BYTES, TOLERANCE = 40, 16, 0.001
 PROBES = 64
 HASH_DIGITS = 15
 
@@ -99,12 +100,12 @@ def find_splitters(rows: DataFrame, targets: list[int], total: tuple[int, int],
 
 
 def shard_by_bytes(
-    rows: DataFrame, *, shards: int = SHARDS, range_rows: int = 1_000_000, tolerance: int = 0
+    rows: DataFrame, *, shards: int = SHARDS, range_rows: int = 1_000_000, tolerance: float = 0.0
 ) -> DataFrame:
     """Add ``shard`` and ``slot`` to rows with columns h (hash), d (id) and size (bytes).
 
-    Row k goes to shard floor(bytes before k * shards / all bytes). ``rows`` is read several times:
-    give a table. At most shards * 64 counts are seen by the driver in a round.
+    Row k goes to shard floor(bytes before k * shards / all bytes), but for rows within ``tolerance``, a share of
+    a shard's bytes, behind a boundary, which may go before it. ``rows`` is read several times: give a table. At most shards * 64 counts are seen by the driver in a round.
     """
     stats = rows.agg(F.count("*").alias("n"), F.sum("size").alias("b"), F.min("d").alias("lo"), F.max("d").alias("hi")).first()
     if not stats["n"]:
@@ -114,7 +115,7 @@ def shard_by_bytes(
     pieces = -(-stats["n"] // (shards * range_rows))
     parts = shards * pieces
     targets = [-(-stats["b"] * j // parts) for j in range(1, parts)]
-    found = find_splitters(rows, targets, (stats["n"], stats["b"]), width, low, tolerance)
+    found = find_splitters(rows, targets, (stats["n"], stats["b"]), width, low, int(tolerance * stats["b"] / parts))
     mask = (1 << width) - 1
     splitters = [((p >> width), (p & mask) + low) for p, _, _ in found]
     before = [0, *(n for _, n, _ in found)]
@@ -151,12 +152,12 @@ def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = docs.select(
         "doc_id",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("d"),
+        F.coalesce(F.col("doc_id").cast("long"), -1 - F.monotonically_increasing_id()).alias("d"),
         text_order(F.col("text")).alias("h"),
         (F.octet_length("text") + F.lit(ROW_BYTES)).cast("long").alias("size"),
         F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"),
     )
-    sharded = shard_by_bytes(materialize(rows, "shard-keys"))
+    sharded = shard_by_bytes(materialize(rows, "shard-keys"), tolerance=TOLERANCE)
     return sharded.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
         F.lit(None).cast("int").alias("grown_shard"),

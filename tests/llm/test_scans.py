@@ -195,6 +195,23 @@ def test_shards_are_the_sorted_ones(spark, range_rows):
     assert got == expected_shards(rows.collect())
 
 
+def test_shards_within_tolerance(spark):
+    """Fewer rounds, shards equal in bytes but for the tolerance and a row; numbers stay gapless."""
+    rows = spark.range(20_000).selectExpr("id AS d", "pmod(xxhash64(id), 1L << 58) AS h", "1 + id % 40 AS size").cache()
+    got = histogram_shards.shard_by_bytes(rows, shards=10, range_rows=700, tolerance=0.01).groupBy("shard").agg(
+        F.sum("size").alias("bytes"), F.count("*").alias("n"), F.max("slot").alias("last"), F.count_distinct("slot").alias("slots")
+    ).collect()
+    each = rows.agg(F.sum("size")).first()[0] / 10
+    assert len(got) == 10
+    assert all(abs(r.bytes - each) <= 0.01 * each + 80 and r.n == r.slots == r.last + 1 for r in got)
+
+
+def test_rows_without_ids_are_split(spark, tmp_path):
+    spark.range(3_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'one text' AS text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = histogram_shards.op9_histogram_shards(spark, str(tmp_path)).groupBy("shard").count().collect()
+    assert len(got) == 40 and max(r["count"] for r in got) - min(r["count"] for r in got) <= 1
+
+
 def test_shards_of_edges(spark, tmp_path):
     edges(spark).write.parquet(f"{tmp_path}/documents.parquet")
     got = histogram_shards.op9_histogram_shards(spark, str(tmp_path)).collect()
