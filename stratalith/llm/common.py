@@ -20,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share; one of our own only where none is set, on one machine."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = f"file://{tempfile.mkdtemp(prefix='stratalith-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -31,14 +33,38 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors.
 
-    The files go when the session's JVM ends.
+    The files go when the session's JVM ends, or by ``discard``.
     """
     spark = df.sparkSession
     where = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(where)
     path = spark._jvm.org.apache.hadoop.fs.Path(where)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(where)
+    written = spark.read.schema(df.schema).parquet(where)
+    written._written_at = path
+    return written
+
+
+def discard(*written: DataFrame | None) -> None:
+    """Delete tables of ``materialize`` whose readers are all written themselves."""
+    for df in written:
+        path = getattr(df, "_written_at", None)
+        if path is not None:
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: A key with more than 1/HOT of all rows (so HOT - 1 keys at most) is joined by broadcast.
+HOT = 64
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, *, key: str, size: str) -> DataFrame:
+    """Rows with the columns of their class, null without one. ``classes`` has one row for each key, which
+    ``size`` rows hold: keys with a large share are joined by broadcast, the others by a shuffle."""
+    total = classes.agg(F.sum(size)).first()[0] or 0
+    hot = F.broadcast(classes.where(F.col(size) * HOT > total))
+    cold = classes.where(F.col(size) * HOT <= total)
+    rest = rows.join(hot.select(key), key, "left_anti").join(cold, key, "left")
+    return rows.join(hot, key).unionByName(rest)
 
 
 #: Ids of one column that may be broadcast (8 MB); more are joined by a shuffle.
@@ -96,10 +122,10 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> Da
     while not live.isEmpty():
         ends = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = ends.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("p"))
-        up = materialize(up, "pointers")
-        nxt = up.select(F.col("id").alias("p"), F.col("p").alias("pp"))
-        up = up.join(nxt, "p").select("id", F.col("pp").alias("p"))
-        up = materialize(up, "pointers")
+        once = materialize(up, "pointers")
+        nxt = once.select(F.col("id").alias("p"), F.col("p").alias("pp"))
+        up = materialize(once.join(nxt, "p").select("id", F.col("pp").alias("p")), "pointers")
+        old_found, old_live = found, live
         found = (
             up.select("id", F.col("p").alias("component_id"))
             if found is None
@@ -116,6 +142,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> Da
             .distinct()
         )
         live = materialize(live, "edges")
+        discard(once, up, old_found, old_live)
     if found is None:
         return live.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
     return found

@@ -11,8 +11,8 @@ kernel matrix. It is trained on labelled sentences by rounds in the manner of mu
 sentence is as toxic as its most toxic word, and each toxic document puts forward the words that the
 last round ranked highest, against all words of clean documents. A logistic curve over a document's three
 highest sentence margins and its count of toxic sentences gives the score; it is fitted on documents
-that the machine has not seen. Training takes ``TRAIN_ROWS`` labelled documents at most, drawn by a hash
-of the id; all else covers every row.
+that the machine has not seen. Training takes ``TRAIN_ROWS`` labelled documents of ``TRAIN_BYTES`` together at
+most, drawn by a hash of the id; all else covers every row.
 
 As the kernel is a product of explicit features, the trained machine is one weight for each triple of
 letters. Words are scored in numpy, each different word of a batch once. No rows are shuffled but to
@@ -38,12 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_type, table
+from .common import arrow_type, discard, materialize, table
 
 ORDER, DECAY, WORD = 3, 0.6, 24
 LETTERS = 40
 START, END = "^", "$"
 TRAIN_ROWS, LANDMARKS, NEGATIVES, ROUNDS, WITNESSES = 6_000, 240, 50_000, 3, 3
+#: Bytes of text that training takes to the driver.
+TRAIN_BYTES = 48_000_000
 #: Least log ratio of a word's shares of toxic and of clean documents to be put forward.
 LEAST_ODDS = 2.0
 THRESHOLD = 0.7
@@ -345,9 +347,19 @@ def train_on(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     # sorted by hash: a sample of the labels that does not depend on how they are stored
     known = known.orderBy(F.xxhash64("labelled"), "labelled").limit(rows)
     own = docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("words")).where("words IS NOT NULL")
-    found = own.join(F.broadcast(known), "labelled").select("words", "label").collect()
-    found.sort()
-    return train([r["words"] for r in found], [r["label"] for r in found])
+    found = own.join(F.broadcast(known), "labelled").select("labelled", "words", "label", F.xxhash64("labelled", "words").alias("at"))
+    found = materialize(found, "labelled-texts")
+    sizes = found.groupBy("at").agg(F.sum(F.octet_length("words")).alias("n")).orderBy("at").collect()  # at most a row for each label
+    total, last = 0, None
+    for r in sizes:
+        total += r["n"]
+        if total > TRAIN_BYTES:
+            break
+        last = r["at"]
+    taken = found.where(F.col("at") <= last).select("words", "label").collect() if last is not None else []
+    discard(found)
+    taken.sort()
+    return train([r["words"] for r in taken], [r["label"] for r in taken])
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
