@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_type, connected_components, materialize, table
+from .common import arrow_type, connected_components, discard, join_classes, materialize, table
 from .simhash import Forest
 
 LEAST_COSINE, WINDOW, MISSED = 0.95, 256, 0.02
@@ -197,13 +197,15 @@ def all_links(classes: DataFrame, *, least: float, window: int) -> DataFrame:
         live = live.join(own, "rep").select(
             "rep", "n", "size", "embedding", F.concat("ranks", "new_ranks").alias("ranks"), (F.col("missed") + F.col("new_missed")).alias("missed")
         )
-        live = materialize(live, "vector-ranks")
+        last, live = live, materialize(live, "vector-ranks")
+        discard(last)
         windows += [window] * passes
         part = materialize(window_links(live, windows, before, least=least), "links")
         found = part if found is None else found.unionByName(part)
         full = part.where("kind = 'full'").select(F.col("a").alias("rep"), F.lit(True).alias("full")).distinct()
         live = live.join(full, "rep", "left").where((F.col("missed") > math.log(MISSED)) | F.col("full")).drop("full")
-        live = materialize(live, "vectors-in-danger")
+        last, live = live, materialize(live, "vectors-in-danger")
+        discard(last)
         if window >= n or live.isEmpty():
             return found
         window *= 4
@@ -230,21 +232,16 @@ def dedup_vectors(
     found = all_links(classes, least=least, window=window)
     sums = found.where("kind = 'links'").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("links"))
     components = connected_components(found.where("kind = 'edge'").select("a", "b")).withColumnRenamed("id", "rep")
-    named = (
-        classes.join(sums, "rep", "left").join(components, "rep", "left")
-        .select(
-            F.col("embedding").alias("class_embedding"),
-            (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"),
-            F.coalesce("component_id", "rep").alias("component"),
-        )
+    named = classes.join(sums, "rep", "left").join(components, "rep", "left").select(
+        "embedding", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component_id", "rep").alias("component")
     )
-    joined = own.join(named, F.col("valid") & (F.col("embedding") == F.col("class_embedding")), "left")
-    component = F.coalesce("component", F.col("vid").cast("long"))
-    return joined.select(
+    joined = join_classes(own.where("valid"), materialize(named, "named"), key="embedding", size="n").select("vid", "links", "component")
+    alone = own.where("NOT valid").select("vid", F.lit(0).cast("long").alias("links"), F.col("vid").cast("long").alias("component"))
+    return joined.unionByName(alone).select(
         F.col("vid").alias(id_col),
-        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(component == F.col("vid"), F.lit(True)).alias("kept"),
+        F.col("links").alias("n_links"),
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("component") == F.col("vid"), F.lit(True)).alias("kept"),
     )
 
 

@@ -8,9 +8,11 @@ Pairs are found exactly by vantage-point trees. A fingerprint is seen as ``block
 the Hamming distance over that part: a vantage point parts fingerprints by their distance at a median;
 those inside that lie within the part's radius of the boundary go to the outer side as well, since by
 the triangle inequality only they can have a partner there. The top levels of the trees are grown from a
-bounded sample of classes (``SAMPLE``) and cut all classes into shards, with copies of the
-boundary-overlapping ones; within a shard the tree goes on, down to leaves that are compared by XOR.
-The sample only steers the cut: every class is placed, and no pair is lost whatever the sample was.
+sample of classes (``SAMPLE``, or PER_SHARD for each shard if that is more) and cut all classes into shards,
+with copies of the boundary-overlapping ones; within a shard the tree goes on, down to leaves that are compared
+by XOR. The sample only steers the cut: every class is placed, and no pair is lost whatever the sample was. A
+shard that no vantage point could part is cut into chunks, and each two chunks are compared in a task of their
+own.
 
 A shard returns a spanning forest of the links that it finds, never all pairs, so a dense group of n
 fingerprints gives n - 1 rows. Components are joined over all shards by contraction in shared tables.
@@ -28,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_ASCII, arrow_type, connected_components, map_arrow, materialize, small_side, table
+from .common import LOWER_ASCII, arrow_type, connected_components, join_classes, map_arrow, materialize, small_side, table
 
 SEED, SHINGLE, RADIUS, BLOCKS = 42, 3, 3, 2
 #: Classes in the sample that steers the cut, classes that a shard should hold, classes that a leaf compares at once.
 SAMPLE, SHARD_CLASSES, LEAF = 20_000, 32_000, 256
+#: Classes in the sample for each shard at least; shards of more than OVERSIZE times their classes are cut.
+PER_SHARD, OVERSIZE = 8, 4
 #: Documents and runs that one side of a comparison of sets holds.
 TILE, TILE_RUNS = 1_000, 1_000_000
 
@@ -226,14 +230,14 @@ def near_links(
     candidate if one of them is within ``radius``. With a sketch, the pair is linked if all fingerprints
     from ``sketch_from`` on differ in ``sketch_radius`` bits at most together.
 
-    ``classes`` is read three times: give a table.
+    ``classes`` is read four times: give a table.
     """
     spark = classes.sparkSession
     n = classes.count()
     first = classes.first()
     columns = 0 if first is None else len(first["fps"]) if sketch_from is None else sketch_from
-    # about SAMPLE rows, whatever n is
-    sample = classes.sample(min(1.0, SAMPLE / n), 7).select("fps").collect() if n > SHARD_CLASSES else []
+    wanted = max(SAMPLE, PER_SHARD * n // SHARD_CLASSES)
+    sample = classes.sample(min(1.0, wanted / n), 7).select("fps").collect() if n > SHARD_CLASSES else []
     part_radius, parts = radius // blocks, masks(blocks)
     most = max(2, SHARD_CLASSES * len(sample) // max(n, 1))
     rng = np.random.default_rng(7)
@@ -290,7 +294,20 @@ def near_links(
         return pa.Table.from_arrays([pa.array(reps[pairs[:, 0]]), pa.array(reps[pairs[:, 1]])], schema=out)
 
     placed = classes.select("rep", "fps").mapInArrow(place, placed_schema)
-    return placed.groupBy("tree", "leaf").applyInArrow(compare, "a long, b long")
+    sizes = placed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > OVERSIZE * SHARD_CLASSES)
+    # fewer than one for each SHARD_CLASSES classes
+    large = materialize(sizes.select("tree", "leaf", F.ceil(F.col("n") / SHARD_CLASSES).alias("chunks")), "large-shards")
+    own = "pmod(xxhash64(rep), chunks)"
+    pairs = F.expr(
+        f"""CASE WHEN chunks IS NULL THEN array(struct(-1L AS one, -1L AS other)) ELSE transform(filter(sequence(0L, chunks - 1), j -> j <> {own}),
+          j -> struct(least(j, {own}) AS one, greatest(j, {own}) AS other)) END"""
+    )
+    if not large.isEmpty():
+        placed = placed.join(F.broadcast(large), ["tree", "leaf"], "left").select("tree", "leaf", "rep", "fps", F.explode(pairs).alias("to"))
+    else:
+        placed = placed.withColumn("to", F.struct(F.lit(-1).alias("one"), F.lit(-1).alias("other")))
+    placed = placed.select("tree", "leaf", "to.*", "rep", "fps")
+    return placed.groupBy("tree", "leaf", "one", "other").applyInArrow(compare, "a long, b long")
 
 
 def similar_pairs(at: np.ndarray, runs: np.ndarray, m: int, least: float, forest: Forest) -> list[tuple[int, int]]:
@@ -409,27 +426,26 @@ def similar_documents(docs: DataFrame, *, id_col: str, text_col: str, width: int
 
     sets = map_arrow(docs.select(id_col, text_col), work, f"`{id_col}` {dict(docs.dtypes)[id_col]}, runs_id binary, bands array<long>")
     sets = materialize(sets, "run-sets")
-    classes = sets.groupBy("runs_id", "bands").agg(F.min(id_col).cast("long").alias("rep")).where("rep IS NOT NULL")
+    classes = sets.groupBy("runs_id", "bands").agg(F.min(id_col).cast("long").alias("rep"), F.count("*").alias("n")).where("rep IS NOT NULL")
     classes = materialize(classes, "classes")
     spread = classes.select("rep", F.explode("bands").alias("band"))
     first = spread.groupBy("band").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
     links = spread.join(small_side(first), "band").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
     found = connected_components(verified_links(links, docs, id_col=id_col, text_col=text_col, width=width, least=least))
     named = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "runs_id", F.coalesce("component_id", "rep").alias("component_id")
+        "runs_id", "n", F.coalesce("component_id", "rep").alias("component_id")
     )
-    return sets.select(id_col, "runs_id").join(named, "runs_id", "left").select(id_col, "component_id")
+    return join_classes(sets.select(id_col, "runs_id"), materialize(named, "named"), key="runs_id", size="n").select(id_col, "component_id")
 
 
 def near_duplicates(fps: DataFrame, *, id_col: str, **how) -> DataFrame:
     """component_id for each row of (id, fps): the smallest id reachable over links."""
     fps = materialize(fps, "fingerprints")
-    classes = materialize(fps.groupBy("fps").agg(F.min(id_col).cast("long").alias("rep")).where("rep IS NOT NULL"), "classes")
+    classes = fps.groupBy("fps").agg(F.min(id_col).cast("long").alias("rep"), F.count("*").alias("n")).where("rep IS NOT NULL")
+    classes = materialize(classes, "classes")
     components = connected_components(near_links(classes, **how))
-    named = classes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
-        F.col("fps").alias("class_fps"), F.coalesce("component_id", "rep").alias("component_id")
-    )
-    return fps.join(named, F.col("fps") == F.col("class_fps"), "left").select(id_col, "fps", "component_id")
+    named = classes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select("fps", "n", F.coalesce("component_id", "rep").alias("component_id"))
+    return join_classes(fps, materialize(named, "named"), key="fps", size="n").select(id_col, "fps", "component_id")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,6 +87,28 @@ def test_trees_lose_no_pair(spark, monkeypatch, radius, blocks):
     assert components_of(range(len(fps)), links) == components_of(range(len(fps)), pairs)
 
 
+def test_shards_that_no_point_parts(spark, monkeypatch):
+    """Fingerprints alike on a part are cut into chunks; each two chunks are compared."""
+    monkeypatch.setattr(simhash, "SHARD_CLASSES", 50)
+    monkeypatch.setattr(simhash, "LEAF", 8)
+    rng = np.random.default_rng(8)
+    fps = sorted({int(x) << 32 | 5 for x in rng.integers(0, 1 << 31, 300)} | {(1 << int(a)) | (1 << int(b)) | 5 for a, b in rng.integers(32, 64, (300, 2))})
+    classes = spark.createDataFrame([(i, [simhash.signed(x)]) for i, x in enumerate(fps)], "rep long, fps array<long>")
+    links = [(r.a, r.b) for r in simhash.near_links(classes).collect()]
+    pairs = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    assert len(pairs) > len(fps)
+    assert components_of(range(len(fps)), links) == components_of(range(len(fps)), pairs)
+
+
+def test_hot_classes_join_apart(spark):
+    from stratalith.llm.common import join_classes
+
+    rows = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 200}") for i in range(1_000)] + [(5_000, None), (5_001, "none")], "id long, key string")
+    classes = rows.where("id < 5000").groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("rep"))
+    got = {r.id: r.rep for r in join_classes(rows, classes, key="key", size="n").collect()}
+    assert got == {**{i: 1 if i % 2 else i % 200 for i in range(1_000)}, 5_000: None, 5_001: None}
+
+
 def vectors(spark, rng, n, clusters):
     rows = [(i, rng.standard_normal(16).tolist()) for i in range(n)]
     for size in clusters:
