@@ -51,3 +51,12 @@ def base64_components(path: Column) -> Column:
 
 def path_of_components(parts: Column) -> Column:
     return F.array_join(F.transform(parts, lambda c: F.unbase64(c).cast("string")), "/")
+
+
+def strict_field(json: Column, path: str, kind: str) -> Column:
+    """A field of open JSON if it has its kind (string, long, double or boolean), else null: never a converted one."""
+    types = {"string": ("STRING",), "long": ("BIGINT",), "double": ("DOUBLE", "BIGINT"), "boolean": ("BOOLEAN",)}
+    found = F.try_variant_get(F.try_parse_json(json), path, "variant")
+    own = F.schema_of_variant(found)
+    fits = own.isin(*types[kind]) if kind != "double" else own.isin(*types[kind]) | own.startswith("DECIMAL")
+    return F.when(fits, F.try_variant_get(found, "$", kind))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def rate(amount: Column, seconds: Column, digits: int = 3) -> Column:
-    """Amount a second, null unless time has passed."""
-    return F.when(seconds > 0, F.round(amount / seconds, digits))
+    """Amount a second, half to even, null unless time has passed."""
+    return F.when(seconds > 0, F.bround(amount / seconds, digits))
 
 
 def format_bytes(size: Column) -> Column:
@@ -48,8 +48,9 @@ def escape_markdown(text: Column) -> Column:
 
 
 def retry_delay(attempt: Column, *, base: float, cap: float, remaining: Column | None = None) -> Column:
-    """Doubling delay before an attempt from 1 on, none before the first; never beyond what remains."""
-    delay = F.least(F.lit(base) * F.pow(F.lit(2.0), F.greatest(attempt - 2, F.lit(0))), F.lit(cap))
+    """Doubling delay before an attempt from 1 on, none before the first, doubled ten times at most; never beyond
+    what remains."""
+    delay = F.least(F.lit(base) * F.pow(F.lit(2.0), F.least(F.greatest(attempt - 2, F.lit(0)), F.lit(10))), F.lit(cap))
     delay = delay if remaining is None else F.least(delay, remaining)
     return F.when(attempt <= 1, 0.0).otherwise(delay)
 
@@ -79,3 +80,23 @@ def readable_version(text: Column) -> Column:
 
 def normalize_newlines(text: Column) -> Column:
     return F.regexp_replace(text, "\\r\\n?", "\n")
+
+
+def utc_text(text: Column) -> Column:
+    """An ISO-8601 time with a zone as ``2024-01-02T03:04:05Z``, whole seconds; null without a zone, or if it is none."""
+    zoned = text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})$")
+    at = F.to_utc_timestamp(F.try_to_timestamp(text), F.current_timezone())
+    return F.when(zoned, F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+
+
+def local_text(utc: Column, zone: str) -> Column:
+    """A text of ``utc_text`` as date and minute in a zone."""
+    return F.date_format(F.from_utc_timestamp(F.to_timestamp_ntz(F.rtrim(utc, F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp"), zone), "yyyy-MM-dd HH:mm")
+
+
+def unique_names(names: Column) -> Column:
+    """Parameter names of one signature told apart: a name that stood before gets ``_2``, ``_3`` and so on; empty
+    ones are called by place."""
+    named = F.transform(names, lambda x, i: F.when(F.coalesce(x, F.lit("")) == "", F.concat(F.lit("arg"), (i + 1).cast("string"))).otherwise(x))
+    nth = lambda x, i: F.size(F.filter(F.slice(named, F.lit(1), i + 1), lambda y: y == x))
+    return F.transform(named, lambda x, i: F.when(nth(x, i) > 1, F.concat_ws("_", x, nth(x, i).cast("string"))).otherwise(x))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def word_usage(docs: DataFrame, *, keys: list[str], text: str, pattern: str) -> DataFrame:
-    """(keys, word, n_uses, n_docs) of the first group of a pattern; counts combine before the shuffle."""
+    """(keys, word, n_uses) of the first group of a pattern; counts combine before the shuffle."""
     words = docs.select(*keys, F.explode(F.expr(f"regexp_extract_all({text}, r'{pattern}', 1)")).alias("word"))
     return words.groupBy(*keys, "word").agg(F.count("*").alias("n_uses"))
 

@@ -2,67 +2,67 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks.checkpoints import cut
+
 
-def walk_chain(edges: DataFrame, *, key: str, source: str, target: str, start: str, most_hops: int = 64) -> DataFrame:
-    """Every edge reached from ``start`` in each key, with its hop and whether it closes a cycle.
+def walk_chain(edges: DataFrame, *, key: str, source: str, target: str, start: str) -> DataFrame:
+    """Each edge of the walk from ``start`` in each key, with its hop and whether it closes a cycle.
 
-    A null source counts as the start. A recursive query with the path behind each row, so a cycle ends;
-    ``most_hops`` bounds its depth.
+    A null source counts as the start; of several edges from a source the smallest target is taken. Reach is
+    doubled: what lies within n hops is joined with jumps of n hops, and jumps with themselves, so rounds grow
+    with the logarithm of the longest walk, whatever its length, and a row holds no path.
     """
-    view = f"edges_{uuid.uuid4().hex}"
     own = edges.select(F.col(key).cast("string").alias("k"), F.coalesce(F.col(source).cast("string"), F.lit(start)).alias("s"), F.col(target).cast("string").alias("t"))
-    own.createOrReplaceTempView(view)
-    found = edges.sparkSession.sql(
-        f"""
-        WITH RECURSIVE walk MAX RECURSION LEVEL {most_hops + 2} AS (
-          SELECT k, s, t, 1 AS hop, array(s, t) AS path, s = t AS cycle FROM {view} WHERE s = '{start}'
-          UNION ALL
-          SELECT e.k, e.s, e.t, w.hop + 1, array_append(w.path, e.t), array_contains(w.path, e.t)
-          FROM walk w JOIN {view} e ON e.k = w.k AND e.s = w.t
-          WHERE NOT w.cycle AND w.hop < {most_hops})
-        SELECT k, s, t, hop, cycle FROM walk"""
+    step = cut(own.groupBy("k", "s").agg(F.min("t").alias("t")))
+    jump, span = step.select("k", F.col("s").alias("node"), F.col("t").alias("far")), 1
+    reach = new = cut(step.where(F.col("s") == start).select("k", F.col("s").alias("node"), F.lit(0).alias("hop")))
+    while not new.isEmpty():
+        far = reach.join(jump, ["k", "node"]).groupBy("k", F.col("far").alias("node")).agg((F.min("hop") + span).alias("hop"))
+        new = cut(far.join(reach, ["k", "node"], "left_anti"))
+        reach = cut(reach.unionByName(new))
+        onward = jump.select("k", F.col("node").alias("far"), F.col("far").alias("further"))
+        jump, span = cut(jump.join(onward, ["k", "far"]).select("k", "node", F.col("further").alias("far"))), span * 2
+    ends = reach.select("k", F.col("node").alias("t"), F.col("hop").alias("end_hop"))
+    walked = step.join(reach.withColumnRenamed("node", "s"), ["k", "s"]).join(ends, ["k", "t"])
+    return walked.select(
+        F.col("k").alias(key), F.col("s").alias(source), F.col("t").alias(target), (F.col("hop") + 1).alias("hop"), (F.col("end_hop") <= F.col("hop")).alias("cycle")
     )
-    return found.select(F.col("k").alias(key), F.col("s").alias(source), F.col("t").alias(target), "hop", "cycle")
 
 
-def chain_errors(edges: DataFrame, *, key: str, source: str, target: str, start: str, most_hops: int = 64) -> DataFrame:
-    """(key, error_code): branch, no-start, cycle or disconnected."""
-    own = edges.withColumn(source, F.coalesce(F.col(source).cast("string"), F.lit(start)))
-    walked = walk_chain(edges, key=key, source=source, target=target, start=start, most_hops=most_hops)
-    branch = own.groupBy(key, source).agg(F.count("*").alias("n")).where("n > 1").select(F.col(key).cast("string").alias(key), F.lit("branch").alias("error_code"))
-    starts = own.groupBy(F.col(key).cast("string").alias(key)).agg(F.count_if(F.col(source) == start).alias("n"))
-    no_start = starts.where("n = 0").select(key, F.lit("no-start").alias("error_code"))
-    cycle = walked.where("cycle").select(key, F.lit("cycle").alias("error_code"))
-    reached = walked.select(key, source, target)
-    apart = own.select(F.col(key).cast("string").alias(key), source, F.col(target).cast("string").alias(target)).join(reached, [key, source, target], "left_anti")
-    return branch.union(no_start).union(cycle).union(apart.select(key, F.lit("disconnected").alias("error_code"))).distinct()
+def chain_errors(edges: DataFrame, *, key: str, source: str, target: str, start: str) -> DataFrame:
+    """(key, error_code): branch, no-start, cycle or disconnected. A key that branches is not said to be
+    disconnected, as one of its branches alone is walked."""
+    own = edges.select(F.col(key).cast("string").alias(key), F.coalesce(F.col(source).cast("string"), F.lit(start)).alias(source))
+    walked = walk_chain(edges, key=key, source=source, target=target, start=start)
+    branch = own.groupBy(key, source).agg(F.count("*").alias("n")).where("n > 1").select(key).distinct()
+    starts = own.groupBy(key).agg(F.count_if(F.col(source) == start).alias("n"))
+    apart = own.join(walked.select(key, source), [key, source], "left_anti").join(branch, key, "left_anti").select(key).distinct()
+    found = {"branch": branch, "no-start": starts.where("n = 0").select(key), "cycle": walked.where("cycle").select(key).distinct(), "disconnected": apart}
+    parts = [part.select(key, F.lit(code).alias("error_code")) for code, part in found.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
 def follow_redirects(edges: DataFrame, *, source: str, target: str, most_hops: int = 8) -> DataFrame:
     """Where each source ends up: final place, hops, and ok, cycle or too-many-hops.
 
-    Hops are doubled: each round joins what was reached with the edges' own reach, so rounds grow with the
-    logarithm of the longest walk.
+    A walk that comes back to any place it has seen is a cycle, whether its source is in it or not. Each row
+    holds its walk of ``most_hops`` + 1 places at most; each round puts walks behind walks, so their length
+    doubles. Of several targets of a source the smallest is taken.
     """
-    own = edges.select(F.col(source).alias("src"), F.col(target).alias("at")).dropDuplicates(["src"])
-    step = own.select(F.col("src").alias("at"), F.col("at").alias("nxt"))
-    reached = own.withColumn("hops", F.lit(1)).withColumn("cycle", F.col("src") == F.col("at"))
-    for _ in range(most_hops):
-        moved = reached.join(step, "at", "left")
-        goes = F.col("nxt").isNotNull() & ~F.col("cycle")
-        reached = moved.select(
-            "src",
-            F.when(goes, F.col("nxt")).otherwise(F.col("at")).alias("at"),
-            (F.col("hops") + goes.cast("int")).alias("hops"),
-            (F.col("cycle") | (goes & (F.col("nxt") == F.col("src")))).alias("cycle"),
-        )
-    state = F.when(F.col("cycle"), "cycle").when(F.col("hops") > most_hops, "too-many-hops").otherwise("ok")
-    return reached.select(F.col("src").alias(source), F.col("at").alias("final"), "hops", state.alias("state"))
+    walks = cut(edges.groupBy(F.col(source).alias("src")).agg(F.min(target).alias("t")).select("src", F.array("src", "t").alias("path")))
+    reach = 1
+    while reach <= most_hops:
+        onward = walks.select(F.col("src").alias("at"), F.slice("path", 2, most_hops + 1).alias("more"))
+        both = walks.withColumn("at", F.element_at("path", -1)).join(onward, "at", "left")
+        longer = F.slice(F.concat("path", F.coalesce("more", F.slice("path", 1, 0))), 1, most_hops + 2)
+        walks, reach = cut(both.select("src", longer.alias("path"))), reach * 2
+    seen_again = F.expr("get(filter(sequence(1, size(path) - 1), i -> array_position(path, path[i]) <= i), 0)")
+    placed = walks.withColumn("again", seen_again).withColumn("hops", F.least(F.coalesce("again", F.size("path") - 1), F.lit(most_hops + 1)))
+    state = F.when(F.col("hops") > most_hops, "too-many-hops").when(F.col("again").isNotNull(), "cycle").otherwise("ok")
+    return placed.select(F.col("src").alias(source), F.expr("path[hops]").alias("final"), "hops", state.alias("state"))
 
 
 def prefix_length(rows: DataFrame, *, key: str, index: str, start: int = 0) -> DataFrame:

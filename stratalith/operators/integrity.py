@@ -28,6 +28,11 @@ def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
+def not_exactly_one(rows: DataFrame, keys: list[str], wanted: Column) -> DataFrame:
+    """Groups without just one wanted row, with how many they have."""
+    return rows.groupBy(*keys).agg(F.count_if(wanted).alias("n_wanted")).where("n_wanted <> 1")
+
+
 def inconsistent_groups(rows: DataFrame, keys: list[str], signature: list[str]) -> DataFrame:
     """Groups whose rows do not all share one signature."""
     kinds = rows.select(*keys, *signature).distinct()

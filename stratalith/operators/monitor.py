@@ -20,9 +20,18 @@ def idle_gaps(samples: DataFrame, *, key: str, time: Column, tie: str, amount: C
     return own.withColumn("idle_seconds", F.col("_t") - last).drop("_t")
 
 
-def cumulative(samples: DataFrame, *, key: str, time: Column, tie: str, amount: Column) -> DataFrame:
-    order = Window.partitionBy(key).orderBy(time, tie).rowsBetween(Window.unboundedPreceding, 0)
-    return samples.withColumn("total", F.sum(amount).over(order))
+def cumulative(samples: DataFrame, *, key: str, time: Column, tie: str, amount: Column, bucket_seconds: int = 3600) -> DataFrame:
+    """``total``: sum of a key's amounts so far, in order of time (whole seconds) and ``tie``.
+
+    Summed within buckets of time, and over the buckets before, so a key of many rows is spread over tasks.
+    """
+    own = samples.withColumn("_bucket", F.floor(time / bucket_seconds))
+    sums = own.groupBy(key, "_bucket").agg(F.sum(amount).alias("_sum"))
+    earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(key, "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(key, "_bucket").orderBy(time, tie).rowsBetween(Window.unboundedPreceding, 0)
+    found = own.withColumn("_within", F.sum(amount).over(within)).join(sums, [key, "_bucket"])
+    return found.select(*samples.columns, (F.col("_within") + F.col("_before")).alias("total"))
 
 
 def slow_windows(samples: DataFrame, *, key: str, time: Column, tie: str, total: str, seconds: int, least_rate: float) -> DataFrame:

@@ -61,6 +61,7 @@ def overlay(base: DataFrame, over: DataFrame, *, keys: list[str], value: str) ->
     return marked.groupBy(*keys).agg(F.max_by(value, "layer").alias(value), F.max("layer").alias("layer"))
 
 
-def collisions(rows: DataFrame, *, scope: list[str], folded: Column) -> DataFrame:
-    """Folded names that several rows of a scope share, with the count of rows."""
-    return rows.groupBy(*scope, folded.alias("folded")).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+def collisions(rows: DataFrame, *, scope: list[str], name: Column, folded: Column) -> DataFrame:
+    """Folded names that several spellings of a scope share, with the counts of spellings and rows."""
+    sums = rows.groupBy(*scope, folded.alias("folded")).agg(F.count_distinct(name).alias("n_spellings"), F.count("*").alias("n_rows"))
+    return sums.where("n_spellings > 1")

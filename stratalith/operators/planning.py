@@ -8,6 +8,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sinks.checkpoints import cut
+
 
 def match_branch(rows: DataFrame, matches: DataFrame, *, key: str, labels: tuple[str, str, str] = ("none", "single", "ambiguous")) -> DataFrame:
     """Which way each row goes by how many matches it has: none, one or more."""
@@ -20,16 +22,19 @@ def match_branch(rows: DataFrame, matches: DataFrame, *, key: str, labels: tuple
 def rank_over_all(rows: DataFrame, order: list[Column], *, rough: Column) -> DataFrame:
     """``rank`` from 0 over all rows in an order that refines a whole number ``rough``.
 
-    Ranks within each rough value plus the count of rows before it; the table of counts has one row for
-    each value, so no task sorts all rows.
+    Rows are cut into ranges of the whole order by a sample, so a rough value that most rows share is ranked by
+    many tasks; ranks within each range are added to the count of rows before it, of which there is one for each
+    range. ``rough`` leads the order.
     """
-    own = rows.withColumn("_rough", rough)
-    counts = own.groupBy("_rough").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_rough").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("_rough", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_rough").orderBy(*order)
-    ranked = own.withColumn("_within", F.row_number().over(within) - 1).join(counts, "_rough")
-    return ranked.select(*rows.columns, (F.col("_within") + F.col("_before")).alias("rank"))
+    whole = [rough.asc(), *order]
+    placed = rows.repartitionByRange(*whole).withColumn("_part", F.spark_partition_id())
+    within = Window.partitionBy("_part").orderBy(*whole)
+    ranked = cut(placed.withColumn("_within", F.row_number().over(within) - 1))
+    counts = ranked.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    found = ranked.join(F.broadcast(counts), "_part")  # one row for each partition
+    return found.select(*rows.columns, (F.col("_within") + F.col("_before")).alias("rank"))
 
 
 def rank_within(rows: DataFrame, *, key: str, item: str, most: int) -> DataFrame:
@@ -78,8 +83,15 @@ def balance_histogram(histogram: dict[int, int], bins: int) -> dict[int, list[in
     return out
 
 
-def balance_batches(rows: DataFrame, *, item: str, size: str, bins: int, grain: int = 1) -> DataFrame:
-    """Give rows to bins of near-equal load. Sizes are rounded up to ``grain``, which bounds the histogram."""
+#: Different sizes that a balance tells apart at most, so what the driver deals and sends has a bound.
+MOST_SIZES = 10_000
+
+
+def balance_batches(rows: DataFrame, *, item: str, size: str, bins: int, grain: int | None = None) -> DataFrame:
+    """Give rows to bins of near-equal load. Sizes are rounded up to ``grain``; by default as fine as MOST_SIZES
+    different sizes allow."""
+    if grain is None:
+        grain = max(1, -(-(rows.agg(F.max(size)).first()[0] or 0) // MOST_SIZES))
     rounded = (F.ceil(F.col(size) / grain) * grain).cast("long")
     own = rows.withColumn("_size", rounded)
     counts = {r["_size"]: r["n"] for r in own.groupBy("_size").agg(F.count("*").alias("n")).collect()}
@@ -97,8 +109,7 @@ def balance_batches(rows: DataFrame, *, item: str, size: str, bins: int, grain:
 
 
 def upgrade_proven_hosts(urls: DataFrame, *, url: str, host: Column) -> DataFrame:
-    """``resolved``: http urls as https where the same host is seen with https anywhere, closing slash added
-    to those without a path's end. Others stay."""
+    """``resolved``: http urls as https where the same host is seen with https anywhere. Others stay."""
     own = urls.withColumn("_host", host)
     secure = own.where(F.col(url).startswith("https://")).select(F.col("_host").alias("secure_host")).distinct()
     both = own.join(secure, F.col("_host") == F.col("secure_host"), "left")

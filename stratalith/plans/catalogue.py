@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import layers, runs, series
+from . import layers, runs, series, stages
 
-MODULES = (layers, runs, series)
+MODULES = (layers, runs, series, stages)
 
 
 def queries() -> dict:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.canon import canonical_json, sha256
-from ..functions.paths import url_host
+from ..functions.canon import canonical_json, fold_case, sha256
 from ..operators import integrity, overlay, stats
 from .tables import table
 
@@ -50,7 +49,8 @@ def overlay_layers(spark, sf_dir):
 
 def case_collisions(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    return overlay.collisions(pages, scope=[], folded=url_host(F.col("url")))
+    host = F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return overlay.collisions(pages.select(F.upper(F.substring(F.md5("url"), 1, 1)).alias("side"), host.alias("host")), scope=[], name=F.when(F.col("side") < "8", F.initcap("host")).otherwise(F.col("host")), folded=fold_case(F.col("host")))
 
 
 def manifest_size_audit(spark, sf_dir):
@@ -125,8 +125,8 @@ def invariant_violations(spark, sf_dir):
 
 
 def set_difference(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation")).where("c_nationkey % 5 <> 1")
-    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation")).where("s_nationkey % 4 <> 2")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"))
     return integrity.set_difference(customers, suppliers, "nation")
 
 
@@ -189,8 +189,9 @@ SQL = {
     "overlay_layers": """WITH s AS (SELECT o_custkey, max(o_totalprice) FILTER (o_orderstatus = 'F') AS f, max(o_totalprice) FILTER (o_orderstatus = 'O') AS o
       FROM orders GROUP BY 1) SELECT o_custkey, coalesce(o, f) AS price, CASE WHEN o IS NULL THEN 'base' ELSE 'override' END AS layer,
       (f IS NOT NULL)::BIGINT + (o IS NOT NULL)::BIGINT AS n_layers FROM s WHERE f IS NOT NULL OR o IS NOT NULL""",
-    "case_collisions": """SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS folded, count(*) AS n_rows
-      FROM pages GROUP BY 1 HAVING count(*) > 1""",
+    "case_collisions": """WITH h AS (SELECT upper(substr(md5(url), 1, 1)) AS side, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1) AS host FROM pages)
+      SELECT lower(host) AS folded, count(DISTINCT CASE WHEN side < '8' THEN upper(substr(host, 1, 1)) || lower(substr(host, 2)) ELSE host END) AS n_spellings, count(*) AS n_rows
+      FROM h GROUP BY 1 HAVING n_spellings > 1""",
     "manifest_size_audit": """SELECT doc_id, n_chars AS declared, length(text)::BIGINT AS actual, octet_length(encode(text))::BIGINT AS n_bytes,
       sha256(text) AS digest, n_chars = length(text) AS agrees FROM documents""",
     "manifest_presence_audit": """SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing'
@@ -222,8 +223,8 @@ SQL = {
       CASE WHEN NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false) THEN 'unknown-flag' END,
       CASE WHEN NOT coalesce(l_extendedprice >= l_quantity * 100, false) THEN 'price-below-quantity' END]) AS error_code FROM lineitem)
       WHERE error_code IS NOT NULL""",
-    "set_difference": """WITH c AS (SELECT DISTINCT c_nationkey AS nation FROM customer WHERE c_nationkey % 5 <> 1),
-      s AS (SELECT DISTINCT s_nationkey AS nation FROM supplier WHERE s_nationkey % 4 <> 2)
+    "set_difference": """WITH c AS (SELECT DISTINCT c_nationkey AS nation FROM customer),
+      s AS (SELECT DISTINCT s_nationkey AS nation FROM supplier)
       SELECT nation, 'missing' AS state FROM c WHERE nation NOT IN (SELECT nation FROM s)
       UNION ALL SELECT nation, 'unmanifested' FROM s WHERE nation NOT IN (SELECT nation FROM c)""",
     "limit_violations": """SELECT l_orderkey, error_code FROM (SELECT l_orderkey, unnest([CASE WHEN n > 6 THEN 'too-many-lines' END, CASE WHEN q > 150 THEN 'too-much-quantity' END,

@@ -85,10 +85,13 @@ def usage_index(spark, sf_dir):
     return evidence.word_usage(docs, keys=["lang"], text="text", pattern="([a-z]+)[.]")
 
 
+ANY_LENGTH = (1 << 63) - 1
+
+
 def overload_score(spark, sf_dir):
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length("text").cast("long").alias("n"))
     shapes = spark.createDataFrame(
-        [("short-user", "user", 0, 80), ("long-user", "user", 81, 100000), ("short-any", None, 0, 40), ("reply", "assistant", 0, 100000), ("any", None, 0, 100000)],
+        [("short-user", "user", 0, 80), ("long-user", "user", 81, ANY_LENGTH), ("short-any", None, 0, 40), ("reply", "assistant", 0, ANY_LENGTH), ("any", None, 0, ANY_LENGTH)],
         "shape string, s_role string, low long, high long",
     )
     near = talks.join(F.broadcast(shapes), F.col("n").between(F.col("low"), F.col("high")))  # five shapes, whatever the rows
@@ -125,9 +128,9 @@ def converter_roundtrip(spark, sf_dir):
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = pack_catalog({"": "Content-Type: text/plain; charset=UTF-8", f"document {key}": text or ""})
-                yield pa.RecordBatch.from_pydict({"path": [str(key)], "content": [data]})
+            keys = batch.column(0).to_pylist()
+            packed = [pack_catalog({"": "Content-Type: text/plain; charset=UTF-8", f"document {k}": t or ""}) for k, t in zip(keys, batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_pydict({"path": list(map(str, keys)), "content": packed})
 
     files = docs.mapInArrow(pack, "path string, content binary")
     back = list_messages(files).where("message_id <> ''").select(F.col("path").cast("long").alias("doc_id"), F.element_at("texts", 1).alias("read"))
@@ -174,8 +177,8 @@ SQL = {
     "min_by_dedupe": f"""WITH {_EVENTS} SELECT user_id, event_type, t, event_id, cents FROM e QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1""",
     "unambiguous_values": """SELECT p_brand, p_size, min(p_type) AS p_type, min(p_partkey) AS p_partkey FROM part GROUP BY 1, 2 HAVING count(DISTINCT p_type) = 1""",
     "usage_index": """SELECT lang, word, count(*) AS n_uses FROM (SELECT lang, unnest(regexp_extract_all(text, '([a-z]+)[.]', 1)) AS word FROM documents) GROUP BY 1, 2""",
-    "overload_score": """WITH s(shape, s_role, low, high) AS (VALUES ('short-user', 'user', 0, 80), ('long-user', 'user', 81, 100000), ('short-any', NULL, 0, 40),
-      ('reply', 'assistant', 0, 100000), ('any', NULL, 0, 100000)),
+    "overload_score": """WITH s(shape, s_role, low, high) AS (VALUES ('short-user', 'user', 0, 80), ('long-user', 'user', 81, 9223372036854775807), ('short-any', NULL, 0, 40),
+      ('reply', 'assistant', 0, 9223372036854775807), ('any', NULL, 0, 9223372036854775807)),
       j AS (SELECT DISTINCT conv_id, turn, role, length(text)::BIGINT AS n, shape, CASE WHEN s_role IS NULL THEN 1 WHEN s_role = role THEN 3 ELSE -3 END AS score
       FROM conversations JOIN s ON length(text) BETWEEN low AND high)
       SELECT * FROM j QUALIFY score = max(score) OVER (PARTITION BY conv_id, turn, role, n)""",

@@ -28,14 +28,17 @@ def explode_binary(files: DataFrame, parse: Callable[[bytes], list[dict]], schem
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            rows: list[tuple] = []
+            last = batch.num_rows - 1
+            for k, (path, content) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 try:
-                    rows = [(path, *(r.get(n) for n in names), None) for r in parse(content.as_py() or b"")]
+                    rows += [(path, *(r.get(n) for n in names), None) for r in parse(content.as_py() or b"")]
                 except (ValueError, struct.error, zipfile.BadZipFile, UnicodeDecodeError) as error:
-                    rows = [(path, *(None for _ in names), f"{type(error).__name__}: {error}"[:200])]
-                if rows:
+                    rows.append((path, *(None for _ in names), f"{type(error).__name__}: {error}"[:200]))
+                if rows and (k == last or len(rows) >= 10_000):
                     columns = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+                    rows = []
 
     return files.select("path", "content").mapInArrow(run, out)
 

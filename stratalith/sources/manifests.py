@@ -35,17 +35,16 @@ def manifest_lines(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def verify_manifest(spark: SparkSession, path: str, *, digest: str, records: int) -> DataFrame:
-    """(error_code) for a count or digest that differs from the declared one.
+    """(error_code) for a count or digest that differs from the declared one, or a part whose last line is open."""
+    from ..sinks.manifests import manifest_parts, manifest_reference
 
-    The digest is of the sorted digests of lines, which any number of tasks can make.
-    """
-    from ..sinks.manifests import manifest_digest
-
-    found = manifest_digest(spark.read.text(path), "value")
+    parts = manifest_parts(spark, path)
+    found = manifest_reference(parts).crossJoin(parts.agg(F.coalesce(F.bool_and("whole"), F.lit(True)).alias("whole")))  # a row each
     checks = F.array_compact(
         F.array(
             F.when(F.col("records") != records, F.lit("record-count")),
             F.when(F.col("digest") != digest, F.lit("digest")),
+            F.when(~F.col("whole"), F.lit("open-line")),
         )
     )
     return found.select(F.explode(checks).alias("error_code"))

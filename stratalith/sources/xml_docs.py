@@ -25,18 +25,18 @@ def first_present(xml: Column, paths: list[str]) -> Column:
 
 def explode_nodes(docs: DataFrame, *, xml: str, keep: list[str], node: str, fields: dict[str, str]) -> DataFrame:
     """A row for each node of a path, with a text field for each relative path: an attribute (``@a``) or a
-    child. A node that lacks a field has null there.
+    child. A node that lacks a field, or has it empty, has null there; others keep theirs.
 
-    Spark's XPath takes constant paths alone, so a field comes as one list of all nodes, and a field that
-    some nodes of a document lack, which would shift the list, is null for that document.
+    Spark's XPath takes constant paths alone and drops empty texts, so a document is parsed once by ``from_xml``
+    down to the nodes' parent, and each node's fields are read by name.
     """
-    safe = docs.select(*keep, guarded(F.col(xml)).alias("_xml")).where("_xml IS NOT NULL")
-    count = F.xpath_int("_xml", F.lit(f"count({node})"))
-    rows = safe.select("*", F.explode(F.when(count > 0, F.sequence(F.lit(1), count))).alias("position"))
-    return rows.select(*keep, "position", *(_at(node, path).alias(name) for name, path in fields.items()))
-
-
-def _at(node: str, path: str) -> Column:
-    values = F.xpath(F.col("_xml"), F.lit(f"{node}/{path}" + ("" if path.startswith("@") else "/text()")))
-    complete = F.size(values) == F.xpath_int("_xml", F.lit(f"count({node})"))
-    return F.when(complete, F.element_at(values, F.col("position")))
+    _, *parents, name = node.strip("/").split("/")
+    field = lambda p: f"_{p[1:]}" if p.startswith("@") else p
+    inner = ", ".join(f"`{field(p)}`: string" for p in dict.fromkeys(fields.values()))
+    schema = f"`{name}` array<struct<{inner}>>"
+    for step in reversed(parents):
+        schema = f"`{step}` struct<{schema.replace('` ', '`: ', 1)}>"
+    safe = docs.select(*keep, F.from_xml(guarded(F.col(xml)), schema, {"attributePrefix": "_", "nullValue": ""}).alias("_doc"))
+    path = ".".join(f"`{step}`" for step in [*parents, name])
+    rows = safe.select(*keep, F.posexplode(F.col(f"_doc.{path}")).alias("position", "_node"))
+    return rows.select(*keep, (F.col("position") + 1).alias("position"), *(F.col(f"_node.`{field(p)}`").alias(n) for n, p in fields.items()))

@@ -306,3 +306,87 @@ def test_preferred(spark):
     assert planning.preferred_or_first(data, preferred=F.col("name") == "a", order=["size"]).first().name == "a"
     largest = data.withColumn("less", -F.col("size"))
     assert planning.preferred_or_first(largest, preferred=F.lit(False), order=["less", "name"]).first().name == "b"
+
+
+def test_long_chains_and_cycles_behind_a_tail(spark):
+    edges = [("long", str(i), str(i + 1)) for i in range(300)] + [("rho", "0", "1"), ("rho", "1", "2"), ("rho", "2", "3"), ("rho", "3", "1")]
+    edges = spark.createDataFrame(edges, "part string, src string, dst string")
+    assert rows(graph.chain_errors(edges, key="part", source="src", target="dst", start="0"), "part", "error_code") == [("rho", "cycle")]
+    walked = graph.walk_chain(edges, key="part", source="src", target="dst", start="0")
+    assert walked.where("part = 'long'").agg(F.max("hop"), F.count("*")).first()[:] == (300, 300)
+    assert rows(walked.where("cycle"), "part", "src", "dst", "hop") == [("rho", "3", "1", 4)]
+    hops = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b"), *[(f"h{i}", f"h{i + 1}") for i in range(8)]], "src string, dst string")
+    found = {r.src: (r.final, r.hops, r.state) for r in graph.follow_redirects(hops, source="src", target="dst").collect()}
+    assert found["a"] == ("b", 3, "cycle") and found["b"] == ("b", 2, "cycle")
+    assert found["h0"] == ("h8", 8, "ok")
+
+
+def test_download_statistics_in_full(spark):
+    data = [("s", 100, False, 20, 2, 4, [30], "web-seed"), ("s", 200, True, None, None, None, None, None), ("t", 5, False, 9, None, None, [], None)]
+    table = spark.createDataFrame(data, "k string, size long, reused boolean, resumed long, attempts long, segments long, discarded array<long>, method string")
+    columns = {c: F.col(c) for c in ("size", "reused", "resumed", "attempts", "segments", "discarded", "method")}
+    got = stats.download_stats(table, keys=["k"], **columns, methods=["web-seed", "torrent"], seconds=F.max(F.lit(10)))
+    one, two = sorted(got.collect())
+    assert one.asDict() == {
+        "k": "s", "n_items": 2, "n_fetched": 1, "n_reused": 1, "reused_bytes": 200, "resumed_bytes": 20, "network_bytes": 110, "attempts": 2, "n_parallel": 1,
+        "parallel_segments": 4, "n_fallback_items": 1, "n_fallbacks": 1, "discarded_bytes": 30, "n_web-seed": 1, "n_torrent": 0, "seconds": 10, "network_rate": 11.0,
+    }
+    assert (two.resumed_bytes, two.network_bytes, two.n_parallel, two.network_rate) == (5, 0, 0, 0.0)
+
+
+def test_run_state(spark):
+    data = [
+        ("a", 1, "success", "r1"), ("a", 2, "failure", "r2"), ("a", 3, "cancelled", None), ("a", 4, "failure", "r2"), ("a", 5, "failure", "r1"),
+        ("b", 1, "failure", "r1"), ("b", 2, "failure", "r2"), ("b", 3, "failure", "r1"), ("b", 4, "failure", "r1"),
+        ("c", 1, "failure", "r1"), ("c", 2, "success", "r1"), ("d", 1, "cancelled", None),
+    ]
+    runs = spark.createDataFrame(data, "k string, t long, result string, release string")
+    found = history.run_state(runs, target="k", order=["t"], result=F.col("result"), release=F.col("release"), completed=F.col("t") * 10)
+    assert sorted(map(tuple, found.collect())) == [
+        ("a", "r1", "failure", "r2", 20, 40), ("b", None, "failure", "r1", 30, 40), ("c", "r1", "success", None, None, None), ("d", None, "cancelled", None, None, None),
+    ]
+
+
+def test_status_rules(spark):
+    good = ("r1", "1.0", "failure", "r2", 100, 160, 60, "r2", 150, 160)
+    bad = {
+        "unknown-result": (2, "done"), "version-without-text": (1, None), "completed-before-start": (4, 200), "completed-in-future": (5, 2000), "duration": (6, 61),
+        "failure-without-retry": (7, None), "retry-of-version": (7, "r1"), "retry-order": (8, 170), "retry-of-other-run": (9, 155),
+    }
+    table = [("good", *good), *((code, *good[:at], value, *good[at + 1 :]) for code, (at, value) in bad.items())]
+    schema = "k string, version string, readable string, result string, run_release string, started long, completed long, seconds long, retry_release string, first_failed long, last_failed long"
+    found = {(r.k, r.error_code) for r in integrity.violations(spark.createDataFrame(table, schema), ["k"], history.status_rules(now=F.lit(1000))).collect()}
+    assert {(code, code) for code in bad} <= found and not any(k == "good" for k, _ in found)
+
+
+def test_spellings_collide(spark):
+    names = spark.createDataFrame([("a", "Straße"), ("a", "STRASSE"), ("a", "same"), ("a", "same"), ("b", "Same")], "scope string, name string")
+    found = overlay.collisions(names, scope=["scope"], name=F.col("name"), folded=canon.fold_case(F.col("name")))
+    assert rows(found, "scope", "folded", "n_spellings", "n_rows") == [("a", "strasse", 2, 2)]
+
+
+def test_rank_over_all_of_one_value(spark):
+    table = spark.range(500).selectExpr("id", "1 AS size")
+    found = planning.rank_over_all(table, [F.desc("size"), F.asc("id")], rough=F.lit(3))
+    assert {r.id: r["rank"] for r in found.collect()} == {i: i for i in range(500)}
+
+
+def test_totals_cross_buckets(spark):
+    from stratalith.operators.monitor import cumulative
+
+    table = spark.range(200).selectExpr("id", "'k' AS k", "id * 37 AS t", "id % 5 AS n")
+    found = {r.id: r.total for r in cumulative(table, key="k", time=F.col("t"), tie="id", amount=F.col("n"), bucket_seconds=100).collect()}
+    assert found == {i: sum(j % 5 for j in range(i + 1)) for i in range(200)}
+
+
+def test_times_and_parameter_names(spark):
+    from stratalith.functions import formats
+
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(formats.utc_text(F.lit("2024-03-31T01:30:00.9+02:00"))) == "2024-03-30T23:30:00Z"
+    assert one(formats.utc_text(F.lit("2024-03-31T01:30:00"))) is None and one(formats.utc_text(F.lit("soon"))) is None
+    assert one(formats.local_text(F.lit("2024-07-01T10:00:00Z"), "Europe/Berlin")) == "2024-07-01 12:00"
+    assert one(formats.unique_names(F.array(F.lit("x"), F.lit(""), F.lit("x"), F.lit(None)))) == ["x", "arg2", "x_2", "arg4"]
+    assert one(formats.retry_delay(F.lit(40), base=1.0, cap=1e9)) == 1024.0
+    assert one(formats.rate(F.lit(5), F.lit(16), 3)) == 0.312
+    assert one(canon.crc32_hex(F.lit(b"123456789"))) == "CBF43926"

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import json
 import struct
 import zipfile
 
@@ -157,3 +158,35 @@ def test_windowed_counts(spark, tmp_path):
     query.stop()
     got = spark.sql("SELECT sum(n) AS n, count(DISTINCT window_start) AS w FROM counts").first()
     assert 0 < got.n < 1000 and got.w >= 25
+
+
+@pytest.mark.parametrize("part_lines", [200_000, 7])
+def test_manifest_digest_is_that_of_the_files(spark, tmp_path, part_lines):
+    table = spark.range(40).selectExpr("CAST(id AS STRING) AS path", "CAST(id AS INT) AS size", "CAST(NULL AS STRING) AS note").repartition(3)
+    seal = manifests.write_manifest(table.coalesce(1), f"{tmp_path}/m", order=["size"], part_lines=part_lines)
+    files = [p.read_bytes() for p in sorted((tmp_path / "m").glob("part-*.txt"))]
+    assert [json.loads(line)["size"] for data in files for line in data.splitlines()] == list(range(40))
+    held = [(hashlib.sha256(d).hexdigest(), d.count(b"\n")) for d in files if d]
+    want = held[0][0] if len(held) == 1 else hashlib.sha256("".join(f"{h} {n}\n" for h, n in held).encode()).hexdigest()
+    assert seal == {"records": 40, "digest": want}
+    last = sorted((tmp_path / "m").glob("part-*.txt"))[-1]
+    last.write_bytes(last.read_bytes()[:-1])
+    (tmp_path / "m" / f".{last.name}.crc").unlink()
+    assert {r.error_code for r in manifest_source.verify_manifest(spark, f"{tmp_path}/m", **seal).collect()} == {"digest", "record-count", "open-line"}
+
+
+def test_sealed_folders_are_checked(spark, tmp_path):
+    name = manifests.write_seal(spark, f"{tmp_path}/s", {"files": {"records": 2, "sha256": "x"}, "created_at": "2024"})
+    assert manifests.write_seal(spark, f"{tmp_path}/t", {"files": {"sha256": "x", "records": 2}, "created_at": "2025"}) == name
+    assert manifests.seal_errors(spark, f"{tmp_path}/s").collect() == []
+    path = tmp_path / "s" / "snapshot.json"
+    path.write_bytes(path.read_bytes().replace(b'"x"', b'"y"'))
+    (tmp_path / "s" / ".snapshot.json.crc").unlink()
+    assert {r.error_code for r in manifests.seal_errors(spark, f"{tmp_path}/s").collect()} == {"ready", "identity"}
+
+
+def test_xml_nodes_that_lack_a_field(spark):
+    xml = "<r><g><f n='a'><size>1</size></f><f><size></size></f><f n='c'/></g></r>"
+    docs = spark.createDataFrame([(1, xml), (2, "<r/>"), (3, "<r><g>")], "id int, xml string")
+    found = xml_docs.explode_nodes(docs, xml="xml", keep=["id"], node="/r/g/f", fields={"name": "@n", "size": "size"})
+    assert sorted(map(tuple, found.collect())) == [(1, 1, "a", "1"), (1, 2, None, None), (1, 3, "c", None)]
