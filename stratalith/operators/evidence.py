@@ -78,10 +78,23 @@ def expand_families(signatures: DataFrame, *, name: str, params: str) -> DataFra
     return both.select(name, "short", "longer")
 
 
-def call_shapes(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
-    """(keys, name, arity, kinds, n_calls) of calls without calls in their arguments: the kind of each argument is
-    string, number, bool, none, keyword or name."""
-    calls = docs.select(*keys, F.explode(F.expr(rf"regexp_extract_all({text}, r'([A-Za-z_][A-Za-z0-9_.]*[(][^()]*[)])', 1)")).alias("call"))
+_CALL = r"[A-Za-z_][A-Za-z0-9_.]*[(][^()]*[)]"
+
+
+def call_shapes(docs: DataFrame, *, keys: list[str], text: str, depth: int = 12) -> DataFrame:
+    """(keys, name, arity, kinds, n_calls) of calls: the kind of each argument is string, number, bool, none,
+    keyword, call or name.
+
+    Strings are masked, then calls are taken from the inside out, each round leaving a mark where it found one, so
+    commas and brackets in strings and in inner calls part nothing. Calls around more than ``depth`` others are
+    not seen.
+    """
+    rest = F.regexp_replace(text, r"""\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'""", "''")
+    found = []
+    for _ in range(depth):
+        found.append(F.regexp_extract_all(rest, F.lit(f"({_CALL})"), F.lit(1)))
+        rest = F.regexp_replace(F.regexp_replace(rest, _CALL, "@call "), "(?<![A-Za-z0-9_.])[(][^()]*[)]", "@group ")
+    calls = docs.select(*keys, F.explode(F.concat(*found)).alias("call"))
     name = F.regexp_extract("call", "^([^(]*)", 1)
     inner = F.trim(F.regexp_extract("call", "[(]([^()]*)[)]$", 1))
 
@@ -93,6 +106,7 @@ def call_shapes(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
             .when(a.rlike("^[+-]?[0-9]"), "number")
             .when(a.isin("True", "False"), "bool")
             .when(a == "None", "none")
+            .when(a.startswith("@call"), "call")
             .otherwise("name")
         )
 

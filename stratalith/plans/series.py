@@ -159,6 +159,12 @@ SQL = {
       coalesce(round(v, 6) < 0.5 AND NOT coalesce(lag(round(v, 6) < 0.5) OVER ({_W}), false), false) AS begins FROM s""",
     "slow_state_carry": f"""WITH {_EVENTS}, d AS (SELECT event_id, user_id, t, event_type, CASE WHEN event_type = 'error' THEN true WHEN event_type = 'purchase' THEN false END AS s FROM e)
       SELECT event_id, user_id, t, event_type, coalesce(last_value(s IGNORE NULLS) OVER ({_W} ROWS UNBOUNDED PRECEDING), false) AS state FROM d""",
+    "progress_steps": f"""WITH RECURSIVE {_EVENTS}, r AS (SELECT user_id, t, cents::DOUBLE AS amount, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS i FROM e),
+      s AS (SELECT user_id, i, amount AS done, floor(100 * amount / 1000000)::BIGINT // 10 AS level, t AS last, 1::BIGINT AS reports FROM r WHERE i = 1
+        UNION ALL SELECT user_id, i, done, CASE WHEN due THEN now_level ELSE level END, CASE WHEN due THEN t ELSE last END, reports + CASE WHEN due THEN 1 ELSE 0 END
+        FROM (SELECT r.user_id, r.i, r.t, s.done + amount AS done, level, last, reports, floor(100 * (s.done + amount) / 1000000)::BIGINT // 10 AS now_level,
+          floor(100 * (s.done + amount) / 1000000)::BIGINT // 10 > level OR r.t - last >= 86400 AS due FROM s JOIN r ON r.user_id = s.user_id AND r.i = s.i + 1))
+      SELECT user_id, max(i) AS n_rows, arg_max(reports, i) AS n_reports FROM s GROUP BY 1""",
     "islands": f"""WITH {_EVENTS}, n AS (SELECT user_id, event_id, t, event_type, CASE WHEN coalesce(lag(event_type) OVER ({_W}) <> event_type OR t - lag(t) OVER ({_W}) > 21600, true) THEN 1 ELSE 0 END AS new FROM e),
       i AS (SELECT *, sum(new) OVER ({_W} ROWS UNBOUNDED PRECEDING)::BIGINT AS island FROM n)
       SELECT user_id, island, min(event_type) AS event_type, count(*) AS n_rows, min(t) AS first_second, max(t) AS last_second FROM i GROUP BY 1, 2 HAVING count(*) >= 2""",

@@ -390,3 +390,12 @@ def test_times_and_parameter_names(spark):
     assert one(formats.retry_delay(F.lit(40), base=1.0, cap=1e9)) == 1024.0
     assert one(formats.rate(F.lit(5), F.lit(16), 3)) == 0.312
     assert one(canon.crc32_hex(F.lit(b"123456789"))) == "CBF43926"
+
+
+def test_call_shapes_nested_and_quoted(spark):
+    text = "f(\"a,b\", 'c)d')\ng(h(1, k()), (2, 3), x=[i(4)])\nbroken(1, (2\nm(n)(o)\n"
+    docs = spark.createDataFrame([("f.py", text)], "path string, text string")
+    found = rows(evidence.call_shapes(docs, keys=["path"], text="text"), "name", "arity", "kinds")
+    assert found == [
+        ("f", 2, "string,string"), ("g", 3, "call,name,keyword"), ("h", 2, "number,call"), ("i", 1, "number"), ("k", 0, ""), ("m", 1, "name"),
+    ]

@@ -47,4 +47,4 @@ def test_partitions_do_not_matter(spark, name):
 
 
 def test_queries_without_sql_are_few():
-    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"lpt_balance", "progress_steps"}
+    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"lpt_balance"}

@@ -149,6 +149,19 @@ def test_stream_is_the_batch(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted((r.event_id, r.idle_seconds) for r in want.collect())
 
 
+def test_stream_lets_go_of_silent_keys(spark, tmp_path):
+    """A key that is silent for longer than it is kept leaves the store, and begins anew."""
+    parts = [[(1, 1, 90_000, 5), (2, 1, 90_100, 5)], [(3, 2, 100_000, 1)], [(4, 2, 100_900, 1)], [(5, 1, 100_901, 5)]]
+    for k, part in enumerate(parts):
+        spark.createDataFrame(part, streaming.SAMPLE).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    stream = spark.readStream.schema(streaming.SAMPLE).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(f"{tmp_path}/in")
+    kept = streaming.idle_stream(stream, late="1 second", keep_seconds=1_000)
+    query = kept.writeStream.format("memory").queryName("kept").option("checkpointLocation", f"{tmp_path}/cp").outputMode("append").start()
+    query.processAllAvailable()
+    query.stop()
+    assert dict(map(tuple, spark.sql("SELECT event_id, idle_seconds FROM kept").collect())) == {1: 0, 2: 100, 3: 0, 4: 900, 5: 0}
+
+
 def test_windowed_counts(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type").write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema("ts timestamp, event_type string").parquet(f"{tmp_path}/in")
