@@ -33,6 +33,26 @@ def format_duration(seconds: Column) -> Column:
     )
 
 
+def format_rate(per_second: Column) -> Column:
+    """Bytes a second by ``format_bytes``; unknown without one."""
+    return F.coalesce(F.concat(format_bytes(per_second.cast("long")), F.lit("/s")), F.lit("unknown"))
+
+
+def format_clock(seconds: Column) -> Column:
+    """Whole seconds as ``h:mm:ss``, below an hour ``m:ss``."""
+    two = lambda x: F.lpad(F.floor(x).cast("string"), 2, "0")
+    tail = F.concat(two(seconds % 3600 / 60), F.lit(":"), two(seconds % 60))
+    short = F.concat(F.floor(seconds / 60).cast("string"), F.lit(":"), two(seconds % 60))
+    return F.when(seconds >= 3600, F.concat(F.floor(seconds / 3600).cast("string"), F.lit(":"), tail)).otherwise(short)
+
+
+def format_words(seconds: Column) -> Column:
+    """Whole seconds in words of the two largest units: ``2 h 5 min``, ``5 min``, ``40 s``."""
+    hours, minutes = F.floor(seconds / 3600), F.floor(seconds % 3600 / 60)
+    long_ = F.concat(hours.cast("string"), F.lit(" h"), F.when(minutes > 0, F.concat(F.lit(" "), minutes.cast("string"), F.lit(" min"))).otherwise(""))
+    return F.when(seconds >= 3600, long_).when(seconds >= 60, F.concat(minutes.cast("string"), F.lit(" min"))).otherwise(F.concat(seconds.cast("string"), F.lit(" s")))
+
+
 def format_cents(cents: Column, sign: str = "€") -> Column:
     return F.concat(F.lit(sign), F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
 

@@ -116,12 +116,21 @@ def call_shapes(docs: DataFrame, *, keys: list[str], text: str, depth: int = 12)
 
 
 def import_names(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
-    """(keys, module, alias) of plain imports, one line each."""
-    found = F.explode(F.expr(rf"regexp_extract_all({text}, r'(?m)^(\s*import\s+[A-Za-z_][A-Za-z0-9_.]*(?:\s+as\s+[A-Za-z_][A-Za-z0-9_]*)?)', 1)"))
+    """(keys, module, name, alias) of imports: name is null for plain ones; a line each, of several names too."""
+    found = F.explode(F.regexp_extract_all(text, F.lit(r"(?m)^[ \t]*((?:from[ \t]+[.A-Za-z0-9_]+[ \t]+)?import[ \t]+[^\n#;]+)"), F.lit(1)))
     lines = docs.select(*keys, found.alias("line"))
-    module = F.regexp_extract("line", "import\\s+([A-Za-z0-9_.]+)", 1)
-    alias = F.regexp_extract("line", "as\\s+([A-Za-z0-9_]+)$", 1)
-    return lines.select(*keys, module.alias("module"), F.when(alias != "", alias).otherwise(module).alias("alias")).distinct()
+    source = F.regexp_extract("line", "^from\\s+([.A-Za-z0-9_]+)", 1)
+    names = F.split(F.regexp_replace(F.regexp_extract("line", "import\\s+(.*)$", 1), "[()]", ""), ",")
+    parts = lines.select(*keys, source.alias("source"), F.explode(names).alias("part"))
+    first, alias = F.regexp_extract("part", "^\\s*([A-Za-z0-9_.*]+)", 1), F.regexp_extract("part", "\\sas\\s+([A-Za-z0-9_]+)\\s*$", 1)
+    rows = parts.select(*keys, "source", first.alias("first"), alias.alias("alias")).where("first <> ''")
+    plain = F.col("source") == ""
+    return rows.select(
+        *keys,
+        F.when(plain, F.col("first")).otherwise(F.col("source")).alias("module"),
+        F.when(~plain, F.col("first")).alias("name"),
+        F.when(F.col("alias") != "", F.col("alias")).otherwise(F.col("first")).alias("alias"),
+    ).distinct()
 
 
 def match_names(rows: DataFrame, names: DataFrame, *, row: str, name: str) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import canon, formats
-from ..operators import evidence, graph, history, integrity, overlay, planning, stages, stats
-from .runs import _EVENTS, _events
+from ..operators import evidence, graph, history, integrity, overlay, planning, publish, stages, stats
+from .runs import _EVENTS, _bytes_sql, _events
 from .tables import table
 
 
@@ -220,11 +220,56 @@ def member_owners(spark, sf_dir):
     return evidence.owners(modules, members, module="p_brand", attributes="attributes", name="name", wanted="wanted")
 
 
+def published_rows(spark, sf_dir):
+    """Orders as files of three kinds: each row with the fields of its kind, base layer first."""
+    orders = table(spark, sf_dir, "orders")
+    kind = F.element_at(F.create_map(*map(F.lit, ("F", "package", "O", "loose", "P", "tree"))), F.col("o_orderstatus"))
+    customer, priority = F.col("o_custkey"), F.col("o_orderpriority")
+    fields = {"package": {"package": customer, "entry": priority}, "loose": {"path": priority}, "tree": {"path": F.concat(F.lit("t/"), priority), "package": customer}}
+    path = F.concat_ws("/", F.when(customer % 3 == 0, "res").otherwise("bin"), F.concat("o_orderpriority", F.when(customer % 5 == 0, ".XML").otherwise(".exe")))
+    flat = publish.by_kind(orders.withColumn("path", path), kind=kind, fields=fields, keep=["o_orderkey", "path"])
+    included = publish.is_included(F.col("path"), files=["bin/1-URGENT.exe"], folders=["res"], suffixes=[".xml", ".txt"])
+    return flat.select("o_orderkey", F.col("source.kind").alias("kind"), F.col("source.entry").alias("entry"), F.col("source.package").alias("package"), F.col("source.path").alias("source_path"), included.alias("included"))
+
+
+def zero_states(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    path = F.concat_ws("/", F.lit("p"), F.concat(F.col("l_linestatus"), F.when(F.col("l_linenumber") == 3, ".DIFF").otherwise(".pkg")))
+    files = lines.select("l_orderkey", path.alias("path"), F.when(F.col("l_returnflag") != "N", (F.col("l_linenumber") - 1).cast("string")).alias("since"))
+    return publish.zero_state_errors(files, keys=["l_orderkey"], path="path", since=F.col("since"), delta_suffixes=[".diff"], delta_files=["F.pkg"])
+
+
+def space_needed(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.round("l_extendedprice").cast("long").alias("size"))
+    cached = table(spark, sf_dir, "part").where("p_size < 20").select(F.col("p_partkey").alias("l_partkey"))
+    return publish.needed_space(lines, cached, keys=["l_orderkey"], item="l_partkey", size="size", free=F.lit(150000).cast("long"))
+
+
+def server_rules(spark, sf_dir):
+    """Suppliers as servers: those owned, and what their quotes lack."""
+    servers = table(spark, sf_dir, "supplier")
+    mine = publish.owned(servers, name=F.col("s_name").startswith("Supplier"), product=F.col("s_nationkey") < 20, terms=[F.col("s_nationkey") > 1], deleted=F.col("s_acctbal") < -900)
+    wanted = {"group": F.col("s_nationkey") != 7, "status": publish.http_class(F.col("s_nationkey") * 40) != "fatal"}
+    return publish.quote_errors(mine, key=["s_suppkey"], wanted=wanted, price=F.col("s_nationkey") * 10.0, most=150.0, balance=F.col("s_acctbal"))
+
+
+def visible_modules(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("module"), F.col("p_type").alias("attribute"), "p_size")
+    sources = parts.where("p_size = 50").select("module")
+    return publish.with_evidence(parts.select("module", "attribute"), sources, parts.where("p_size = 1").select("attribute"), module="module", attribute="attribute")
+
+
+def duration_forms(spark, sf_dir):
+    n = F.col("n_chars")
+    return table(spark, sf_dir, "documents").select("doc_id", formats.format_clock(n).alias("clock"), formats.format_words(n).alias("words"), formats.format_rate(F.when(n > 100, n * 70)).alias("speed"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         download_statistics, plan_statistics, transform_statistics, record_statistics, active_durations, run_states, status_violations, chain_walk, chain_faults, redirect_walk,
         manifest_digest, text_forms, strict_fields, install_chains, stale_stages, resume_choices, overlay_replace, signature_families, member_owners,
+        published_rows, zero_states, space_needed, server_rules, visible_modules, duration_forms,
     )
 }
 
@@ -296,4 +341,21 @@ SQL = {
       SELECT 'talk' AS name, array_to_string(a.p, ',') AS short, array_to_string(b.p, ',') AS longer FROM d a JOIN d b ON len(b.p) > len(a.p) AND b.p[:len(a.p)] = a.p""",
     "member_owners": """WITH a AS (SELECT DISTINCT p_brand, p_type || '/' || p_size::VARCHAR AS m FROM part), n AS (SELECT DISTINCT p_name AS name, p_type || '/' || p_size::VARCHAR AS m FROM part),
       h AS (SELECT name, count(DISTINCT p_brand) AS k, min(p_brand) AS b FROM n JOIN a ON a.m = n.m GROUP BY 1) SELECT name, CASE WHEN k = 1 THEN b END AS owner FROM h""",
+    "published_rows": """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'package' WHEN 'O' THEN 'loose' ELSE 'tree' END AS kind, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS entry,
+      CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS package, CASE o_orderstatus WHEN 'O' THEN o_orderpriority WHEN 'P' THEN 't/' || o_orderpriority END AS source_path,
+      (o_custkey % 3 = 0 AND o_custkey % 5 = 0) OR (o_custkey % 3 <> 0 AND o_custkey % 5 <> 0 AND o_orderpriority = '1-URGENT') AS included FROM orders""",
+    "zero_states": """SELECT DISTINCT l_orderkey, error_code FROM (SELECT l_orderkey, unnest([CASE WHEN l_returnflag <> 'N' AND l_linenumber <> 1 THEN 'not-zero-state' END,
+      CASE WHEN l_linenumber = 3 THEN 'delta-suffix' END, CASE WHEN l_linenumber <> 3 AND l_linestatus = 'F' THEN 'delta-service-file' END]) AS error_code FROM lineitem) WHERE error_code IS NOT NULL""",
+    "space_needed": """WITH i AS (SELECT l_orderkey, l_partkey, max(round(l_extendedprice)::BIGINT) AS size FROM lineitem GROUP BY 1, 2),
+      n AS (SELECT l_orderkey, coalesce(sum(size) FILTER (l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 20)), 0)::BIGINT AS needed FROM i GROUP BY 1)
+      SELECT l_orderkey, needed, needed <= 150000 AS fits FROM n""",
+    "server_rules": """WITH m AS (SELECT * FROM supplier WHERE starts_with(s_name, 'Supplier') AND s_nationkey BETWEEN 2 AND 19 AND s_acctbal >= -900)
+      SELECT s_suppkey, error_code FROM (SELECT s_suppkey, unnest([CASE WHEN s_nationkey = 7 THEN 'group' END,
+        CASE WHEN NOT (s_nationkey * 40 BETWEEN 200 AND 299 OR s_nationkey * 40 IN (404, 429) OR s_nationkey * 40 BETWEEN 500 AND 599) THEN 'status' END,
+        CASE WHEN s_nationkey * 10.0 > 150 THEN 'price' END, CASE WHEN s_acctbal < s_nationkey * 10.0 * 4 THEN 'balance' END]) AS error_code FROM m) WHERE error_code IS NOT NULL""",
+    "visible_modules": """SELECT DISTINCT p_brand AS module FROM part WHERE p_type IN (SELECT p_type FROM part WHERE p_size = 1) AND p_brand NOT IN (SELECT p_brand FROM part WHERE p_size = 50)""",
+    "duration_forms": f"""SELECT doc_id, CASE WHEN n_chars >= 3600 THEN (n_chars // 3600)::VARCHAR || ':' || lpad((n_chars % 3600 // 60)::VARCHAR, 2, '0') ELSE (n_chars // 60)::VARCHAR END || ':' || lpad((n_chars % 60)::VARCHAR, 2, '0') AS clock,
+      CASE WHEN n_chars >= 3600 THEN (n_chars // 3600)::VARCHAR || ' h' || CASE WHEN n_chars % 3600 // 60 > 0 THEN ' ' || (n_chars % 3600 // 60)::VARCHAR || ' min' ELSE '' END
+        WHEN n_chars >= 60 THEN (n_chars % 3600 // 60)::VARCHAR || ' min' ELSE n_chars::VARCHAR || ' s' END AS words,
+      CASE WHEN n_chars > 100 THEN ({_bytes_sql('(n_chars * 70)')}) || '/s' ELSE 'unknown' END AS speed FROM documents""",
 }

@@ -294,6 +294,10 @@ def test_source_usage(spark):
     text = "import game.player as p\nimport time\np.callback(1.5, None)\nplayer()\np.callback(2, x=3)\nf('a', True)\n"
     docs = spark.createDataFrame([("f.py", text)], "path string, text string")
     assert rows(evidence.import_names(docs, keys=["path"], text="text"), "module", "alias") == [("game.player", "p"), ("time", "time")]
+    more = spark.createDataFrame([("g.py", "from a.b import c as d, e\nimport os, sys as s  # both\n  from . import (x, y)\nimportant = 1\n")], "path string, text string")
+    assert rows(evidence.import_names(more, keys=["path"], text="text"), "module", "name", "alias") == [
+        (".", "x", "x"), (".", "y", "y"), ("a.b", "c", "d"), ("a.b", "e", "e"), ("os", None, "os"), ("sys", None, "s"),
+    ]
     found = rows(evidence.call_shapes(docs, keys=["path"], text="text"), "name", "arity", "kinds", "n_calls")
     assert found == [("f", 2, "string,bool", 1), ("p.callback", 2, "number,keyword", 1), ("p.callback", 2, "number,none", 1), ("player", 0, "", 1)]
     jobs = spark.createDataFrame([("build",), ("build / x",), ("builder",), ("test / build",)], "job string")
@@ -399,3 +403,23 @@ def test_call_shapes_nested_and_quoted(spark):
     assert found == [
         ("f", 2, "string,string"), ("g", 3, "call,name,keyword"), ("h", 2, "number,call"), ("i", 1, "number"), ("k", 0, ""), ("m", 1, "name"),
     ]
+
+
+def test_unknown_kinds_raise(spark):
+    from stratalith.operators import publish
+
+    data = spark.createDataFrame([(1, "a"), (2, "z")], "id int, kind string")
+    shaped = publish.by_kind(data, kind=F.col("kind"), fields={"a": {"x": F.col("id")}}, keep=["id"])
+    assert shaped.where("id = 1").first().source.asDict() == {"kind": "a", "x": 1}
+    with pytest.raises(Exception, match="unknown kind"):
+        shaped.collect()
+
+
+def test_sources_are_retained(spark):
+    from stratalith.operators import publish
+
+    files = spark.createDataFrame([("a.PYC",), ("b.mo",), ("c.txt",), ("d.pyc",)], "path string")
+    kept = spark.createDataFrame([("d.pyc",)], "path string")
+    assert rows(publish.unretained(files, kept, path="path", suffixes=[".pyc", ".mo"]), "path") == [("a.PYC",), ("b.mo",)]
+    layers = spark.createDataFrame([("de", 1), (None, 2), (None, 1)], "layer string, n int")
+    assert [tuple(r) for r in layers.orderBy(*publish.layer_order(F.col("layer"), [F.col("n")])).collect()] == [(None, 1), (None, 2), ("de", 1)]
