@@ -412,7 +412,7 @@ def min_bands(runs: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def similar_documents(docs: DataFrame, *, id_col: str, text_col: str, width: int, least: float, bands: int, rows: int) -> DataFrame:
     """component_id for each row: the smallest id reachable over pairs that share ``least`` or more of their
-    different runs of ``width`` words.
+    different runs of ``width`` words; and runs_id, a digest of the set of its runs.
 
     Documents with equal sets of runs are one class. Classes are candidates if all ``rows`` minima of one of
     ``bands`` are equal: a pair of similarity s is missed with a probability of (1 - s ** rows) ** bands,
@@ -435,7 +435,7 @@ def similar_documents(docs: DataFrame, *, id_col: str, text_col: str, width: int
     named = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "runs_id", "n", F.coalesce("component_id", "rep").alias("component_id")
     )
-    return join_classes(sets.select(id_col, "runs_id"), materialize(named, "named"), key="runs_id", size="n").select(id_col, "component_id")
+    return join_classes(sets.select(id_col, "runs_id"), materialize(named, "named"), key="runs_id", size="n").select(id_col, "component_id", "runs_id")
 
 
 def near_duplicates(fps: DataFrame, *, id_col: str, **how) -> DataFrame:
