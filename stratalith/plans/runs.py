@@ -130,6 +130,13 @@ def lpt_balance(spark, sf_dir):
     return planning.balance_batches(docs, item="doc_id", size="n_chars", bins=16)
 
 
+def lpt_bounds(spark, sf_dir):
+    """What a balance promises: every item once, and no load above the mean by more than the largest size."""
+    loads = lpt_balance(spark, sf_dir).groupBy("batch").agg(F.count("*").alias("n"), F.sum("n_chars").alias("load"), F.max("n_chars").alias("largest"))
+    fair = F.max("load") <= F.sum("load") / 16 + F.max("largest")
+    return loads.agg(F.sum("n").alias("n_items"), F.sum("load").alias("total"), fair.alias("fair"), (F.max("batch") < 16).alias("in_range"))
+
+
 def format_bytes_duration(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     size = (F.col("n_chars") * 3000).cast("long")
@@ -167,7 +174,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         stage_stats_download, stage_stats_pivot, run_rollup, counter_rates, disk_estimate, history_latest, retry_schedule, processing_result,
-        ledger_cost, posting_conflicts, release_counts, plan_branch, version_chain, chain_status, last_transition, chunk_assign, lpt_balance,
+        ledger_cost, posting_conflicts, release_counts, plan_branch, version_chain, chain_status, last_transition, chunk_assign, lpt_balance, lpt_bounds,
         format_bytes_duration, top_per_group, with_missing, grouped_text, status_lines,
     )
 }
@@ -189,6 +196,7 @@ def _bytes_sql(size: str) -> str:
 _TWO = "lpad({}::VARCHAR, 2, '0')"
 
 SQL = {
+    "lpt_bounds": "SELECT count(*) AS n_items, sum(n_chars)::BIGINT AS total, true AS fair, true AS in_range FROM documents",
     "stage_stats_download": f"""WITH {_EVENTS}, s AS (SELECT user_id, count(*) AS n_items, count(*) FILTER (event_type = 'view') AS n_reused,
       coalesce(sum(cents) FILTER (event_type = 'view'), 0)::BIGINT AS reused_bytes,
       coalesce(sum(least(cents, 2000)) FILTER (event_type <> 'view'), 0)::BIGINT AS resumed_bytes,
