@@ -183,6 +183,40 @@ def test_toxicity_held_out(spark, tmp_path):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got.select("doc_id", "held_out").limit(500).collect())
 
 
+def brute_score(model, text):
+    """The score by its definition: each word's kernel sum over all its subsequences, one by one."""
+    from itertools import combinations
+
+    def margin(word):
+        code = [26 + ord(c) % (toxicity.LETTERS - 28) if ord(c) >= 0x3000 else int(toxicity.letter_codes()[ord(c)]) for c in toxicity.read_as_letters(word)]
+        features = {}
+        for p in combinations(range(len(code)), 3):
+            if min(code[i] for i in p) >= 0:
+                key = (code[p[0]] * toxicity.LETTERS + code[p[1]]) * toxicity.LETTERS + code[p[2]]
+                features[key] = features.get(key, 0) + toxicity.DECAY ** (p[2] - p[0] + 1)
+        norm = max(1e-9, sum(v * v for v in features.values())) ** 0.5
+        return sum(v * model.weights[k, 0] for k, v in features.items()) / norm + model.bias
+
+    found = sorted((max(map(margin, words)) for words in toxicity.sentences(text)), reverse=True)
+    top = [min(max(m, -1.5), 2.0) for m in [*found, -1.5, -1.5, -1.5][:3]]
+    x = np.array([*top, np.log1p(sum(m > 0 for m in found))])
+    return 1 / (1 + np.exp(-np.clip(x @ model.curve[:-1] + model.curve[-1], -30, 30)))
+
+
+def test_toxicity_is_brute_force(spark):
+    """Scores of whole texts, each word's kernel taken by definition."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    model = toxicity.train_on(docs, spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic"))
+    got = {r.doc_id: r for r in toxicity.op8_toxicity(spark, folder).collect()}
+    texts = {r.doc_id: r.text for r in docs.where("length(text) < 1500").orderBy("doc_id").collect()}
+    assert len(texts) > 100
+    for key, text in list(texts.items())[:150]:
+        want = brute_score(model, text)
+        assert abs(got[key].score - want) < 1e-3, key
+        assert got[key].predicted == int(got[key].score >= 0.7)
+
+
 def test_toxicity_edges(spark, tmp_path):
     train = [(i, "you are an idiot and a clown. nice day" if i % 4 == 0 else "you are an artist and a friend. nice day") for i in range(80)]
     rows = [(i, t) for i, t in EDGES] + train + [(900, "what an i.d.i.o.t he is"), (901, "i d i o t here"), (902, "a fine day")]
