@@ -83,6 +83,18 @@ def arrow_type(schema: str | T.StructType) -> pa.Schema:
     return to_arrow_schema(schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema))
 
 
+#: Bytes of an Arrow batch: texts of any length then take a bounded share of a worker, and of its JVM.
+BATCH_BYTES = 4 << 20
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """The table, for mapping in Arrow: its session's batches are bounded by BATCH_BYTES, if they were larger."""
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def map_arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
     """Map batches in Arrow. ``work(*columns)`` gets the columns of one batch, strings as bytes
     (null: None), and returns one list or array for each output column."""
@@ -96,7 +108,7 @@ def map_arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
                 arrays = [pa.array(v, type=f.type) for v, f in zip(made, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    return df.mapInArrow(run, out)
+    return in_batches(df).mapInArrow(run, out)
 
 
 def _plain(column: pa.Array) -> list:

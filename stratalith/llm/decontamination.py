@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_type, materialize, table
+from .common import arrow_type, in_batches, materialize, table
 from .license_scan import WORD_BYTES
 
 SEED_WORDS, LEAST_SCORE, LEAST_WORDS = 3, 0.5, 5
@@ -208,7 +208,7 @@ def align_passages(docs: DataFrame, seeds, *, id_col: str, text_col: str, least_
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return in_batches(docs.select(id_col, text_col)).mapInArrow(run, schema)
 
 
 def find_contamination(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_type, table
+from .common import arrow_type, in_batches, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Window and step of its start; characters of context around a trigger; documents to train on, regions drawn
@@ -478,7 +478,7 @@ def train_network(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     share = min(1.0, rows / max(1, docs.count()))
     drawn = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 40)) < int(share * (1 << 40))
     own = docs.where(drawn).select(F.col(text_col).alias("words")).where(F.col("words").rlike("[0-9@]"))
-    texts = sorted(r["region"] for r in own.mapInArrow(regions, "region string").collect())
+    texts = sorted(r["region"] for r in in_batches(own).mapInArrow(regions, "region string").collect())
     x, y = training_windows(texts, np.random.default_rng(9))
     return fit(x, y) if len(x) else None
 
@@ -502,7 +502,7 @@ def find_pii(docs: DataFrame, net: Network | None, *, id_col: str = "doc_id", te
                 found += [[{"kind": KINDS[k], "start": a, "end": b, "base": own} for a, k, b, own in s] for s in find_all(part, sent.value)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, arrow.field(1).type)], schema=arrow)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return in_batches(docs.select(id_col, text_col)).mapInArrow(run, schema)
 
 
 def redact(docs: DataFrame, net: Network | None, *, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
@@ -528,7 +528,7 @@ def redact(docs: DataFrame, net: Network | None, *, text_col: str = "text", leng
                 columns[length_at] = pa.array(lengths, columns[length_at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(run, docs.schema)
 
 
 def redacted(text: str, spans: list[tuple[int, int, int, bool]]) -> str:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_type, discard, materialize, table
+from .common import arrow_type, discard, in_batches, materialize, table
 
 ORDER, DECAY, WORD = 3, 0.6, 24
 LETTERS = 40
@@ -255,8 +255,9 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
     columns = triple_table(landmarks)
     values, vectors = np.linalg.eigh((columns.T @ columns).astype(np.float64))
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
-    features = columns @ whiten.astype(np.float32)
-    del columns
+    features, whiten = columns, whiten.astype(np.float32)
+    for lo in range(0, len(features), 4096):  # in place
+        features[lo : lo + 4096] = features[lo : lo + 4096] @ whiten
     # different clean words are many: the most common ones, and as many drawn by hash
     drawn = heapq.nsmallest(NEGATIVES // 2, common[NEGATIVES // 2 :], key=lambda w: (zlib.crc32(w.encode()), w))
     negatives = [w for w in clean if w in put_forward] + common[: NEGATIVES // 2] + drawn
@@ -319,7 +320,7 @@ def score_toxicity(docs: DataFrame, model: Model | None, *, id_col: str = "doc_i
             found = scores(sent.value, batch.column(1), known)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], schema=arrow)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return in_batches(docs.select(id_col, text_col)).mapInArrow(run, schema)
 
 
 def drop_toxic(docs: DataFrame, model: Model | None, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -333,7 +334,7 @@ def drop_toxic(docs: DataFrame, model: Model | None, *, text_col: str = "text",
             found = scores(sent.value, batch.column(at), known)
             yield batch.filter(pa.array([s < threshold for s in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(run, docs.schema)
 
 
 def held_out(id_col: str) -> F.Column:
@@ -359,7 +360,9 @@ def train_on(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     taken = found.where(F.col("at") <= last).select("words", "label").collect() if last is not None else []
     discard(found)
     taken.sort()
-    return train([r["words"] for r in taken], [r["label"] for r in taken])
+    texts, own_labels = [r["words"] for r in taken], [r["label"] for r in taken]
+    del taken, sizes
+    return train(texts, own_labels)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
