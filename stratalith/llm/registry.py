@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from . import (
+    centroids,
     decontamination,
     embedding_dedup,
     histogram_shards,
     license_scan,
+    merkle,
     packing,
     pii,
     secret_scan,
     simhash,
+    substrings,
     toxicity,
     url_reputation,
 )
@@ -26,6 +29,9 @@ MODULES = (
     toxicity,
     histogram_shards,
     pii,
+    centroids,
+    substrings,
+    merkle,
 )
 
 
