@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import layers, runs, series, stages
+from . import joins, layers, runs, series, stages
 
-MODULES = (layers, runs, series, stages)
+MODULES = (layers, runs, series, stages, joins)
 
 
 def queries() -> dict:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,3 +39,31 @@ def cut(df: DataFrame) -> DataFrame:
             where = tempfile.mkdtemp(prefix="stratalith-")
         context.setCheckpointDir(where)
     return df.checkpoint()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The table, written beside the checkpoints and read back: rows and ids made by place stay as they are.
+
+    It goes when the session's JVM ends, or by ``release``.
+    """
+    spark = df.sparkSession
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        where = tempfile.mkdtemp(prefix="stratalith-")
+        spark.sparkContext.setCheckpointDir(where)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{where.rstrip('/')}/table-{uuid.uuid4().hex}")
+    df.write.parquet(path.toString())
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    table = spark.read.schema(df.schema).parquet(path.toString())
+    table._kept_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``kept`` that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_kept_at", None)
+        if path is not None:
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
