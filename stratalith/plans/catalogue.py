@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import joins, layers, runs, series, stages
+from . import documents, joins, layers, runs, series, stages
 
-MODULES = (layers, runs, series, stages, joins)
+MODULES = (layers, runs, series, stages, joins, documents)
 
 
 def queries() -> dict:
