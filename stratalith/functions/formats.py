@@ -103,20 +103,37 @@ def normalize_newlines(text: Column) -> Column:
 
 
 def utc_text(text: Column) -> Column:
-    """An ISO-8601 time with a zone as ``2024-01-02T03:04:05Z``, whole seconds; null without a zone, or if it is none."""
+    """An ISO-8601 time with a zone as ``2024-01-02T03:04:05Z``, whole seconds; null without a zone, or if it is none.
+    The session's zone plays no part."""
     zoned = text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})$")
-    at = F.to_utc_timestamp(F.try_to_timestamp(text), F.current_timezone())
-    return F.when(zoned, F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+    seconds = F.unix_seconds(F.try_to_timestamp(text))
+    at = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.floor(seconds / 86400).cast("int"), F.lit(0), F.lit(0), F.pmod(seconds, F.lit(86400)).cast("decimal(18,6)"))
+    return F.when(zoned, F.concat(F.replace(F.substring(at.cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit("Z")))
 
 
 def local_text(utc: Column, zone: str) -> Column:
-    """A text of ``utc_text`` as date and minute in a zone."""
-    return F.date_format(F.from_utc_timestamp(F.to_timestamp_ntz(F.rtrim(utc, F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp"), zone), "yyyy-MM-dd HH:mm")
+    """A text of ``utc_text`` as date and minute in a zone, whatever the session's is."""
+    at = F.to_timestamp_ntz(F.rtrim(utc, F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    return F.substring(F.convert_timezone(F.lit("UTC"), F.lit(zone), at).cast("string"), 1, 16)
 
 
-def unique_names(names: Column) -> Column:
-    """Parameter names of one signature told apart: a name that stood before gets ``_2``, ``_3`` and so on; empty
-    ones are called by place."""
-    named = F.transform(names, lambda x, i: F.when(F.coalesce(x, F.lit("")) == "", F.concat(F.lit("arg"), (i + 1).cast("string"))).otherwise(x))
-    nth = lambda x, i: F.size(F.filter(F.slice(named, F.lit(1), i + 1), lambda y: y == x))
-    return F.transform(named, lambda x, i: F.when(nth(x, i) > 1, F.concat_ws("_", x, nth(x, i).cast("string"))).otherwise(x))
+# fixed values: words that no parameter can be called by
+_RESERVED = (
+    "False None True and as assert async await break class continue def del elif else except finally for from global if import in is lambda nonlocal not or "
+    "pass raise return try while with yield"
+).split()
+
+
+def unique_names(names: Column, *, taken: list[str] | None = None) -> Column:
+    """Parameter names of one signature told apart: one that is no identifier, a reserved word, or was given before (or is
+    ``taken``) is called ``arg`` and its place from 0, with underscores while that is given too."""
+    start = F.array(*map(F.lit, taken or [])).cast("array<string>")
+
+    def step(given: Column, named: Column) -> Column:
+        fine = F.coalesce(named["name"].rlike("^[A-Za-z_][A-Za-z0-9_]*$") & ~named["name"].isin(*_RESERVED) & ~F.array_contains(given, named["name"]), F.lit(False))
+        by_place = F.concat(F.lit("arg"), named["place"].cast("string"))
+        tries = F.transform(F.sequence(F.lit(0), F.size(given)), lambda k: F.concat(by_place, F.repeat(F.lit("_"), k)))
+        return F.array_append(given, F.when(fine, named["name"]).otherwise(F.get(F.array_except(tries, given), F.lit(0))))
+
+    placed = F.transform(names, lambda x, i: F.struct(x.alias("name"), i.alias("place")))
+    return F.slice(F.aggregate(placed, start, step), F.lit(len(taken or []) + 1), F.greatest(F.size(names), F.lit(0)))

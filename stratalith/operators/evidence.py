@@ -70,48 +70,124 @@ def owners(modules: DataFrame, members: DataFrame, *, module: str, attributes: s
     return members.select(name).distinct().join(hits, name, "left").select(name, F.when(F.col("n") == 1, F.col("m")).alias("owner"))
 
 
-def expand_families(signatures: DataFrame, *, name: str, params: str) -> DataFrame:
-    """Each signature with the longer ones of its name that begin with it."""
-    short = signatures.select(name, F.col(params).alias("short"), F.size(params).alias("n"))
-    longer = signatures.select(name, F.col(params).alias("longer"))
-    both = short.join(longer, name).where((F.size("longer") > F.col("n")) & (F.slice("longer", F.lit(1), F.col("n")) == F.col("short")))
-    return both.select(name, "short", "longer")
+def expand_families(signatures: DataFrame, *, name: str, params: str, result: str | None = None) -> DataFrame:
+    """Each signature with the longer ones of its name (and result) that begin with it.
+
+    By an index of beginnings: a row for each (name, length, hash of the first parameters) of a longer signature meets the
+    signatures of that length by equality, so signatures of a name are not held against each other.
+    """
+    same = [name] if result is None else [name, result]
+    own = signatures.select(*same, params).distinct()
+    short = own.select(*same, F.col(params).alias("short"), F.size(params).alias("_n"), F.xxhash64(params).alias("_h"))
+    cuts = F.explode(F.when(F.size(params) > 0, F.sequence(F.lit(0), F.size(params) - 1)))
+    longer = own.select(*same, F.col(params).alias("longer"), cuts.alias("_n"))
+    longer = longer.withColumn("_start", F.slice("longer", F.lit(1), F.col("_n"))).withColumn("_h", F.xxhash64("_start"))
+    both = short.join(longer, [*same, "_n", "_h"])
+    return both.where(F.col("_start") == F.col("short")).select(*same, "short", "longer")
+
+
+#: What stands for a type that is not known.
+ANY = "Any"
+
+
+def fit_score(params: Column, kinds: Column) -> Column:
+    """How well the kinds of a call's arguments fit a signature's parameters."""
+
+    def one(pair: Column) -> Column:
+        expected, observed = pair["p"], pair["k"]
+        unknown = F.when(observed == ANY, F.when(expected == ANY, 0).otherwise(-1)).when(expected == ANY, 0)
+        return F.coalesce(unknown, F.when((expected == observed) | ((observed == "int") & (expected == "float")), 3).otherwise(-4))
+
+    pairs = F.arrays_zip(F.slice(params, F.lit(1), F.size(kinds)).alias("p"), kinds.alias("k"))
+    each = F.aggregate(pairs, F.lit(0), lambda total, pair: total + one(pair))
+    missing = F.size(params) - F.size(kinds)
+    return each + F.when(missing == 0, 10).otherwise(0) - missing
 
 
-_CALL = r"[A-Za-z_][A-Za-z0-9_.]*[(][^()]*[)]"
+def choose_overloads(signatures: DataFrame, calls: DataFrame, *, name: str, params: str, result: str, kinds: str) -> DataFrame:
+    """(name, result, params, chosen, required): the signatures that calls speak for, and how many arguments they need.
+
+    A call that tells a kind counts; if none of a name does, all count. Each takes the signatures of its name, with as many
+    parameters as it has arguments at least, that fit best, all ties. Those of one family with a chosen one (one
+    begins with the other, of one result) stay beside it, not ``chosen``. A name without a call that fits keeps all.
+    ``required`` is the least number of arguments of a name's counting calls, null if no fewer than the parameters.
+    Different calls alone are scored, however often they occur.
+    """
+    own = signatures.select(name, result, params).distinct()
+    shapes = calls.select(name, kinds).distinct().withColumn("_tells", F.exists(kinds, lambda k: k != ANY))
+    told = shapes.groupBy(name).agg(F.max("_tells").alias("_any"))
+    shapes = shapes.join(told, name).where("_tells OR NOT _any").drop("_any", "_tells")
+    fits = own.join(shapes, name).where(F.size(params) >= F.size(kinds))
+    best = best_scores(fits.withColumn("_score", fit_score(F.col(params), F.col(kinds))), key=[name, kinds], score="_score")
+    chosen = best.select(name, result, params).distinct()
+    pairs = expand_families(own, name=name, params=params, result=result)
+    near = lambda one, other: pairs.join(chosen.withColumnRenamed(params, one), [name, result, one]).select(name, result, F.col(other).alias(params))
+    beside = near("short", "longer").unionByName(near("longer", "short")).distinct().join(chosen, [name, result, params], "left_anti")
+    unheard = own.join(chosen.select(name).distinct(), name, "left_anti")
+    found = chosen.withColumn("chosen", F.lit(True)).unionByName(beside.unionByName(unheard).withColumn("chosen", F.lit(False)))
+    least = shapes.groupBy(name).agg(F.min(F.size(kinds)).alias("_least"))
+    required = F.when(F.col("_least") < F.size(params), F.col("_least"))
+    return found.join(least, name, "left").select(name, result, params, "chosen", required.alias("required"))
+
+
+_TOKEN = r"""[urbURB]{0,2}"(?:[^"\\\n]|\\.)*"|[urbURB]{0,2}'(?:[^'\\\n]|\\.)*'|#[^\n]*|[A-Za-z_][A-Za-z0-9_.]*[(]?|[0-9][0-9A-Za-z_.]*|==|\S"""
+_FRAME = "struct<closer:string,name:string,kinds:array<string>,kind:string>"
+_CALLS = "array<struct<name:string,kinds:array<string>>>"
+
+
+def _kind_after(kind: Column, token: Column) -> Column:
+    """The kind of an argument once a token has been read; ``word`` and ``sign`` are open still."""
+    first = (
+        F.when(token.rlike("^[urbURB]{0,2}[\"']."), "string")
+        .when(token.rlike("^[0-9]"), "number")
+        .when(token.isin("+", "-"), "sign")
+        .when(token.isin("True", "False"), "bool")
+        .when(token == "None", "none")
+        .when(token.rlike("^[A-Za-z_].*[(]$"), "call")
+        .when(token.rlike("^[A-Za-z_]"), "word")
+        .otherwise("name")
+    )
+    return (
+        F.when(kind == "", first)
+        .when(kind.isin("keyword", "string", "call"), kind)
+        .when((kind == "word") & (token == "="), "keyword")
+        .when((kind == "sign") & token.rlike("^[0-9]"), "number")
+        .otherwise("name")
+    )
 
 
-def call_shapes(docs: DataFrame, *, keys: list[str], text: str, depth: int = 12) -> DataFrame:
+def call_shapes(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
     """(keys, name, arity, kinds, n_calls) of calls: the kind of each argument is string, number, bool, none,
     keyword, call or name.
 
-    Strings are masked, then calls are taken from the inside out, each round leaving a mark where it found one, so
-    commas and brackets in strings and in inner calls part nothing. Calls around more than ``depth`` others are
-    not seen.
+    Tokens are read one by one with a stack of what is open: round, square and curly brackets nest, and a comma
+    parts the arguments of the innermost one. Strings, on one line, and comments part nothing. A bracket that does not
+    close the innermost one is passed over; a call that is never closed is not told, those within it are.
     """
-    rest = F.regexp_replace(text, r"""\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'""", "''")
-    found = []
-    for _ in range(depth):
-        found.append(F.regexp_extract_all(rest, F.lit(f"({_CALL})"), F.lit(1)))
-        rest = F.regexp_replace(F.regexp_replace(rest, _CALL, "@call "), "(?<![A-Za-z0-9_.])[(][^()]*[)]", "@group ")
-    calls = docs.select(*keys, F.explode(F.concat(*found)).alias("call"))
-    name = F.regexp_extract("call", "^([^(]*)", 1)
-    inner = F.trim(F.regexp_extract("call", "[(]([^()]*)[)]$", 1))
-
-    def kind(argument: Column) -> Column:
-        a = F.trim(argument)
-        return (
-            F.when(a.rlike("^[A-Za-z_][A-Za-z0-9_]*\\s*=[^=]"), "keyword")
-            .when(a.rlike("^['\"]"), "string")
-            .when(a.rlike("^[+-]?[0-9]"), "number")
-            .when(a.isin("True", "False"), "bool")
-            .when(a == "None", "none")
-            .when(a.startswith("@call"), "call")
-            .otherwise("name")
-        )
-
-    kinds = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(inner, ","), kind))
-    shapes = calls.select(*keys, name.alias("name"), F.size(kinds).cast("long").alias("arity"), F.array_join(kinds, ",").alias("kinds"))
+    frame = lambda closer, name, kinds, kind: F.struct(closer.alias("closer"), name.alias("name"), kinds.alias("kinds"), kind.alias("kind"))
+    none = F.array().cast("array<string>")
+    start = F.struct(F.array().cast(f"array<{_FRAME}>").alias("stack"), F.array().cast(_CALLS).alias("calls"))
+
+    def step(state: Column, token: Column) -> Column:
+        stack, calls = state["stack"], state["calls"]
+        top, below = F.element_at(stack, -1), F.slice(stack, F.lit(1), F.size(stack) - 1)
+        inside = F.size(stack) > 0
+        ended = F.when(top["kind"] == "", top["kinds"]).otherwise(F.array_append(top["kinds"], F.when(top["kind"].isin("word", "sign"), "name").otherwise(top["kind"])))
+        opens = token.rlike("^(?:[A-Za-z_][A-Za-z0-9_.]*)?[(]$") | token.isin("[", "{")
+        closes = inside & (token == top["closer"])
+        read = F.when(inside, F.array_append(below, frame(top["closer"], top["name"], top["kinds"], _kind_after(top["kind"], token)))).otherwise(stack)
+        pushed = frame(
+            F.when(token == "[", "]").when(token == "{", "}").otherwise(")"),
+            F.when(token.rlike("^[A-Za-z_]"), F.regexp_extract(token, "^([^(]*)", 1)), none, F.lit(""),
+        )
+        commas = F.when(inside, F.array_append(below, frame(top["closer"], top["name"], ended, F.lit("")))).otherwise(stack)
+        new_stack = F.when(token.startswith("#") | (token.isin(")", "]", "}") & ~closes), stack).when(closes, below).when(token == ",", commas).when(opens, F.array_append(read, pushed)).otherwise(read)
+        done = F.array_append(calls, F.struct(top["name"].alias("name"), ended.alias("kinds")))
+        return F.struct(new_stack.alias("stack"), F.when(closes & top["name"].isNotNull(), done).otherwise(calls).alias("calls"))
+
+    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    calls = docs.select(*keys, F.explode(F.aggregate(tokens, start, step, lambda state: state["calls"])).alias("call"))
+    shapes = calls.select(*keys, "call.name", F.size("call.kinds").cast("long").alias("arity"), F.array_join("call.kinds", ",").alias("kinds"))
     return shapes.groupBy(*keys, "name", "arity", "kinds").agg(F.count("*").alias("n_calls"))
 
 
@@ -133,6 +209,30 @@ def import_names(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
     ).distinct()
 
 
+def import_usage(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
+    """(keys, module, member, called): the members of imported modules that a text uses, under whatever alias, and whether
+    it calls one.
+
+    A module counts by its first name. Names that are imported from a module count as used; stars and relative modules
+    say nothing. Uses are read once for all aliases of a text, and joined to them by name.
+    """
+    names = import_names(docs, keys=keys, text=text).where("module NOT LIKE '.%'").withColumn("module", F.substring_index("module", ".", 1))
+    plain = names.where("name IS NULL").select(*keys, "module", F.when(F.col("alias").contains("."), F.col("module")).otherwise(F.col("alias")).alias("_alias")).distinct()
+    members = names.where("name <> '*'").select(*keys, "module", F.col("name").alias("member"), F.col("alias").alias("_alias")).distinct()
+    # the name is read, what follows is only looked at, so the parts of a.b.c are uses of a and of b
+    of = lambda pattern: [F.regexp_extract_all(text, F.lit(pattern), F.lit(k)) for k in (1, 2, 3)]
+    first, second, bracket = of(r"(?<![A-Za-z0-9_])([A-Za-z_]\w*)(?=[.]([A-Za-z_]\w*)(\s*[(])?)")
+    dotted = docs.select(*keys, F.explode(F.arrays_zip(first.alias("a"), second.alias("m"), bracket.alias("c"))).alias("u"))
+    dotted = dotted.select(*keys, F.col("u.a").alias("_alias"), F.col("u.m").alias("member"), (F.col("u.c") != "").alias("called"))
+    bare = docs.select(*keys, F.explode(F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z0-9_])([A-Za-z_]\w*)\s*(?=[(])"), F.lit(1))).alias("_alias"))
+    found = (
+        dotted.groupBy(*keys, "_alias", "member").agg(F.max("called").alias("called")).join(plain, [*keys, "_alias"]).select(*keys, "module", "member", "called")
+        .unionByName(members.select(*keys, "module", "member", F.lit(False).alias("called")))
+        .unionByName(bare.distinct().join(members, [*keys, "_alias"]).select(*keys, "module", "member", F.lit(True).alias("called")))
+    )
+    return found.groupBy(*keys, "module", "member").agg(F.max("called").alias("called"))
+
+
 def match_names(rows: DataFrame, names: DataFrame, *, row: str, name: str) -> DataFrame:
     """Rows whose text is a name, or begins with it and a space and a slash: the part before `` /`` is joined."""
     own = rows.withColumn("_head", F.regexp_extract(row, "^(.*?)(?: /.*)?$", 1))

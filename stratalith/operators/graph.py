@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sinks.checkpoints import cut
+from ..sinks.checkpoints import cut, kept, release
 
 
 def walk_chain(edges: DataFrame, *, key: str, source: str, target: str, start: str) -> DataFrame:
@@ -16,15 +16,19 @@ def walk_chain(edges: DataFrame, *, key: str, source: str, target: str, start: s
     with the logarithm of the longest walk, whatever its length, and a row holds no path.
     """
     own = edges.select(F.col(key).cast("string").alias("k"), F.coalesce(F.col(source).cast("string"), F.lit(start)).alias("s"), F.col(target).cast("string").alias("t"))
-    step = cut(own.groupBy("k", "s").agg(F.min("t").alias("t")))
+    step = kept(own.groupBy("k", "s").agg(F.min("t").alias("t")))
     jump, span = step.select("k", F.col("s").alias("node"), F.col("t").alias("far")), 1
-    reach = new = cut(step.where(F.col("s") == start).select("k", F.col("s").alias("node"), F.lit(0).alias("hop")))
+    reach = new = kept(step.where(F.col("s") == start).select("k", F.col("s").alias("node"), F.lit(0).alias("hop")))
     while not new.isEmpty():
         far = reach.join(jump, ["k", "node"]).groupBy("k", F.col("far").alias("node")).agg((F.min("hop") + span).alias("hop"))
-        new = cut(far.join(reach, ["k", "node"], "left_anti"))
-        reach = cut(reach.unionByName(new))
+        last, new = new, kept(far.join(reach, ["k", "node"], "left_anti"))
+        old, old_jump, spent = reach, jump, last
+        reach = kept(reach.unionByName(new))
+        live = new.select("k").distinct()  # chains that are walked to their end need no further jumps
         onward = jump.select("k", F.col("node").alias("far"), F.col("far").alias("further"))
-        jump, span = cut(jump.join(onward, ["k", "far"]).select("k", "node", F.col("further").alias("far"))), span * 2
+        jump = kept(jump.join(live, "k", "left_semi").join(onward, ["k", "far"]).select("k", "node", F.col("further").alias("far")))
+        release(old, old_jump, spent)
+        span *= 2
     ends = reach.select("k", F.col("node").alias("t"), F.col("hop").alias("end_hop"))
     walked = step.join(reach.withColumnRenamed("node", "s"), ["k", "s"]).join(ends, ["k", "t"])
     return walked.select(
@@ -32,17 +36,44 @@ def walk_chain(edges: DataFrame, *, key: str, source: str, target: str, start: s
     )
 
 
-def chain_errors(edges: DataFrame, *, key: str, source: str, target: str, start: str) -> DataFrame:
-    """(key, error_code): branch, no-start, cycle or disconnected. A key that branches is not said to be
-    disconnected, as one of its branches alone is walked."""
-    own = edges.select(F.col(key).cast("string").alias(key), F.coalesce(F.col(source).cast("string"), F.lit(start)).alias(source))
+def chain_errors(edges: DataFrame, *, key: str, source: str, target: str, start: str, ordered: bool = False) -> DataFrame:
+    """(key, error_code): branch, no-start, cycle, disconnected or duplicate-target. A key that branches is not said to be
+    disconnected, as one of its branches alone is walked.
+
+    ``ordered``: of a key with several edges, all without a source, the edges are a list of whole states, each of which stands
+    for itself; there only a target that comes twice is wrong.
+    """
+    named = edges.select(F.col(key).cast("string").alias(key), F.col(source).cast("string").alias("_given"), F.col(target).cast("string").alias(target))
+    found = {}
+    if ordered:
+        lists = listed_states(edges, key=key, source=source).select(F.col(key).cast("string").alias(key))
+        states = named.join(lists, key, "left_semi")
+        found["duplicate-target"] = states.groupBy(key, target).agg(F.count("*").alias("n")).where("n > 1").select(key).distinct()
+        named = named.join(lists, key, "left_anti")
+        edges = named.select(key, F.col("_given").alias(source), target)
+    own = named.select(key, F.coalesce(F.col("_given"), F.lit(start)).alias(source))
     walked = walk_chain(edges, key=key, source=source, target=target, start=start)
     branch = own.groupBy(key, source).agg(F.count("*").alias("n")).where("n > 1").select(key).distinct()
     starts = own.groupBy(key).agg(F.count_if(F.col(source) == start).alias("n"))
     apart = own.join(walked.select(key, source), [key, source], "left_anti").join(branch, key, "left_anti").select(key).distinct()
-    found = {"branch": branch, "no-start": starts.where("n = 0").select(key), "cycle": walked.where("cycle").select(key).distinct(), "disconnected": apart}
+    found |= {"branch": branch, "no-start": starts.where("n = 0").select(key), "cycle": walked.where("cycle").select(key).distinct(), "disconnected": apart}
     parts = [part.select(key, F.lit(code).alias("error_code")) for code, part in found.items()]
-    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.union(part)
+    return whole
+
+
+def listed_states(edges: DataFrame, *, key: str, source: str) -> DataFrame:
+    """(key, n_states) of keys with several edges, none of which has a source: ordered lists of whole states."""
+    return edges.groupBy(key).agg(F.count("*").alias("n_states"), F.count(source).alias("_n")).where("n_states > 1 AND _n = 0").select(key, "n_states")
+
+
+def states_to_apply(edges: DataFrame, *, key: str, source: str, order: str) -> DataFrame:
+    """The edges that bring a key to its newest state: of an ordered list of whole states the last alone, else all."""
+    lists = listed_states(edges, key=key, source=source).select(key)
+    last = edges.join(lists, key, "left_semi").groupBy(key).agg(F.max(order).alias(order))
+    return edges.join(last, [key, order], "left_semi").unionByName(edges.join(lists, key, "left_anti"))
 
 
 def follow_redirects(edges: DataFrame, *, source: str, target: str, most_hops: int = 8) -> DataFrame:

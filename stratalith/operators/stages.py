@@ -8,16 +8,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.checkpoints import checkpointed, stage_digest
+from ..sinks.checkpoints import checkpointed, kept, release, stage_digest
 from .integrity import strict, violations
 
-#: States of a stage, and which of its fields each state has.
+_END = ("finished_at", "result_digest", "error")
+#: States of a stage, and which of its fields each state has and must not have.
 STATE_FIELDS = {
-    "pending": ((), ("started_at", "finished_at", "result_digest", "error")),
-    "running": (("started_at",), ("finished_at", "result_digest", "error")),
-    "succeeded": (("started_at", "finished_at", "result_digest"), ("error",)),
-    "failed": (("started_at", "finished_at", "error"), ("result_digest",)),
-    "interrupted": (("started_at",), ("result_digest",)),
+    "pending": ((), ("input_digest", "started_at", *_END)),
+    "running": (("input_digest", "started_at"), _END),
+    "succeeded": (("input_digest", "started_at", "finished_at", "result_digest"), ("error",)),
+    "failed": (("input_digest", "started_at", "finished_at", "error"), ("result_digest",)),
+    "interrupted": (("input_digest", "started_at", "finished_at", "error"), ("result_digest",)),
 }
 
 
@@ -48,8 +49,14 @@ def run_stages(spark: SparkSession, root: str, first: DataFrame, source: str, st
 
 
 def state_violations(stages: DataFrame, key: list[str]) -> DataFrame:
-    """(key, error_code) for stages whose fields do not fit their state."""
-    checks = {"unknown-state": F.col("state").isin(*STATE_FIELDS)}
+    """(key, error_code) for stages whose fields do not fit their state: a pending one has had no attempt, any other one at
+    least, and of its fields those of STATE_FIELDS."""
+    pending = F.col("state") == "pending"
+    checks = {
+        "unknown-state": F.col("state").isin(*STATE_FIELDS),
+        "pending-with-attempt": ~pending | (F.col("attempt") == 0),
+        "without-attempt": pending | (F.col("attempt") >= 1),
+    }
     for state, (wanted, barred) in STATE_FIELDS.items():
         other = F.col("state") != state
         checks |= {f"{state}-without-{c}": other | F.col(c).isNotNull() for c in wanted}
@@ -71,11 +78,39 @@ def with_missing(dimension: DataFrame, stages: DataFrame, *, on: str, state: str
 
 
 def until_stable(start: DataFrame, step: Callable[[DataFrame], DataFrame], *, most: int) -> tuple[DataFrame, int]:
-    """Repeat a step until it changes no row, ``most`` times at most; the table and the rounds taken."""
-    table = start
+    """Repeat a step until it changes no row, ``most`` times at most; the table and the rounds taken.
+
+    Each round is written, so a step reads one table; two rounds are held against each other by counts of equal rows.
+    """
+    table = kept(start)
     for n in range(most):
-        new = step(table)
-        if new.exceptAll(table).isEmpty() and table.exceptAll(new).isEmpty():
+        new = kept(step(table))
+        sides = table.withColumn("_side", F.lit(-1)).unionByName(new.withColumn("_side", F.lit(1)))
+        differ = sides.groupBy(*start.columns).agg(F.sum("_side").alias("_side")).where("_side <> 0")
+        if differ.isEmpty():
+            release(new)
             return table, n
+        release(table)
         table = new
     raise RuntimeError(f"not stable after {most} rounds")
+
+
+def closure(facts: DataFrame, step: Callable[[DataFrame], DataFrame], *, most: int) -> tuple[DataFrame, int]:
+    """All rows that follow from some facts, and the rounds taken: ``step`` gives what follows from new rows alone.
+
+    Semi-naive: each round works on the rows that the last one added, and what is known is anti-joined, null-safe, so work
+    grows with what is found. Rounds are written. More than ``most`` rounds raise.
+    """
+    known = kept(facts.distinct())
+    new, rounds = known, 0
+    while not new.isEmpty():
+        if rounds == most:
+            raise RuntimeError(f"not closed after {most} rounds")
+        more = step(new).select(*facts.columns).distinct().alias("more")
+        same = [F.col(f"more.{c}").eqNullSafe(F.col(f"known.{c}")) for c in facts.columns]
+        whole = same[0]
+        for s in same[1:]:
+            whole = whole & s
+        new = kept(more.join(known.alias("known"), whole, "left_anti"))
+        known, rounds = kept(known.unionByName(new)), rounds + 1
+    return known, rounds

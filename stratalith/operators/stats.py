@@ -127,11 +127,18 @@ def clipped_seconds(start: Column, end: Column, now: Column) -> Column:
 
 
 def counter_rates(samples: DataFrame, *, keys: list[str], time: Column, counter: str, bucket_seconds: int) -> DataFrame:
-    """Growth of a cumulative counter in each bucket of time: last less first sample, and its rate."""
+    """Growth of a cumulative counter in each bucket of time, its rate, and how often it was reset.
+
+    Growth is the sum of the rises from sample to sample; after a fall the counter began anew from 0, so its value counts
+    whole. Samples are read in order of time, equal times in order of value.
+    """
     at = time.cast("timestamp").cast("long")
-    bucket = (F.floor(at / bucket_seconds) * bucket_seconds).alias("bucket")
-    sums = samples.groupBy(*keys, bucket).agg(
-        F.count("*").alias("n_samples"), (F.max(counter) - F.min(counter)).alias("growth"), (F.max(at) - F.min(at)).alias("seconds")
+    bucket = F.floor(at / bucket_seconds) * bucket_seconds
+    own = samples.select(*keys, bucket.alias("bucket"), at.alias("_at"), F.col(counter).alias("_value"))
+    before = F.lag("_value").over(Window.partitionBy(*keys, "bucket").orderBy("_at", "_value"))
+    own = own.withColumn("_rise", F.when(F.col("_value") < before, F.col("_value")).otherwise(F.col("_value") - before)).withColumn("_reset", F.col("_value") < before)
+    sums = own.groupBy(*keys, "bucket").agg(
+        F.count("*").alias("n_samples"), F.coalesce(F.sum("_rise"), F.sum("_value") * 0).alias("growth"), (F.max("_at") - F.min("_at")).alias("seconds"), F.count_if("_reset").alias("n_resets")
     )
     return sums.withColumn("growth_rate", rate(F.col("growth"), F.col("seconds")))
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import documents, joins, layers, runs, series, stages
+from . import documents, joins, layers, runs, series, stages, usage
 
-MODULES = (layers, runs, series, stages, joins, documents)
+MODULES = (layers, runs, series, stages, joins, documents, usage)
 
 
 def queries() -> dict:

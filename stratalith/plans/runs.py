@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.formats import format_bytes, format_cents, format_duration
-from ..operators import graph, history, planning, report, stats
+from ..operators import graph, history, monitor, planning, report, stats
 from .tables import table
 
 def _cents(column: str):
@@ -43,11 +43,10 @@ def run_rollup(spark, sf_dir):
 
 
 def counter_rates(spark, sf_dir):
-    own = _events(spark, sf_dir).withColumn("bucket_of", F.floor(F.col("t") / 86400))
-    from ..operators.monitor import cumulative
-
-    totals = cumulative(own, key="event_type", time=F.col("t"), tie="event_id", amount=F.col("cents"))
-    return stats.counter_rates(totals, keys=["event_type"], time=F.col("ts"), counter="total", bucket_seconds=86400)
+    """Running totals of each kind of event, on a counter that is reset at two million."""
+    totals = monitor.cumulative(_events(spark, sf_dir), key="event_type", time=F.col("t"), tie="event_id", amount=F.col("cents"))
+    counted = totals.withColumn("total", F.col("total") % 2_000_000)
+    return stats.counter_rates(counted, keys=["event_type"], time=F.timestamp_seconds("t"), counter="total", bucket_seconds=86400)
 
 
 def disk_estimate(spark, sf_dir):
@@ -209,8 +208,9 @@ SQL = {
     "run_rollup": """WITH s AS (SELECT user_id, min(event_id) FILTER (event_type = 'error') AS stop_at FROM events GROUP BY 1)
       SELECT user_id, count(*) FILTER (stop_at IS NULL OR event_id < stop_at) AS completed, count(*) AS n_stages,
       CASE WHEN max(stop_at) IS NULL THEN 'succeeded' ELSE 'error' END AS current_state FROM events JOIN s USING (user_id) GROUP BY 1""",
-    "counter_rates": f"""WITH {_EVENTS}, c AS (SELECT event_type, t, sum(cents) OVER (PARTITION BY event_type ORDER BY t, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS total FROM e),
-      s AS (SELECT event_type, t // 86400 * 86400 AS bucket, count(*) AS n_samples, max(total) - min(total) AS growth, max(t) - min(t) AS seconds FROM c GROUP BY 1, 2)
+    "counter_rates": f"""WITH {_EVENTS}, c AS (SELECT event_type, t, t // 86400 * 86400 AS bucket, sum(cents) OVER (PARTITION BY event_type ORDER BY t, event_id ROWS UNBOUNDED PRECEDING)::BIGINT % 2000000 AS total FROM e),
+      d AS (SELECT *, lag(total) OVER (PARTITION BY event_type, bucket ORDER BY t, total) AS was FROM c),
+      s AS (SELECT event_type, bucket, count(*) AS n_samples, coalesce(sum(CASE WHEN total < was THEN total ELSE total - was END), 0)::BIGINT AS growth, max(t) - min(t) AS seconds, count(*) FILTER (total < was) AS n_resets FROM d GROUP BY 1, 2)
       SELECT *, CASE WHEN seconds > 0 THEN round_even(growth / seconds, 3) END AS growth_rate FROM s""",
     "disk_estimate": """SELECT l_orderkey, sum(greatest(one, other))::BIGINT AS needed FROM (SELECT l_orderkey, l_linestatus,
       sum(round(l_quantity)::BIGINT * 1000)::BIGINT AS one, sum(round(l_extendedprice)::BIGINT)::BIGINT AS other FROM lineitem GROUP BY 1, 2) GROUP BY 1""",

@@ -129,8 +129,7 @@ def chain_faults(spark, sf_dir):
 
 
 def redirect_walk(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").where("c_acctbal >= 0")
-    edges = customers.select(F.col("c_custkey").alias("source"), ((F.col("c_custkey") * 7 + 3) % 200).alias("target"))
+    edges = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("source"), ((F.col("c_custkey") * 7 + 3) % 200).alias("target"))
     return graph.follow_redirects(edges, source="source", target="target")
 
 
@@ -148,7 +147,7 @@ def text_forms(spark, sf_dir):
     text = F.coalesce("text", F.lit(""))
     return table(spark, sf_dir, "documents").select(
         "doc_id",
-        canon.fold_case(F.substring("source", 1, 40)).alias("folded"),
+        canon.fold_case(F.col("source")).alias("folded"),
         canon.percent_encode(F.concat_ws("/", "lang", F.concat(F.lit("a b+"), F.col("source")))).alias("encoded"),
         F.array_join(canon.base64_components(F.concat_ws("/", "lang", "source")), "/").alias("components"),
         canon.prefixed_digest(F.concat_ws("/", "lang", "source")).alias("digest"),
@@ -207,13 +206,13 @@ def overlay_replace(spark, sf_dir):
 
 def signature_families(spark, sf_dir):
     roles = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("r"))
-    shapes = roles.select(F.lit("talk").alias("name"), F.transform(F.slice("r", 1, 4), lambda x: x["role"]).alias("params")).distinct()
+    shapes = roles.select(F.lit("talk").alias("name"), F.transform("r", lambda x: x["role"]).alias("params")).distinct()
     found = evidence.expand_families(shapes, name="name", params="params")
     return found.select("name", F.array_join("short", ",").alias("short"), F.array_join("longer", ",").alias("longer"))
 
 
 def member_owners(spark, sf_dir):
-    """The only nation of those with suppliers whose market segments hold a segment of customers in the red."""
+    """The only brand with a part of the type and size that a name asks for."""
     lines = table(spark, sf_dir, "part")
     modules = lines.groupBy("p_brand").agg(F.collect_set(F.concat_ws("/", "p_type", "p_size")).alias("attributes"))
     members = lines.select(F.col("p_name").alias("name"), F.array(F.concat_ws("/", "p_type", "p_size")).alias("wanted"))
@@ -316,14 +315,14 @@ SQL = {
       SELECT user_id, 'branch' AS error_code FROM b UNION ALL SELECT DISTINCT c.user_id, 'disconnected' FROM c
       WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.user_id = c.user_id AND r.source = c.source) AND c.user_id NOT IN (SELECT user_id FROM b)
       UNION ALL SELECT user_id, 'no-start' FROM c GROUP BY 1 HAVING count(*) FILTER (source = 'start') = 0""",
-    "redirect_walk": """WITH RECURSIVE m AS (SELECT c_custkey AS source, (c_custkey * 7 + 3) % 200 AS target FROM customer WHERE c_acctbal >= 0),
+    "redirect_walk": """WITH RECURSIVE m AS (SELECT c_custkey AS source, (c_custkey * 7 + 3) % 200 AS target FROM customer),
       w AS (SELECT source, target AS place, 1 AS hops, [source, target] AS seen, source = target AS again FROM m
         UNION ALL SELECT w.source, m.target, hops + 1, list_append(seen, m.target), list_contains(seen, m.target) FROM w JOIN m ON m.source = w.place WHERE NOT again AND hops < 9)
       SELECT source, arg_max(place, hops) AS final, max(hops) AS hops, CASE WHEN max(hops) > 8 THEN 'too-many-hops' WHEN bool_or(again) THEN 'cycle' ELSE 'ok' END AS state FROM w GROUP BY 1""",
     "manifest_digest": """WITH l AS (SELECT ts::DATE::VARCHAR AS part, event_id, to_json({event_id: event_id, event_type: event_type, props: props, user_id: user_id,
       value_cents: round(value * 100)::BIGINT})::VARCHAR || chr(10) AS line FROM events)
       SELECT part, count(*) AS records, sha256(string_agg(line, '' ORDER BY event_id)) AS digest FROM l GROUP BY 1""",
-    "text_forms": """SELECT doc_id, lower(substr(source, 1, 40)) AS folded, lang || '/a%20b%2B' || url_encode(source) AS encoded, base64(encode(lang)) || '/' || base64(encode(source)) AS components,
+    "text_forms": """SELECT doc_id, lower(source) AS folded, lang || '/a%20b%2B' || url_encode(source) AS encoded, base64(encode(lang)) || '/' || base64(encode(source)) AS components,
       'sha256:' || sha256(lang || '/' || source) AS digest, regexp_replace(replace(coalesce(text, ''), chr(10), chr(13) || chr(10)), '\\r\\n?', chr(10), 'g') AS lines,
       'token=REDACTED&x=1 https://REDACTED@host/' AS redacted, (n_chars % 9)::VARCHAR || '.4 #' || n_chars::VARCHAR AS version,
       CASE WHEN n_chars % 20 <= 1 THEN 0 ELSE least(0.5 * pow(2, least(greatest(n_chars % 20 - 2, 0), 10)), 300) END::DOUBLE AS delay,
@@ -331,13 +330,13 @@ SQL = {
       least(3600, n_chars * greatest(1, ceil(n_chars % 33 / 4)))::DOUBLE AS budget FROM documents""",
     "strict_fields": """SELECT event_id, user_id AS a_long, NULL::BIGINT AS b_long, user_id::VARCHAR AS b_text, NULL::VARCHAR AS c_text,
       strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS utc, NULL::VARCHAR AS no_zone, strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M') AS local,
-      'a,' || event_type || ',arg3,' || event_type || '_2,a_2,arg6' AS parameters FROM events""",
+      'a,' || event_type || ',arg2,arg3,arg4,arg5' AS parameters FROM events""",
     "install_chains": "SELECT user_id, count(*) FILTER (event_type = 'signup') AS n_wanted FROM events GROUP BY 1 HAVING n_wanted <> 1",
     "stale_stages": """SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN 'succeeded' WHEN user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase') THEN 'running' ELSE 'interrupted' END AS state FROM events""",
     "resume_choices": """SELECT o_orderkey AS key, CASE WHEN o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED') THEN 'restart' WHEN o_orderstatus <> 'P' AND o_custkey % 10 = 7 THEN 'restart' ELSE 'resume' END AS decision FROM orders""",
     "overlay_replace": """WITH o AS (SELECT DISTINCT s_nationkey AS nation, 'BUILDING' AS kind FROM supplier WHERE s_acctbal < 0), b AS (SELECT DISTINCT c_nationkey AS nation, c_mktsegment AS kind FROM customer)
       SELECT nation, kind, 'locale' AS value, 1 AS layer FROM o UNION ALL SELECT nation, kind, 'base', 0 FROM b WHERE (nation, kind) NOT IN (SELECT (nation, kind) FROM o)""",
-    "signature_families": """WITH r AS (SELECT conv_id, list(role ORDER BY turn, role)[:4] AS p FROM conversations GROUP BY 1), d AS (SELECT DISTINCT p FROM r)
+    "signature_families": """WITH r AS (SELECT conv_id, list(role ORDER BY turn, role) AS p FROM conversations GROUP BY 1), d AS (SELECT DISTINCT p FROM r)
       SELECT 'talk' AS name, array_to_string(a.p, ',') AS short, array_to_string(b.p, ',') AS longer FROM d a JOIN d b ON len(b.p) > len(a.p) AND b.p[:len(a.p)] = a.p""",
     "member_owners": """WITH a AS (SELECT DISTINCT p_brand, p_type || '/' || p_size::VARCHAR AS m FROM part), n AS (SELECT DISTINCT p_name AS name, p_type || '/' || p_size::VARCHAR AS m FROM part),
       h AS (SELECT name, count(DISTINCT p_brand) AS k, min(p_brand) AS b FROM n JOIN a ON a.m = n.m GROUP BY 1) SELECT name, CASE WHEN k = 1 THEN b END AS owner FROM h""",

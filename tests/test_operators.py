@@ -269,6 +269,7 @@ def test_stages_are_kept_and_checked(spark, tmp_path):
 def test_stage_states(spark):
     data = [("r", "a", "succeeded", "t", "t", "d", None), ("r", "b", "running", "t", None, None, None), ("s", "a", "failed", "t", "t", "d", None), ("s", "b", "odd", None, None, None, None)]
     table = spark.createDataFrame(data, "run string, stage string, state string, started_at string, finished_at string, result_digest string, error string")
+    table = table.withColumn("attempt", F.lit(1)).withColumn("input_digest", F.lit("i"))
     found = rows(stages.state_violations(table, ["run", "stage"]), "run", "stage", "error_code")
     assert found == [("s", "a", "failed-with-result_digest"), ("s", "a", "failed-without-error"), ("s", "b", "unknown-state")]
     none = spark.createDataFrame([], "run string")
@@ -390,7 +391,7 @@ def test_times_and_parameter_names(spark):
     assert one(formats.utc_text(F.lit("2024-03-31T01:30:00.9+02:00"))) == "2024-03-30T23:30:00Z"
     assert one(formats.utc_text(F.lit("2024-03-31T01:30:00"))) is None and one(formats.utc_text(F.lit("soon"))) is None
     assert one(formats.local_text(F.lit("2024-07-01T10:00:00Z"), "Europe/Berlin")) == "2024-07-01 12:00"
-    assert one(formats.unique_names(F.array(F.lit("x"), F.lit(""), F.lit("x"), F.lit(None)))) == ["x", "arg2", "x_2", "arg4"]
+    assert one(formats.unique_names(F.array(F.lit("x"), F.lit(""), F.lit("x"), F.lit(None)))) == ["x", "arg1", "arg2", "arg3"]
     assert one(formats.retry_delay(F.lit(40), base=1.0, cap=1e9)) == 1024.0
     assert one(formats.rate(F.lit(5), F.lit(16), 3)) == 0.312
     assert one(canon.crc32_hex(F.lit(b"123456789"))) == "CBF43926"
