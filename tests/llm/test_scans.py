@@ -235,3 +235,13 @@ def test_repeated_rows_are_ranked_in_many_buckets(spark):
     assert pieces.select("turn").distinct().count() >= 250
     got = packing.pack_documents(docs).collect()
     assert len({(r.sequence_id, r.offset) for r in got}) == 2_000
+
+
+def test_rows_that_repeat_are_split(spark, tmp_path):
+    """A third of all rows are one row: shards stay near equal in bytes."""
+    rest = spark.range(2_000).selectExpr("id AS doc_id", "repeat(md5(CAST(id AS STRING)), 1 + CAST(id % 4 AS INT)) AS text")
+    rest.unionByName(spark.range(1_000).selectExpr("CAST(7 AS BIGINT) AS doc_id", "repeat('one text ', 14) AS text")).write.parquet(f"{tmp_path}/documents.parquet")
+    found = histogram_shards.op9_histogram_shards(spark, str(tmp_path))
+    got = found.groupBy("shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.max("slot").alias("last"), F.count_distinct("slot").alias("slots")).collect()
+    mean = sum(r.bytes for r in got) / 40
+    assert len(got) == 40 and all(abs(r.bytes - mean) <= 0.001 * mean + 160 and r.n == r.slots == r.last + 1 for r in got)
