@@ -16,7 +16,7 @@ Documents are never shuffled: seeds and items go to the tasks. Items are taken i
 large the benchmark is. No cap is set on documents, items or passages.
 
 Nulls, empties: a null text counts as empty; an item without words, or with a null id, is left out.
-Repeated documents give a row each for each item; items that repeat an id are united as one item each.
+Repeated documents give a row each for each item; the texts of items that repeat an id are items of their own, of which the best counts.
 Returns one row for each document and item found.
 """
 
@@ -187,6 +187,7 @@ def align_passages(docs: DataFrame, seeds, *, id_col: str, text_col: str, least_
             out: list[list] = [[] for _ in arrow]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = hashes.of(words_of(text.as_py()))
+                of_ids: dict[int, tuple] = {}  # an id's texts are items of their own; the best counts
                 for i, spans, n_seeds in seeds.value.passages(own):
                     item = seeds.value.words[i]
                     if i not in counted:
@@ -204,8 +205,11 @@ def align_passages(docs: DataFrame, seeds, *, id_col: str, text_col: str, least_
                         score, lo, hi = known[at]
                         best = max(best, (score, start + lo, start + hi))
                     if best[0] >= least_score:
-                        for column, value in zip(out, (key, seeds.value.keys[i], *best, n_seeds), strict=True):
-                            column.append(value)
+                        item_id = seeds.value.keys[i]
+                        of_ids[item_id] = max(of_ids.get(item_id, (0.0,)), (*best, n_seeds))
+                for item_id, best in of_ids.items():
+                    for column, value in zip(out, (key, item_id, *best), strict=True):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow)
 
     return in_batches(docs.select(id_col, text_col)).mapInArrow(run, schema)
@@ -230,10 +234,8 @@ def find_contamination(
     found = None
     for block in range(blocks):
         rows = own.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).distinct().collect()
-        texts: dict[int, list[bytes]] = {}
-        for r in sorted(rows):
-            texts.setdefault(r["item"], []).extend(words_of(r["words"]))
-        seeds = context.broadcast(Seeds([(k, w) for k, w in texts.items() if w]))
+        texts = [(r["item"], words_of(r["words"])) for r in sorted(rows)]
+        seeds = context.broadcast(Seeds([(k, w) for k, w in texts if w]))
         part = materialize(align_passages(docs, seeds, id_col=id_col, text_col=text_col, least_score=least_score), "contamination")
         found = part if found is None else found.unionByName(part)
     return found

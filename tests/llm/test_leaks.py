@@ -20,3 +20,10 @@ def test_each_fourth_word_changed(spark):
     item = [f"word{k}" for k in range(40)]
     copy = " ".join("changed" if k % 4 == 3 else w for k, w in enumerate(item))
     assert set(found(spark, item, copy, 3)) == {0, 1, 2}
+
+
+def test_texts_of_one_item_id_are_items_of_their_own(spark):
+    short, long = [f"a{k}" for k in range(10)], [f"b{k}" for k in range(30)]
+    docs = spark.createDataFrame([(1, "x " + " ".join(short) + " y"), (2, " ".join(long)), (3, " ".join(short + long)), (4, "none of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(short)), (1, " ".join(long)), (1, " ".join(long)), (2, "")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.score) for r in find_contamination(docs, items).collect()) == [(1, 1, 1.0), (2, 1, 1.0), (3, 1, 1.0)]
