@@ -342,22 +342,25 @@ def held_out(id_col: str) -> F.Column:
 
 
 def train_on(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Model | None:
-    """A model from the labelled documents outside the held-out fold, ``rows`` at most."""
+    """A model from the labelled documents outside the held-out fold, ``rows`` labels and TRAIN_BYTES of their texts at most.
+
+    Rows that repeat a label's text count once. In the order of the sample a text that would pass the bytes is left out,
+    and those behind it are not."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("labelled")).agg(F.max(label_col).alias("label"))
     # sorted by hash: a sample of the labels that does not depend on how they are stored
     known = known.orderBy(F.xxhash64("labelled"), "labelled").limit(rows)
-    own = docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("words")).where("words IS NOT NULL")
+    own = docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("words")).where("words IS NOT NULL").distinct()
     found = own.join(F.broadcast(known), "labelled").select("labelled", "words", "label", F.xxhash64("labelled", "words").alias("at"))
     found = materialize(found, "labelled-texts")
     sizes = found.groupBy("at").agg(F.sum(F.octet_length("words")).alias("n")).orderBy("at").collect()  # at most a row for each label
-    total, last = 0, None
+    total, fit = 0, []
     for r in sizes:
-        total += r["n"]
-        if total > TRAIN_BYTES:
-            break
-        last = r["at"]
-    taken = found.where(F.col("at") <= last).select("words", "label").collect() if last is not None else []
+        if total + r["n"] <= TRAIN_BYTES:
+            total += r["n"]
+            fit.append((r["at"],))
+    chosen = docs.sparkSession.createDataFrame(fit, "at long")
+    taken = found.join(F.broadcast(chosen), "at", "left_semi").select("words", "label").collect()
     discard(found)
     taken.sort()
     texts, own_labels = [r["words"] for r in taken], [r["label"] for r in taken]

@@ -324,3 +324,17 @@ def test_empty_tables(spark, tmp_path, run):
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert run(spark, str(tmp_path)).collect() == []
+
+
+def test_a_repeated_label_does_not_silence_the_others(spark, monkeypatch):
+    """A text that would pass the bytes for training is left out, copies of a row count once, and the others are learnt."""
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 20_000)
+    clean, bad = "the house stands by the river and the road", "you are a stupid worthless zzidiot"
+    rows = [(k, f"{clean} {k}. {bad if k % 2 else clean} {k}.") for k in range(120)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = plain.unionByName(plain.where("doc_id = 4").crossJoin(spark.range(700).select()))
+    huge = plain.where("doc_id <> 6").unionByName(spark.createDataFrame([(6, clean * 2000)], "doc_id long, text string"))
+    for table in (docs, huge):
+        scored = toxicity.score_toxicity(plain, toxicity.train_on(table, labels)).collect()
+        assert sum((r.score >= toxicity.THRESHOLD) == bool(r.doc_id % 2) for r in scored) >= 110
