@@ -76,7 +76,7 @@ def number_leaves(rows: DataFrame) -> DataFrame:
     (the group's rows), of rows with group, id and digest."""
     order = ["_group", F.col("id").asc_nulls_first(), "digest", "_salt"]
     own = rows.withColumn("_group", F.coalesce(F.concat(F.lit("1"), "group"), F.lit("0")))
-    own = own.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))  # parts equal rows
+    own = materialize(own.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id())), "digests")  # parts equal rows
     placed = own.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
     within = Window.partitionBy("_part", "_group").orderBy(*order[1:])
     placed = materialize(placed.withColumn("_within", F.row_number().over(within) - 1).drop("_salt"), "placed")
@@ -89,7 +89,7 @@ def number_leaves(rows: DataFrame) -> DataFrame:
     trees = small_side(rows.sparkSession.createDataFrame(groups, "_group string, tree long"))
     found = placed.join(small_side(counts.join(trees, "_group")), ["_part", "_group"])
     leaves = materialize(found.select(*rows.columns, "tree", (F.col("_before") + F.col("_within")).alias("i"), "n"), "leaves")
-    discard(placed, counts)
+    discard(own, placed, counts)
     return leaves
 
 
