@@ -350,8 +350,8 @@ def train_on(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     known = known.groupBy(F.col(id_col).alias("labelled")).agg(F.max(label_col).alias("label"))
     # sorted by hash: a sample of the labels that does not depend on how they are stored
     known = known.orderBy(F.xxhash64("labelled"), "labelled").limit(rows)
-    own = docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("words")).where("words IS NOT NULL").distinct()
-    found = own.join(F.broadcast(known), "labelled").select("labelled", "words", "label", F.xxhash64("labelled", "words").alias("at"))
+    own = docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("words")).where("words IS NOT NULL")
+    found = own.join(F.broadcast(known), "labelled").select("labelled", "words", "label", F.xxhash64("labelled", "words").alias("at")).distinct()
     found = materialize(found, "labelled-texts")
     sizes = found.groupBy("at").agg(F.sum(F.octet_length("words")).alias("n")).orderBy("at").collect()  # at most a row for each label
     total, fit = 0, []
