@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import canon, paths
-from ..operators import convert, evidence, graph, stages
+from ..operators import convert, digest_tree, evidence, graph, stages
 from .runs import _EVENTS, _events
 from .tables import table
 
@@ -91,7 +91,18 @@ def archive_names(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (call_usage, import_usage, overload_choice, stage_faults, chain_states, reachable, archive_names)}
+def manifest_changes(spark, sf_dir):
+    """Orders against a later state of them, in which urgent ones are open and cheap ones are gone."""
+    was = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.round("o_totalprice").cast("long").alias("price"))
+    now = table(spark, sf_dir, "orders").where("o_totalprice >= 20000").select(
+        "o_orderkey", F.when(F.col("o_orderpriority") == "1-URGENT", "O").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), F.round("o_totalprice").cast("long").alias("price")
+    )
+    columns, buckets = ["o_orderstatus", "price"], digest_tree.tree_buckets(was.count())
+    trees = tuple(digest_tree.digest_tree(t, key="o_orderkey", columns=columns, buckets=buckets) for t in (was, now))
+    return digest_tree.differing_lines(was, now, trees, key="o_orderkey", columns=columns, buckets=buckets)
+
+
+QUERIES = {f.__name__: f for f in (call_usage, import_usage, overload_choice, stage_faults, chain_states, reachable, archive_names, manifest_changes)}
 
 _K = "['int', 'float', 'str', 'Any']"
 _BITS = "flatten(list_transform(str_split(stem, ''), lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]))::BIGINT[]"
@@ -140,4 +151,5 @@ SQL = {
       SELECT page_id, name, name NOT IN ('', '/') AND NOT contains(name, '\\') AND len(list_filter(parts, lambda s: s IN ('', '.', '..'))) = 0 AND page_id % 5 <> 0 AND NOT contains(name, chr(9)) AS safe,
         len(whole) > 2 AND whole[-3] = 'x' AND whole[-2] = 'mods' AS inside, 'lib-' || page_id || CASE WHEN page_id % 2 = 0 THEN '' ELSE '-0.9' END AS bundle,
         CASE WHEN page_id % 3 = 0 THEN 'zip' WHEN page_id % 4 = 0 THEN 'seven-zip' ELSE 'unknown' END AS container, page_id % 2 <> 0 AND page_id % 3 = 0 AS failed, printf('%08X', {_CRC}) AS crc32 FROM b""",
+    "manifest_changes": """SELECT o_orderkey, CASE WHEN o_totalprice < 20000 THEN 'missing' ELSE 'changed' END AS state FROM orders WHERE o_totalprice < 20000 OR (o_orderpriority = '1-URGENT' AND o_orderstatus <> 'O')""",
 }
