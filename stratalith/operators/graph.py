@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sinks.checkpoints import cut, kept, release
+from ..sinks.checkpoints import kept, release
 
 
 def walk_chain(edges: DataFrame, *, key: str, source: str, target: str, start: str) -> DataFrame:
@@ -83,13 +83,15 @@ def follow_redirects(edges: DataFrame, *, source: str, target: str, most_hops: i
     holds its walk of ``most_hops`` + 1 places at most; each round puts walks behind walks, so their length
     doubles. Of several targets of a source the smallest is taken.
     """
-    walks = cut(edges.groupBy(F.col(source).alias("src")).agg(F.min(target).alias("t")).select("src", F.array("src", "t").alias("path")))
+    walks = kept(edges.groupBy(F.col(source).alias("src")).agg(F.min(target).alias("t")).select("src", F.array("src", "t").alias("path")))
     reach = 1
     while reach <= most_hops:
         onward = walks.select(F.col("src").alias("at"), F.slice("path", 2, most_hops + 1).alias("more"))
         both = walks.withColumn("at", F.element_at("path", -1)).join(onward, "at", "left")
         longer = F.slice(F.concat("path", F.coalesce("more", F.slice("path", 1, 0))), 1, most_hops + 2)
-        walks, reach = cut(both.select("src", longer.alias("path"))), reach * 2
+        longer = kept(both.select("src", longer.alias("path")))
+        release(walks)
+        walks, reach = longer, reach * 2
     seen_again = F.expr("get(filter(sequence(1, size(path) - 1), i -> array_position(path, path[i]) <= i), 0)")
     placed = walks.withColumn("again", seen_again).withColumn("hops", F.least(F.coalesce("again", F.size("path") - 1), F.lit(most_hops + 1)))
     state = F.when(F.col("hops") > most_hops, "too-many-hops").when(F.col("again").isNotNull(), "cycle").otherwise("ok")

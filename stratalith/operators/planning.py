@@ -8,7 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sinks.checkpoints import cut
+from ..sinks.checkpoints import kept
 
 
 def match_branch(rows: DataFrame, matches: DataFrame, *, key: str, labels: tuple[str, str, str] = ("none", "single", "ambiguous")) -> DataFrame:
@@ -29,7 +29,7 @@ def rank_over_all(rows: DataFrame, order: list[Column], *, rough: Column) -> Dat
     whole = [rough.asc(), *order]
     placed = rows.repartitionByRange(*whole).withColumn("_part", F.spark_partition_id())
     within = Window.partitionBy("_part").orderBy(*whole)
-    ranked = cut(placed.withColumn("_within", F.row_number().over(within) - 1))
+    ranked = kept(placed.withColumn("_within", F.row_number().over(within) - 1))
     counts = ranked.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

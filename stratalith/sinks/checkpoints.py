@@ -27,20 +27,6 @@ def checkpointed(spark: SparkSession, root: str, digest: str, compute: Callable[
     return spark.read.parquet(path), reused
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The table without its lineage, kept in the folder of ``spark.checkpoint.dir``; one of our own only where
-    none is set, on one machine."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not where:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-            where = tempfile.mkdtemp(prefix="stratalith-")
-        context.setCheckpointDir(where)
-    return df.checkpoint()
-
-
 def kept(df: DataFrame) -> DataFrame:
     """The table, written beside the checkpoints and read back: rows and ids made by place stay as they are.
 

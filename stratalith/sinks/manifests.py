@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.canon import canonical_json
-from .checkpoints import cut
+from .checkpoints import kept
 
 
 #: Lines that a part of a manifest holds at most.
@@ -118,7 +118,7 @@ def put_blobs(blobs: DataFrame, path: str, *, content: str) -> DataFrame:
     own.write.partitionBy("prefix").parquet(batch)
     added = spark.read.parquet(batch)
     added.write.mode("append").partitionBy("prefix").parquet(path)
-    digests = cut(added.select("digest"))
+    digests = kept(added.select("digest"))
     incoming = spark._jvm.org.apache.hadoop.fs.Path(batch)
     incoming.getFileSystem(spark._jsc.hadoopConfiguration()).delete(incoming, True)
     return digests
