@@ -186,9 +186,10 @@ def call_shapes(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
         return F.struct(new_stack.alias("stack"), F.when(closes & top["name"].isNotNull(), done).otherwise(calls).alias("calls"))
 
     tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
-    calls = docs.select(*keys, F.explode(F.aggregate(tokens, start, step, lambda state: state["calls"])).alias("call"))
-    shapes = calls.select(*keys, "call.name", F.size("call.kinds").cast("long").alias("arity"), F.array_join("call.kinds", ",").alias("kinds"))
-    return shapes.groupBy(*keys, "name", "arity", "kinds").agg(F.count("*").alias("n_calls"))
+    texts = docs.groupBy(*keys, text).agg(F.count("*").alias("_n"))  # equal texts are read once
+    calls = texts.select(*keys, "_n", F.explode(F.aggregate(tokens, start, step, lambda state: state["calls"])).alias("call"))
+    shapes = calls.select(*keys, "_n", "call.name", F.size("call.kinds").cast("long").alias("arity"), F.array_join("call.kinds", ",").alias("kinds"))
+    return shapes.groupBy(*keys, "name", "arity", "kinds").agg(F.sum("_n").alias("n_calls"))
 
 
 def import_names(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
