@@ -6,8 +6,8 @@ in brackets or ``dot`` as a word, since each kind has one. Regions are cut into
 characters, each window is tagged by Viterbi decoding, and tags of overlapping windows are reconciled over the
 whole document: each character takes its tag from the window in which it stands farthest from an edge. Runs of
 tags that overlap no pattern's span are added if they hold what their kind cannot do without (``complete``):
-mail addresses and internet addresses with marks spelled out or spaced, numbers that look like cards whatever
-their separators and check digit, phone numbers without a country's code.
+mail addresses and internet addresses with marks spelled out or spaced, cards whatever their separators if their
+check digit holds, phone numbers without a country's code.
 
 The network is trained in numpy from labelled spans: regions of a bounded sample of documents (``TRAIN_DOCS``),
 in which what the patterns find is labelled as it stands and written anew in other ways, and spans made up in
@@ -38,8 +38,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: from each, and characters of a region.
 WIDTH, STEP, CONTEXT, TRAIN_DOCS, DRAWN, REGION = 64, 40, 24, 12_000, 2, 240
 #: Spans made up for training, besides those of the sample.
-MADE_UP = 4_000
-HIDDEN, EPOCHS, BATCH, RATE = 16, 12, 192, 0.03
+MADE_UP = 6_000
+HIDDEN, EPOCHS, BATCH, RATE = 16, 12, 128, 0.03
 #: Windows that are tagged at once.
 TAGGED = 1024
 
@@ -264,6 +264,11 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
 # --- training windows ------------------------------------------------------------------------------
 
 
+def with_check_digit(digits: str) -> str:
+    """The digits with the last one changed so that their Luhn sum holds."""
+    return next(number for d in "0123456789" if luhn((number := digits[:-1] + d).encode()))
+
+
 def spelled(kind: int, rng: np.random.Generator) -> str:
     """A span of a kind with random letters and digits, written in one of many ways."""
     pick = lambda *ways: ways[rng.integers(len(ways))]
@@ -280,8 +285,9 @@ def spelled(kind: int, rng: np.random.Generator) -> str:
         return pick(".", " . ", "[.]", "(.)", " dot ", "[dot]").join(map(str, rng.integers(0, 256, 4)))
     if kind == 2:
         mark = pick("", "", " ", "-", ".", "/", "  ", "_", ":")
-        card = digits(16)
-        return mark.join([card[:4], card[4:10], card[10:15]] if rng.integers(5) == 0 else [card[k : k + 4] for k in range(0, 16, 4)])
+        short = rng.integers(5) == 0
+        card = with_check_digit(digits(15 if short else 16))
+        return mark.join([card[:4], card[4:10], card[10:]] if short else [card[k : k + 4] for k in range(0, 16, 4)])
     mark, area, line = pick(" ", "-", "", "/", "."), digits(3), [digits(3), digits(4)]
     code = pick("+", "00") + digits(rng.integers(1, 4))
     return pick(
@@ -371,7 +377,12 @@ def drawn_regions(text: str) -> list[str]:
     """DRAWN of a text's regions, of REGION characters at most, drawn by a hash of the text."""
     found, seed = regions_of(text), zlib.crc32(text.encode("utf-8", "surrogatepass"))
     drawn = sorted({(seed + 7919 * k) % len(found) for k in range(DRAWN)}) if found else []
-    return [text[found[k][0] : min(found[k][1], found[k][0] + REGION)] for k in drawn]
+    cut = []
+    for k in drawn:
+        lo, hi = found[k]
+        lo += seed // 7 % max(1, hi - lo - REGION + 1)  # any part of a longer region
+        cut.append(text[lo : min(hi, lo + REGION)])
+    return cut
 
 
 def window_places(text: str) -> list[tuple[int, int]]:
@@ -390,42 +401,45 @@ def window_places(text: str) -> list[tuple[int, int]]:
 
 
 def complete(kind: int, span: str) -> bool:
-    """Whether a tagged span holds what its kind cannot do without."""
+    """Whether a tagged span holds what its kind cannot do without; a card's check digit is one of these."""
     if kind == 0:
         parts = re.split(r"@|\bat\b", span, maxsplit=1, flags=re.IGNORECASE)
         return len(parts) == 2 and all(any(map(str.isalpha, p)) for p in parts) and ("." in parts[1] or "dot" in parts[1].lower())
     numbers = re.findall(r"[0-9]+", span)
     if kind == 1:
         return len(numbers) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in numbers)
+    if kind == 2 and not luhn("".join(numbers).encode()):
+        return False
     return (12 if kind == 2 else 7) <= sum(map(len, numbers)) <= (19 if kind == 2 else 16) and not any(map(str.isalpha, span))
 
 
 def tagged_spans(texts: list[str], net: Network) -> list[list[tuple[int, int, int]]]:
-    """Spans of each text by the network, reconciled over its windows."""
+    """Spans of each text by the network, reconciled over all its windows, however many are tagged at once.
+
+    A character's tag is that of the window in which it stands farthest from an edge, the first of equals."""
     places = [(i, lo, hi) for i, text in enumerate(texts) for lo, hi in window_places(text)]
     classes = {i: classes_of(texts[i]) for i in {i for i, _, _ in places}}
-    # of each text the tag of each character in a window, and how far it stood from the edge
-    best: dict[int, dict[int, tuple[int, int]]] = {i: {} for i in classes}
+    tags = np.zeros((len(places), WIDTH), np.int8)
     for at in range(0, len(places), TAGGED):
         part = places[at : at + TAGGED]
         x = np.zeros((len(part), WIDTH), np.int16)
         for row, (i, lo, hi) in enumerate(part):
             x[row, : hi - lo] = classes[i][lo:hi]
-        tags = net.decode(x)
-        for row in np.flatnonzero(tags.any(axis=1)).tolist() if len(part) else []:
-            i, lo, hi = part[row]
-            for k in range(hi - lo):
-                depth = min(k if lo else WIDTH, hi - lo - 1 - k if hi < len(texts[i]) else WIDTH)
-                seen = best[i].get(lo + k)
-                if seen is None or depth > seen[0]:
-                    best[i][lo + k] = (depth, int(tags[row, k]))
-        # a window without tags speaks for its characters too
-        for row in np.flatnonzero(~tags.any(axis=1)).tolist():
-            i, lo, hi = part[row]
-            for k in [k for k in range(hi - lo) if lo + k in best[i]]:
-                depth = min(k if lo else WIDTH, hi - lo - 1 - k if hi < len(texts[i]) else WIDTH)
-                if depth > best[i][lo + k][0]:
-                    best[i][lo + k] = (depth, 0)
+        tags[at : at + len(part)] = net.decode(x)
+    # a window overlaps the one before and the one after alone; those without tags speak for their characters too
+    spoken = tags.any(axis=1)
+    spoken[:-1] |= spoken[1:].copy()
+    spoken[1:] |= spoken[:-1].copy()
+    # of each text the tag of each character in such a window, and how far it stood from the edge
+    best: dict[int, dict[int, tuple[int, int]]] = {i: {} for i in classes}
+    for row in np.flatnonzero(spoken).tolist():
+        i, lo, hi = places[row]
+        own = best[i]
+        for k, tag in enumerate(tags[row, : hi - lo].tolist()):
+            depth = min(k if lo else WIDTH, hi - lo - 1 - k if hi < len(texts[i]) else WIDTH)
+            seen = own.get(lo + k)
+            if seen is None or depth > seen[0]:
+                own[lo + k] = (depth, tag)
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for i, found in best.items():
         start = kind = last = None
