@@ -21,10 +21,10 @@ from stratalith.llm.pii import redact, train_network
 from stratalith.llm.simhash import similar_documents
 from stratalith.llm.toxicity import drop_toxic, train_on
 
-#: Near-duplicates share 0.8 or more of their different runs of five words. Candidates agree in one of BANDS bands
-#: of ROWS minimum hashes: a pair at 0.8 is missed with a probability of 0.0035, one at 0.85 with 0.0001; of
-#: pairs at 0.5, a sixth are candidates. Candidates are compared on the runs themselves.
-SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 7
+#: Near-duplicates share 0.8 or more of their different runs of five words. Candidates are found by SimHash fingerprints of
+#: the runs and vantage-point trees: of ROUNDS fingerprints one has a quarter within PART_RADIUS bits and is within RADIUS
+#: bits itself, and all differ in SKETCH_RADIUS bits together. Candidates are compared on the runs themselves.
+SHINGLE, SIMILARITY, ROUNDS, RADIUS, BLOCKS, PART_RADIUS, SKETCH_RADIUS = 5, 0.8, 8, 20, 4, 1, 124
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -40,8 +40,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = similar_documents(
-        docs.select("doc_id", "text"), id_col="doc_id", text_col="text", width=SHINGLE, least=SIMILARITY, bands=BANDS, rows=ROWS
-    )
+        docs.select("doc_id", "text"), id_col="doc_id", text_col="text", width=SHINGLE, least=SIMILARITY, rounds=ROUNDS,
+        radius=RADIUS, blocks=BLOCKS, part_radius=PART_RADIUS, sketch_radius=SKETCH_RADIUS,
+    )
     ids = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min("component_id").alias("component_id"), F.count("*").alias("n"), (F.min("runs_id") != F.max("runs_id")).alias("several")
     )

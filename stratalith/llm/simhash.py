@@ -82,19 +82,11 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprints(docs: DataFrame, *, id_col: str, text_col: str, width: int = SHINGLE, rounds: int = 1, sketch: tuple[int, int] | None = None) -> DataFrame:
-    """id and ``fps``: an array of ``rounds`` fingerprints as signed longs. ``sketch`` (width, rounds)
-    adds those of another shingle width behind them."""
+def fingerprints(docs: DataFrame, *, id_col: str, text_col: str, width: int = SHINGLE) -> DataFrame:
+    """id and ``fps``: an array of one fingerprint as a signed long."""
 
     def work(ids: list, texts: list) -> list:
-        made = []
-        for text in texts:
-            out = []
-            for w, n in ((width, rounds), *([sketch] if sketch else [])):
-                hashes = shingle_hashes(text, w)
-                out += [signed(majority_bits(remix(hashes, k))) for k in range(n)]
-            made.append(out)
-        return [ids, made]
+        return [ids, [[signed(majority_bits(shingle_hashes(text, width)))] for text in texts]]
 
     schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, fps array<long>"
     return map_arrow(docs.select(id_col, text_col), work, schema)
@@ -176,11 +168,13 @@ class Forest:
         if not len(a):
             return []
         p, q = self.roots(a), self.roots(b)
+        apart = np.flatnonzero(p != q)
+        a, b, p, q = a[apart], b[apart], p[apart], q[apart]
         key = np.minimum(p, q) * len(self.up) + np.maximum(p, q)
         _, first = np.unique(key, return_index=True)
         first.sort()  # pairs come closest first and are taken so
         made = []
-        for i in first[p[first] != q[first]].tolist():
+        for i in first.tolist():
             x, y = self.root(int(a[i])), self.root(int(b[i]))
             if x != y:
                 self.up[max(x, y)] = min(x, y)
@@ -222,23 +216,23 @@ def links_within(fps: np.ndarray, mask: np.uint64, radius: int, close, forest: F
 
 
 def near_links(
-    classes: DataFrame, *, radius: int = RADIUS, blocks: int = BLOCKS, sketch_from: int | None = None, sketch_radius: int = 0
+    classes: DataFrame, *, radius: int = RADIUS, blocks: int = BLOCKS, part_radius: int | None = None, sketch_radius: int | None = None
 ) -> DataFrame:
     """Links (a, b) between classes (rep long, fps array<long>): a spanning forest of each shard.
 
-    The first ``sketch_from`` fingerprints (all of them if None) each have their trees: a pair is a
-    candidate if one of them is within ``radius``. With a sketch, the pair is linked if all fingerprints
-    from ``sketch_from`` on differ in ``sketch_radius`` bits at most together.
+    Each fingerprint has its trees: a pair is linked if one of them is within ``radius``. With ``part_radius``, that one must
+    have a part within it, too (radius // blocks, which any pair within the radius has on a part, if None). With
+    ``sketch_radius``, all fingerprints of the pair must differ in so many bits at most together.
 
     ``classes`` is read four times: give a table.
     """
     spark = classes.sparkSession
     n = classes.count()
     first = classes.first()
-    columns = 0 if first is None else len(first["fps"]) if sketch_from is None else sketch_from
+    columns = 0 if first is None else len(first["fps"])
     wanted = max(SAMPLE, PER_SHARD * n // SHARD_CLASSES)
     sample = classes.sample(min(1.0, wanted / n), 7).select("fps").collect() if n > SHARD_CLASSES else []
-    part_radius, parts = radius // blocks, masks(blocks)
+    part_radius, parts = radius // blocks if part_radius is None else part_radius, masks(blocks)
     most = max(2, SHARD_CLASSES * len(sample) // max(n, 1))
     rng = np.random.default_rng(7)
     trees = []
@@ -246,7 +240,6 @@ def near_links(
         seen = np.array([r["fps"][column] for r in sample], np.int64).view(np.uint64)
         trees += [(column, k, m, grow(seen, np.uint64(m), part_radius, most, rng)) for k, m in enumerate(parts)]
     sent = spark.sparkContext.broadcast(trees)
-    sketch = sketch_from
     placed_schema = "tree int, leaf int, rep long, fps array<long>"
     placed_arrow = arrow_type(placed_schema)
 
@@ -257,8 +250,7 @@ def near_links(
             width = len(batch.column(1)[0])
             fps = batch.column(1).flatten().to_numpy().reshape(-1, width)
             for t, (column, _, mask, tree) in enumerate(sent.value):
-                # the tree's own fingerprint and the sketch are all that its shards need
-                carried = np.hstack([fps[:, [column]], fps[:, width if sketch is None else sketch :]])
+                carried = fps if sketch_radius is not None else fps[:, [column]]  # a shard needs no others without a sketch
                 for leaf, at in route(np.ascontiguousarray(fps[:, column]).view(np.uint64), tree, np.uint64(mask), part_radius):
                     own = carried[at]
                     offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * own.shape[1])
@@ -274,18 +266,19 @@ def near_links(
     out = arrow_type("a long, b long")
 
     def compare(shard: pa.Table) -> pa.Table:
-        mask = sent.value[shard.column("tree")[0].as_py()][2]
+        column, _, mask, _ = sent.value[shard.column("tree")[0].as_py()]
         reps = shard.column("rep").to_numpy()
         flat = shard.column("fps").combine_chunks()
         flat = flat.flatten().to_numpy().reshape(len(reps), -1).view(np.uint64)
-        own = np.ascontiguousarray(flat[:, 0])
+        own = np.ascontiguousarray(flat[:, column if sketch_radius is not None else 0])
 
         def close(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            apart = np.bitwise_count(own[a][:, None] ^ own[b][None, :])
-            x, y = np.nonzero(apart <= radius)
-            if sketch is None:
+            bits = own[a][:, None] ^ own[b][None, :]
+            apart = np.bitwise_count(bits)
+            x, y = np.nonzero((apart <= radius) & (np.bitwise_count(bits & np.uint64(mask)) <= part_radius))
+            if sketch_radius is None:
                 return x, y, apart[x, y]
-            differ = np.bitwise_count(flat[a[x], 1:] ^ flat[b[y], 1:]).sum(axis=1, dtype=np.int32)
+            differ = np.bitwise_count(flat[a[x]] ^ flat[b[y]]).sum(axis=1, dtype=np.int32)
             near = differ <= sketch_radius
             return x[near], y[near], differ[near]
 
@@ -393,44 +386,25 @@ def verified_links(links: DataFrame, docs: DataFrame, *, id_col: str, text_col:
     return placed.groupBy("part", "one", "other").applyInArrow(compare, "a long, b long")
 
 
-def min_bands(runs: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """A hash for each band of ``rows`` minima of the runs under other orders each; none for no runs."""
-    if not len(runs):
-        return np.zeros(0, np.int64)
-    draw = np.random.default_rng(9)
-    flips = draw.integers(0, 1 << 63, bands * rows, np.uint64) << np.uint64(1)
-    factors = draw.integers(0, 1 << 63, bands * rows, np.uint64) << np.uint64(1) | np.uint64(1)
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(runs), 512):
-        mixed = (runs[at : at + 512, None] ^ flips) * factors
-        least = np.minimum(least, mixed.min(axis=0))
-    keys = np.arange(1, bands + 1, dtype=np.uint64)
-    for column in least.reshape(bands, rows).T:
-        keys = remix(keys ^ column, 1)
-    return keys.view(np.int64)
-
-
-def similar_documents(docs: DataFrame, *, id_col: str, text_col: str, width: int, least: float, bands: int, rows: int) -> DataFrame:
+def similar_documents(docs: DataFrame, *, id_col: str, text_col: str, width: int, least: float, rounds: int, **how) -> DataFrame:
     """component_id for each row: the smallest id reachable over pairs that share ``least`` or more of their
     different runs of ``width`` words; and runs_id, a digest of the set of its runs.
 
-    Documents with equal sets of runs are one class. Classes are candidates if all ``rows`` minima of one of
-    ``bands`` are equal: a pair of similarity s is missed with a probability of (1 - s ** rows) ** bands,
-    wherever its texts differ. Candidates are compared on their runs.
+    Documents with equal sets of runs are one class. A class has ``rounds`` fingerprints of its runs, each run once, under
+    other hashes each; the trees of ``near_links`` find the candidates among them, by its radii. Candidates are compared on
+    their runs.
     """
     import xxhash
 
     def work(ids: list, texts: list) -> list:
         sets = [np.unique(shingle_hashes(t, width)) for t in texts]
-        return [ids, [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [min_bands(s, bands, rows) for s in sets]]
+        return [ids, [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [[signed(majority_bits(remix(s, k))) for k in range(rounds)] for s in sets]]
 
-    sets = map_arrow(docs.select(id_col, text_col), work, f"`{id_col}` {dict(docs.dtypes)[id_col]}, runs_id binary, bands array<long>")
+    sets = map_arrow(docs.select(id_col, text_col), work, f"`{id_col}` {dict(docs.dtypes)[id_col]}, runs_id binary, fps array<long>")
     sets = materialize(sets, "run-sets")
-    classes = sets.groupBy("runs_id", "bands").agg(F.min(id_col).cast("long").alias("rep"), F.count("*").alias("n")).where("rep IS NOT NULL")
+    classes = sets.groupBy("runs_id", "fps").agg(F.min(id_col).cast("long").alias("rep"), F.count("*").alias("n")).where("rep IS NOT NULL")
     classes = materialize(classes, "classes")
-    spread = classes.select("rep", F.explode("bands").alias("band"))
-    first = spread.groupBy("band").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
-    links = spread.join(small_side(first), "band").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    links = near_links(classes, **how)
     found = connected_components(verified_links(links, docs, id_col=id_col, text_col=text_col, width=width, least=least))
     named = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "runs_id", "n", F.coalesce("component_id", "rep").alias("component_id")
