@@ -192,22 +192,37 @@ def call_shapes(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
     return shapes.groupBy(*keys, "name", "arity", "kinds").agg(F.sum("_n").alias("n_calls"))
 
 
+def _imports(text: Column) -> Column:
+    """array<struct<module, name, alias>> of a text's imports."""
+    empty_none = lambda c: F.when(c != "", c)
+
+    def parts(line: Column) -> Column:
+        source = F.regexp_extract(line, "^from\\s+([.A-Za-z0-9_]+)", 1)
+        names = F.split(F.regexp_replace(F.regexp_extract(line, "import\\s+(.*)$", 1), "[()]", ""), ",")
+        return F.transform(
+            names,
+            lambda part: F.struct(
+                source.alias("source"), F.regexp_extract(part, "^\\s*([A-Za-z0-9_.*]+)", 1).alias("first"), F.regexp_extract(part, "\\sas\\s+([A-Za-z0-9_]+)\\s*$", 1).alias("alias")
+            ),
+        )
+
+    lines = F.regexp_extract_all(text, F.lit(r"(?m)^[ \t]*((?:from[ \t]+[.A-Za-z0-9_]+[ \t]+)?import[ \t]+[^\n#;]+)"), F.lit(1))
+    found = F.filter(F.flatten(F.transform(lines, parts)), lambda x: x["first"] != "")
+    return F.transform(
+        found,
+        lambda x: F.struct(
+            F.coalesce(empty_none(x["source"]), x["first"]).alias("module"), F.when(x["source"] != "", x["first"]).alias("name"), F.coalesce(empty_none(x["alias"]), x["first"]).alias("alias")
+        ),
+    )
+
+
 def import_names(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
     """(keys, module, name, alias) of imports: name is null for plain ones; a line each, of several names too."""
-    found = F.explode(F.regexp_extract_all(text, F.lit(r"(?m)^[ \t]*((?:from[ \t]+[.A-Za-z0-9_]+[ \t]+)?import[ \t]+[^\n#;]+)"), F.lit(1)))
-    lines = docs.select(*keys, found.alias("line"))
-    source = F.regexp_extract("line", "^from\\s+([.A-Za-z0-9_]+)", 1)
-    names = F.split(F.regexp_replace(F.regexp_extract("line", "import\\s+(.*)$", 1), "[()]", ""), ",")
-    parts = lines.select(*keys, source.alias("source"), F.explode(names).alias("part"))
-    first, alias = F.regexp_extract("part", "^\\s*([A-Za-z0-9_.*]+)", 1), F.regexp_extract("part", "\\sas\\s+([A-Za-z0-9_]+)\\s*$", 1)
-    rows = parts.select(*keys, "source", first.alias("first"), alias.alias("alias")).where("first <> ''")
-    plain = F.col("source") == ""
-    return rows.select(
-        *keys,
-        F.when(plain, F.col("first")).otherwise(F.col("source")).alias("module"),
-        F.when(~plain, F.col("first")).alias("name"),
-        F.when(F.col("alias") != "", F.col("alias")).otherwise(F.col("first")).alias("alias"),
-    ).distinct()
+    return docs.select(*keys, F.explode(_imports(F.col(text))).alias("x")).select(*keys, "x.module", "x.name", "x.alias").distinct()
+
+
+#: Texts whose imports and uses a task holds.
+TEXTS = 50_000
 
 
 def import_usage(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
@@ -215,23 +230,32 @@ def import_usage(docs: DataFrame, *, keys: list[str], text: str) -> DataFrame:
     it calls one.
 
     A module counts by its first name. Names that are imported from a module count as used; stars and relative modules
-    say nothing. Uses are read once for all aliases of a text, and joined to them by name.
+    say nothing. A text is read once, to rows of what it imports and what it uses; they meet in one group for each alias of a key.
+    Partitions are as many as the texts ask for (TEXTS), so what a task holds does not grow with them.
     """
-    names = import_names(docs, keys=keys, text=text).where("module NOT LIKE '.%'").withColumn("module", F.substring_index("module", ".", 1))
-    plain = names.where("name IS NULL").select(*keys, "module", F.when(F.col("alias").contains("."), F.col("module")).otherwise(F.col("alias")).alias("_alias")).distinct()
-    members = names.where("name <> '*'").select(*keys, "module", F.col("name").alias("member"), F.col("alias").alias("_alias")).distinct()
+    parts = max(1, -(-docs.count() // TEXTS))
+    texts = docs.select(*keys, text).repartition(parts, *keys, text)
+    row = lambda kind, alias, module=None, member=None, called=None: F.struct(
+        F.lit(kind).alias("kind"), alias.alias("_alias"), *((F.lit(None).cast(t) if c is None else c).alias(n) for n, c, t in (("module", module, "string"), ("member", member, "string"), ("called", called, "boolean")))
+    )
+    head = lambda x: F.substring_index(x["module"], ".", 1)
+    named = F.filter("imports", lambda x: ~x["module"].startswith("."))
+    plain = F.transform(F.filter(named, lambda x: x["name"].isNull()), lambda x: row("plain", F.when(x["alias"].contains("."), head(x)).otherwise(x["alias"]), head(x)))
+    members = F.transform(F.filter(named, lambda x: x["name"] != "*"), lambda x: row("member", x["alias"], head(x), x["name"]))
     # the name is read, what follows is only looked at, so the parts of a.b.c are uses of a and of b
     of = lambda pattern: [F.regexp_extract_all(text, F.lit(pattern), F.lit(k)) for k in (1, 2, 3)]
     first, second, bracket = of(r"(?<![A-Za-z0-9_])([A-Za-z_]\w*)(?=[.]([A-Za-z_]\w*)(\s*[(])?)")
-    dotted = docs.select(*keys, F.explode(F.arrays_zip(first.alias("a"), second.alias("m"), bracket.alias("c"))).alias("u"))
-    dotted = dotted.select(*keys, F.col("u.a").alias("_alias"), F.col("u.m").alias("member"), (F.col("u.c") != "").alias("called"))
-    bare = docs.select(*keys, F.explode(F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z0-9_])([A-Za-z_]\w*)\s*(?=[(])"), F.lit(1))).alias("_alias"))
-    found = (
-        dotted.groupBy(*keys, "_alias", "member").agg(F.max("called").alias("called")).join(plain, [*keys, "_alias"]).select(*keys, "module", "member", "called")
-        .unionByName(members.select(*keys, "module", "member", F.lit(False).alias("called")))
-        .unionByName(bare.distinct().join(members, [*keys, "_alias"]).select(*keys, "module", "member", F.lit(True).alias("called")))
+    dotted = F.transform(F.arrays_zip(first.alias("a"), second.alias("m"), bracket.alias("c")), lambda u: row("dotted", u["a"], None, u["m"], u["c"] != ""))
+    bare = F.transform(F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z0-9_])([A-Za-z_]\w*)\s*(?=[(])"), F.lit(1)), lambda u: row("bare", u))
+    rows = texts.select("*", _imports(F.col(text)).alias("imports")).select(*keys, F.explode(F.array_distinct(F.concat(plain, members, dotted, bare))).alias("r")).select(*keys, "r.*")
+    of_kind = lambda kind, *columns: F.collect_set(F.when(F.col("kind") == kind, F.struct(*columns)))
+    met = rows.repartition(parts, *keys, "_alias").groupBy(*keys, "_alias").agg(
+        of_kind("plain", "module").alias("modules"), of_kind("member", "module", "member").alias("members"), of_kind("dotted", "member", "called").alias("uses"), F.max(F.col("kind") == "bare").alias("bare")
     )
-    return found.groupBy(*keys, "module", "member").agg(F.max("called").alias("called"))
+    use = lambda module, member, called: F.struct(module.alias("module"), member.alias("member"), called.alias("called"))
+    through = F.flatten(F.transform("modules", lambda m: F.transform("uses", lambda u: use(m["module"], u["member"], u["called"]))))
+    found = met.select(*keys, F.explode(F.concat(through, F.transform("members", lambda m: use(m["module"], m["member"], F.col("bare"))))).alias("f")).select(*keys, "f.*")
+    return found.repartition(parts, *keys, "module", "member").groupBy(*keys, "module", "member").agg(F.max("called").alias("called"))
 
 
 def match_names(rows: DataFrame, names: DataFrame, *, row: str, name: str) -> DataFrame:

@@ -177,3 +177,14 @@ def test_closure_by_deltas(spark):
     assert sum(seen) == len(reach) and rounds == len(seen)  # each row is worked on once
     with pytest.raises(RuntimeError):
         stages.closure(table, step, most=3)
+
+
+def test_import_usage_splits_by_texts(spark, monkeypatch):
+    """A task holds TEXTS texts; a key of several texts shares its aliases, whatever partition its names lie in."""
+    monkeypatch.setattr(evidence, "TEXTS", 10)
+    rows = [(k, f"import m{k} as x\nfrom p import q as z\nx.a(1)\nx.b\n") for k in range(99)] + [(7, "x.c(2)\nz (3)\n"), (None, "import n\nn.d\n")]
+    found = evidence.import_usage(spark.createDataFrame(rows, "k long, text string"), keys=["k"], text="text")
+    assert found.rdd.getNumPartitions() == 11
+    got = {tuple(r) for r in found.collect()}
+    want = {(k, f"m{k}", m, c) for k in range(99) for m, c in (("a", True), ("b", False))} | {(k, "p", "q", k == 7) for k in range(99)}
+    assert got == want | {(7, "m7", "c", True), (None, "n", "d", False)}
