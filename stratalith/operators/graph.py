@@ -8,15 +8,46 @@ from pyspark.sql import functions as F
 from ..sinks.checkpoints import kept, release
 
 
+#: Edges of a key that one row holds; a key with more is walked by joins.
+SHORT = 64
+
+
 def walk_chain(edges: DataFrame, *, key: str, source: str, target: str, start: str) -> DataFrame:
     """Each edge of the walk from ``start`` in each key, with its hop and whether it closes a cycle.
 
-    A null source counts as the start; of several edges from a source the smallest target is taken. Reach is
-    doubled: what lies within n hops is joined with jumps of n hops, and jumps with themselves, so rounds grow
+    A null source counts as the start; of several edges from a source the smallest target is taken. A key of SHORT
+    edges at most is walked in a row of its own. Of longer ones reach is doubled: what lies within n hops is joined with jumps of n hops, and jumps with themselves, so rounds grow
     with the logarithm of the longest walk, whatever its length, and a row holds no path.
     """
     own = edges.select(F.col(key).cast("string").alias("k"), F.coalesce(F.col(source).cast("string"), F.lit(start)).alias("s"), F.col(target).cast("string").alias("t"))
     step = kept(own.groupBy("k", "s").agg(F.min("t").alias("t")))
+    sizes = step.groupBy("k").agg(F.count("*").alias("n"))
+    longer = kept(sizes.where(F.col("n") > SHORT).select("k"))
+    if longer.isEmpty():
+        walked = _walk_rows(step, start)
+    else:
+        walked = _walk_rows(step.join(longer, "k", "left_anti"), start).unionByName(_walk_joins(step.join(longer, "k", "left_semi"), start))
+    return walked.select(F.col("k").alias(key), F.col("s").alias(source), F.col("t").alias(target), "hop", "cycle")
+
+
+def _walk_rows(step: DataFrame, start: str) -> DataFrame:
+    """(k, s, t, hop, cycle) of the walks of keys whose edges a row can hold."""
+    chains = step.where("k IS NOT NULL AND t IS NOT NULL").groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("s", "t"))).alias("to"))
+
+    def onward(walk, _):
+        goes = F.map_contains_key("to", walk["node"]) & ~F.array_contains(walk["path"], walk["node"])
+        return F.when(goes, F.struct(F.try_element_at("to", walk["node"]).alias("node"), F.array_append(walk["path"], walk["node"]).alias("path"))).otherwise(walk)
+
+    begin = F.struct(F.lit(start).alias("node"), F.array().cast("array<string>").alias("path"))
+    walks = chains.select("k", "to", F.aggregate(F.map_keys("to"), begin, onward, lambda walk: walk["path"]).alias("path"))
+    hops = walks.select("k", "to", "path", F.posexplode("path").alias("at", "s")).withColumn("t", F.try_element_at("to", "s"))
+    back = F.array_position("path", F.col("t"))  # 0 if the target has not been walked from
+    return hops.select("k", "s", "t", (F.col("at") + 1).alias("hop"), ((back > 0) & (back <= F.col("at") + 1)).alias("cycle"))
+
+
+def _walk_joins(step: DataFrame, start: str) -> DataFrame:
+    """The same of keys of any length."""
+    step = kept(step)
     jump, span = step.select("k", F.col("s").alias("node"), F.col("t").alias("far")), 1
     reach = new = kept(step.where(F.col("s") == start).select("k", F.col("s").alias("node"), F.lit(0).alias("hop")))
     while not new.isEmpty():
@@ -31,9 +62,7 @@ def walk_chain(edges: DataFrame, *, key: str, source: str, target: str, start: s
         span *= 2
     ends = reach.select("k", F.col("node").alias("t"), F.col("hop").alias("end_hop"))
     walked = step.join(reach.withColumnRenamed("node", "s"), ["k", "s"]).join(ends, ["k", "t"])
-    return walked.select(
-        F.col("k").alias(key), F.col("s").alias(source), F.col("t").alias(target), (F.col("hop") + 1).alias("hop"), (F.col("end_hop") <= F.col("hop")).alias("cycle")
-    )
+    return walked.select("k", "s", "t", (F.col("hop") + 1).alias("hop"), (F.col("end_hop") <= F.col("hop")).alias("cycle"))
 
 
 def chain_errors(edges: DataFrame, *, key: str, source: str, target: str, start: str, ordered: bool = False) -> DataFrame:
@@ -49,10 +78,10 @@ def chain_errors(edges: DataFrame, *, key: str, source: str, target: str, start:
         lists = listed_states(edges, key=key, source=source).select(F.col(key).cast("string").alias(key))
         states = named.join(lists, key, "left_semi")
         found["duplicate-target"] = states.groupBy(key, target).agg(F.count("*").alias("n")).where("n > 1").select(key).distinct()
-        named = named.join(lists, key, "left_anti")
+        named = kept(named.join(lists, key, "left_anti"))
         edges = named.select(key, F.col("_given").alias(source), target)
     own = named.select(key, F.coalesce(F.col("_given"), F.lit(start)).alias(source))
-    walked = walk_chain(edges, key=key, source=source, target=target, start=start)
+    walked = kept(walk_chain(edges, key=key, source=source, target=target, start=start))
     branch = own.groupBy(key, source).agg(F.count("*").alias("n")).where("n > 1").select(key).distinct()
     starts = own.groupBy(key).agg(F.count_if(F.col(source) == start).alias("n"))
     apart = own.join(walked.select(key, source), [key, source], "left_anti").join(branch, key, "left_anti").select(key).distinct()

@@ -424,3 +424,22 @@ def test_sources_are_retained(spark):
     assert rows(publish.unretained(files, kept, path="path", suffixes=[".pyc", ".mo"]), "path") == [("a.PYC",), ("b.mo",)]
     layers = spark.createDataFrame([("de", 1), (None, 2), (None, 1)], "layer string, n int")
     assert [tuple(r) for r in layers.orderBy(*publish.layer_order(F.col("layer"), [F.col("n")])).collect()] == [(None, 1), (None, 2), ("de", 1)]
+
+
+def test_short_chains_are_walked_in_rows(spark, monkeypatch):
+    """Chains of SHORT edges at most need no rounds of joins; the others' rows are the same as if they were short."""
+    from stratalith.operators import graph
+
+    edges = [("a", None, "1"), ("a", "1", "2"), ("a", "2", "1"), ("a", "9", "8"), ("b", "7", "8"), ("c", "0", "0"), ("d", None, "5"), ("d", "0", "4"), ("d", "4", "6"), (None, None, "1"), ("e", None, None)]
+    edges += [("f", str(i), str(i + 1)) for i in range(70)]
+    table = spark.createDataFrame(edges, "k string, s string, t string")
+    walk = lambda: sorted(tuple(r) for r in graph.walk_chain(table, key="k", source="s", target="t", start="0").collect())
+    rounds = []
+    joins = graph._walk_joins
+    monkeypatch.setattr(graph, "_walk_joins", lambda step, start: rounds.append({r.k for r in step.collect()}) or joins(step, start))
+    mixed = walk()
+    assert rounds == [{"f"}]
+    want = [("a", "0", "1", 1, False), ("a", "1", "2", 2, False), ("a", "2", "1", 3, True), ("c", "0", "0", 1, True), ("d", "0", "4", 1, False), ("d", "4", "6", 2, False)]
+    assert mixed == want + [("f", str(i), str(i + 1), i + 1, False) for i in sorted(range(70), key=str)]
+    monkeypatch.setattr(graph, "SHORT", 0)
+    assert walk() == mixed
