@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import is_allowed_url, is_safe_path, redact_url, url_host
 from ..operators import convert, evidence, integrity, monitor, planning
+from ..sources.archives import BATCH_BYTES, in_batches
 from ..sources.catalogs import list_messages, pack_catalog
 from .runs import _EVENTS, _events
 from .tables import table
@@ -128,11 +129,17 @@ def converter_roundtrip(spark, sf_dir):
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            packed = [pack_catalog({"": "Content-Type: text/plain; charset=UTF-8", f"document {k}": t or ""}) for k, t in zip(keys, batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_pydict({"path": list(map(str, keys)), "content": packed})
-
-    files = docs.mapInArrow(pack, "path string, content binary")
+            paths, packed, size = [], [], 0
+            last = batch.num_rows - 1
+            for i, (k, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+                paths.append(str(k))
+                packed.append(pack_catalog({"": "Content-Type: text/plain; charset=UTF-8", f"document {k}": t.as_py() or ""}))
+                size += len(packed[-1])
+                if i == last or size >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pydict({"path": paths, "content": packed})
+                    paths, packed, size = [], [], 0
+
+    files = in_batches(docs).mapInArrow(pack, "path string, content binary")
     back = list_messages(files).where("message_id <> ''").select(F.col("path").cast("long").alias("doc_id"), F.element_at("texts", 1).alias("read"))
     return docs.join(back, "doc_id").select("doc_id", (F.col("text") == F.col("read")).alias("agrees"))
 

@@ -18,6 +18,18 @@ def read_binaries(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
 
 
+#: Bytes of files that a batch holds, as it is read and as it is told.
+BATCH_BYTES = 4 << 20
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """The table, for mapping in Arrow: its session's batches are bounded by BATCH_BYTES, if they were larger."""
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def explode_binary(files: DataFrame, parse: Callable[[bytes], list[dict]], schema: str) -> DataFrame:
     """Rows of each file by a parser; a file that it refuses gives one row with error_code and nulls."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -29,18 +41,20 @@ def explode_binary(files: DataFrame, parse: Callable[[bytes], list[dict]], schem
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            last = batch.num_rows - 1
+            last, read = batch.num_rows - 1, 0
             for k, (path, content) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+                data = content.as_py() or b""
+                read += len(data)
                 try:
-                    rows += [(path, *(r.get(n) for n in names), None) for r in parse(content.as_py() or b"")]
+                    rows += [(path, *(r.get(n) for n in names), None) for r in parse(data)]
                 except (ValueError, struct.error, zipfile.BadZipFile, UnicodeDecodeError) as error:
                     rows.append((path, *(None for _ in names), f"{type(error).__name__}: {error}"[:200]))
-                if rows and (k == last or len(rows) >= 10_000):
+                if rows and (k == last or len(rows) >= 10_000 or read >= BATCH_BYTES):
                     columns = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
-                    rows = []
+                    rows, read = [], 0
 
-    return files.select("path", "content").mapInArrow(run, out)
+    return in_batches(files.select("path", "content")).mapInArrow(run, out)
 
 
 def zip_entries(data: bytes) -> list[dict]:

@@ -203,3 +203,15 @@ def test_xml_nodes_that_lack_a_field(spark):
     docs = spark.createDataFrame([(1, xml), (2, "<r/>"), (3, "<r><g>")], "id int, xml string")
     found = xml_docs.explode_nodes(docs, xml="xml", keep=["id"], node="/r/g/f", fields={"name": "@n", "size": "size"})
     assert sorted(map(tuple, found.collect())) == [(1, 1, "a", "1"), (1, 2, None, None), (1, 3, "c", None)]
+
+
+def test_files_come_in_bounded_batches(spark):
+    """Files are read in batches of bounded bytes, so a worker's memory does not follow how many or how long they are."""
+    from stratalith.sources import archives, catalogs
+
+    rows = [(str(k), bytearray(catalogs.pack_catalog({"": "", f"m{k}": "x" * 1_500_000}))) for k in range(8)]
+    files = spark.createDataFrame(rows, "path string, content binary").coalesce(1)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    found = catalogs.list_messages(files).where("message_id <> ''")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == archives.BATCH_BYTES
+    assert found.selectExpr("count(*) AS n", "min(length(texts[0])) AS m").first() == (8, 1_500_000)
