@@ -45,14 +45,7 @@ def _is_number(value: object) -> bool:
 
 def _once(value: Column, body: Callable[[Column], Column]) -> Column:
     """The array that ``body`` makes of a value, which is evaluated once however often the body names it."""
-    return F.flatten(F.transform(F.array(value), body))
-
-
-def _is(own: Column, name: str) -> Column:
-    """Whether a value, as bound by ``_Compiler.faults``, is of a kind."""
-    if name == "integer":
-        return own["kind"].isin(*_KINDS["number"]) & (own["number"] == F.floor(own["number"]))
-    return own["kind"].isin(*_KINDS[name])
+    return F.transform(F.array(value), body)[0]
 
 
 class _Compiler:
@@ -67,7 +60,6 @@ class _Compiler:
             return none
         if schema is False:
             return F.array(F.concat(path, F.lit(": not allowed")))
-        kind = F.substring(F.schema_of_variant(value), 1, 3).alias("kind")
         words = set(schema)
         constants = [*schema.get("enum", []), *([schema["const"]] if "const" in schema else [])]
         needed = {
@@ -77,15 +69,37 @@ class _Compiler:
             "items": words & _ARRAY_WORDS,
         }
         forms = {"text": "string", "number": "double", "fields": "map<string,variant>", "items": "array<variant>"}
-        bound = F.struct(value.alias("value"), kind, *((F.try_variant_get(value, "$", t) if needed[c] else F.lit(None).cast(t)).alias(c) for c, t in forms.items()))
-        return _once(bound, lambda own: self._told(schema, own, path))
+        # the schema of an object or array is that of all below it: opened ones are known by their form instead
+        opened = bool(needed["fields"] or needed["items"])
+        asked = needed["text"] or needed["number"] or "type" in words
+        kind = F.substring(F.schema_of_variant(value), 1, 3) if asked and not opened else F.lit(None).cast("string")
+        bound = F.struct(value.alias("value"), kind.alias("kind"), *((F.try_variant_get(value, "$", t) if needed[c] else F.lit(None).cast(t)).alias(c) for c, t in forms.items()))
+
+        def told(own: Column) -> Column:
+            self.opened = opened, bool(needed["fields"]), bool(needed["items"])
+            return self._told(schema, own, path)
+
+        return _once(bound, told)
+
+    def _is(self, own: Column, name: str) -> Column:
+        """Whether a value, as bound by ``faults``, is of a kind."""
+        opened, fields, items = self.opened
+        if fields and name == "object":
+            return own["fields"].isNotNull()
+        if items and name == "array":
+            return own["items"].isNotNull()
+        kind = F.substring(F.schema_of_variant(own["value"]), 1, 3) if opened else own["kind"]
+        if name == "integer":
+            return kind.isin(*_KINDS["number"]) & (own["number"] == F.floor(own["number"]))
+        return kind.isin(*_KINDS[name])
 
     def _told(self, schema: dict, own: Column, path: Column) -> Column:
         none = F.array().cast("array<string>")
         single: list[Column] = []
         parts: list[Column] = []
         value, text, number, fields, items = (own[c] for c in ("value", "text", "number", "fields", "items"))
-        a_text, a_number, an_object, an_array = (_is(own, k) for k in ("string", "number", "object", "array"))
+        a_text, a_number, an_object, an_array = (self._is(own, k) for k in ("string", "number", "object", "array"))
+        kind_of = {k: self._is(own, k) for k in (*_KINDS, "integer")}
 
         def rule(name: str, bad: Column) -> None:
             single.append(F.when(bad, F.concat(path, F.lit(f": {name}"))))
@@ -102,9 +116,9 @@ class _Compiler:
                 continue
             elif word == "type":
                 kinds = [told] if isinstance(told, str) else told
-                fits = _is(own, kinds[0])
+                fits = kind_of[kinds[0]]
                 for k in kinds[1:]:
-                    fits = fits | _is(own, k)
+                    fits = fits | kind_of[k]
                 rule(word, ~fits)
             elif word == "enum":
                 rule(word, ~among(told))
@@ -137,7 +151,8 @@ class _Compiler:
                         inner = self.faults(sub, F.get(items, F.lit(i)), F.concat(path, F.lit(f"[{i}]")))
                         parts.append(F.when(an_array & (F.size(items) > i), inner))
                 else:
-                    each = lambda x, i: F.when(i >= skip, self.faults(told, x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))).otherwise(none)  # noqa: B023, E731
+                    item = lambda x, i: self.faults(told, x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))  # noqa: B023, E731
+                    each = lambda x, i: F.when(i >= skip, item(x, i)).otherwise(none) if skip else item(x, i)  # noqa: B023, E731
                     parts.append(F.when(an_array, F.flatten(F.transform(items, each))))
             elif word in ("minItems", "maxItems"):
                 rule(word, an_array & (F.size(items) < told if word == "minItems" else F.size(items) > told))
@@ -183,8 +198,8 @@ class _Compiler:
 
 def faults(schema: dict, document: Column) -> Column:
     """Sorted faults of a VARIANT document, none if it is valid."""
-    found = _Compiler(schema).faults(schema, document, F.lit("$"))
-    return F.when(document.isNull(), F.array(F.lit("$: not JSON"))).otherwise(F.array_sort(found))
+    found = lambda own: F.sort_array(_Compiler(schema).faults(schema, own, F.lit("$")))
+    return _once(document, lambda own: F.when(own.isNull(), F.array(F.lit("$: not JSON"))).otherwise(found(own)))
 
 
 def json_faults(schema: dict, text: Column) -> Column:
@@ -194,10 +209,14 @@ def json_faults(schema: dict, text: Column) -> Column:
 
 def shape_of(document: Column, shapes: dict[str, dict]) -> Column:
     """The name of the first shape whose schema the document meets; null if it meets none."""
-    name = F.lit(None).cast("string")
-    for key, schema in reversed(shapes.items()):
-        name = F.when(F.size(faults(schema, document)) == 0, key).otherwise(name)
-    return name
+
+    def first(own: Column) -> Column:
+        name = F.lit(None).cast("string")
+        for key, schema in reversed(shapes.items()):
+            name = F.when(F.size(faults(schema, own)) == 0, key).otherwise(name)
+        return name
+
+    return F.transform(F.array(document), first)[0]
 
 
 def by_shape(document: Column, cases: dict[str, tuple[dict, dict[str, Column]]]) -> Column:
