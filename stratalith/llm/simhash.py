@@ -4,15 +4,18 @@ Documents become fingerprints of 64 bits. Two fingerprints within ``radius`` bit
 components are the groups. Equal fingerprints are folded into one class first, whatever its size.
 
 Pairs are found exactly by vantage-point trees. A fingerprint is seen as ``blocks`` parts; a pair within
-``radius`` differs in at most ``radius // blocks`` bits on one part at least. Each part has a tree, on
-the Hamming distance over that part: a vantage point parts fingerprints by their distance at a median;
-those inside that lie within the part's radius of the boundary go to the outer side as well, since by
-the triangle inequality only they can have a partner there. The top levels of the trees are grown from a
-sample of classes (``SAMPLE``, or PER_SHARD for each shard if that is more) and cut all classes into shards,
-with copies of the boundary-overlapping ones; within a shard the tree goes on, down to leaves that are compared
-by XOR. The sample only steers the cut: every class is placed, and no pair is lost whatever the sample was. A
-shard that no vantage point could part is cut into chunks, and each two chunks are compared in a task of their
-own.
+``radius`` differs in at most ``radius // blocks`` bits on one part at least. A part is seen as pieces, one more
+than that radius, so a pair is equal on one piece at least. Each piece has a tree, on the Hamming distance
+over it: a vantage point parts fingerprints by their distance at a median. Two that are equal on the piece are
+never parted, so a class lies in one shard of each tree, however many shards there are. Where no point parts a
+piece any more, the tree goes on over the whole part; those inside that lie within the part's radius of the
+boundary then go to the outer side as well, since by the triangle inequality only they can have a partner there.
+
+The top levels of the trees are grown from a sample of classes (``SAMPLE``, or PER_SHARD for each shard if that is
+more) and cut all classes into shards; only a piece's value that OVERSIZE // 2 shards hold is cut over the part
+there, with copies. Within a shard the tree goes on, down to leaves that are compared by XOR. The sample only
+steers the cut: every class is placed, and no pair is lost whatever the sample was. A shard that no vantage point
+could part is cut into chunks, and each two chunks are compared in a task of their own.
 
 A shard returns a spanning forest of the links that it finds, never all pairs, so a dense group of n
 fingerprints gives n - 1 rows. Components are joined over all shards by contraction in shared tables.
@@ -98,6 +101,13 @@ def masks(blocks: int) -> list[int]:
     return [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
 
 
+def pieces(part: int, radius: int) -> list[int]:
+    """The bits of each piece of a part: two within the radius on it are within ``radius // len(pieces)`` on a piece."""
+    bits = [1 << k for k in range(64) if part >> k & 1]
+    n = min(radius + 1, len(bits))
+    return [sum(bits[len(bits) * k // n : len(bits) * (k + 1) // n]) for k in range(n)]
+
+
 def distance(fps: np.ndarray, point: np.uint64, mask: np.uint64) -> np.ndarray:
     return np.bitwise_count((fps ^ point) & mask)
 
@@ -182,28 +192,27 @@ class Forest:
         return made
 
 
-def links_within(fps: np.ndarray, mask: np.uint64, radius: int, close, forest: Forest, rng: np.random.Generator) -> list[tuple[int, int]]:
+def links_within(fps: np.ndarray, cuts: list[tuple[int, int]], close, forest: Forest, rng: np.random.Generator) -> list[tuple[int, int]]:
     """Forest links among fingerprints of a shard: the tree goes on until leaves are small.
 
-    ``close(a, b)`` gives those of the pairs of places a and b that are linked, and their distances. Of
+    ``cuts`` are (mask, radius): the next is taken where no point parts by the one before. ``close(a, b)`` gives those of the pairs of places a and b that are linked, and their distances. Of
     a leaf's pairs the closest are linked first.
     """
     made: list[tuple[int, int]] = []
-    stack = [np.arange(len(fps))]
+    stack = [(np.arange(len(fps)), 0)]
     while stack:
-        at = stack.pop()
-        if len(at) > LEAF:
-            d = None
-            for point in rng.choice(at, 3, replace=False):
-                d = distance(fps[at], fps[point], mask)
+        at, k = stack.pop()
+        if len(at) > LEAF and k < len(cuts):
+            mask, radius = cuts[k]
+            for point in rng.choice(at, min(3, len(at)), replace=False):
+                d = distance(fps[at], fps[point], np.uint64(mask))
                 edge = boundary(d, radius)
                 if edge is not None:
-                    stack += [at[d <= edge], at[d > edge - radius]]
+                    stack += [(at[d <= edge], k), (at[d > edge - radius], k)]
                     break
             else:
-                d = None
-            if d is not None:
-                continue
+                stack.append((at, k + 1))
+            continue
         for i in range(0, len(at), LEAF):
             for j in range(0, i + 1, LEAF):
                 a, b = at[i : i + LEAF], at[j : j + LEAF]
@@ -232,41 +241,61 @@ def near_links(
     columns = 0 if first is None else len(first["fps"])
     wanted = max(SAMPLE, PER_SHARD * n // SHARD_CLASSES)
     sample = classes.sample(min(1.0, wanted / n), 7).select("fps").collect() if n > SHARD_CLASSES else []
-    part_radius, parts = radius // blocks if part_radius is None else part_radius, masks(blocks)
+    part_radius = radius // blocks if part_radius is None else part_radius
     most = max(2, SHARD_CLASSES * len(sample) // max(n, 1))
     rng = np.random.default_rng(7)
     trees = []
     for column in range(columns):
         seen = np.array([r["fps"][column] for r in sample], np.int64).view(np.uint64)
-        trees += [(column, k, m, grow(seen, np.uint64(m), part_radius, most, rng)) for k, m in enumerate(parts)]
+        for part in masks(blocks):
+            for piece in (own := pieces(part, part_radius)):
+                cuts = [(piece, part_radius // len(own)), (part, part_radius)]
+                top = grow(seen, np.uint64(piece), cuts[0][1], most, rng)
+                # values that hold far too many go on over the part
+                full = {leaf: at for leaf, at in route(seen, top, np.uint64(piece), cuts[0][1]) if len(at) > OVERSIZE // 2 * most}
+                trees.append((column, cuts, top, {leaf: grow(seen[at], np.uint64(part), part_radius, most, rng) for leaf, at in full.items()}))
     sent = spark.sparkContext.broadcast(trees)
-    placed_schema = "tree int, leaf int, rep long, fps array<long>"
-    placed_arrow = arrow_type(placed_schema)
+    placed_schema = "shard long, rep long, fps array<long>"
+    placed_arrow, tally_arrow = arrow_type(placed_schema), arrow_type("shard long, n long")
+
+    def places(fps: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+        """Shards in tree t, and the places of the fingerprints that go there: a shard is named by its tree, leaf and branch."""
+        column, ((piece, reach), (part, beyond)), top, further = sent.value[t]
+        own = np.ascontiguousarray(fps[:, column]).view(np.uint64)
+        shards, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for leaf, at in route(own, top, np.uint64(piece), reach):
+            for branch, among in route(own[at], further.get(leaf), np.uint64(part), beyond):
+                shards.append(np.full(len(among), t << 48 | leaf << 24 | branch))
+                found.append(at[among])
+        return np.concatenate(shards), np.concatenate(found)
+
+    def fps_of(batch: pa.RecordBatch, column: int) -> np.ndarray:
+        return batch.column(column).flatten().to_numpy().reshape(batch.num_rows, -1)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            width = len(batch.column(1)[0])
-            fps = batch.column(1).flatten().to_numpy().reshape(-1, width)
-            for t, (column, _, mask, tree) in enumerate(sent.value):
-                carried = fps if sketch_radius is not None else fps[:, [column]]  # a shard needs no others without a sketch
-                for leaf, at in route(np.ascontiguousarray(fps[:, column]).view(np.uint64), tree, np.uint64(mask), part_radius):
-                    own = carried[at]
-                    offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * own.shape[1])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *(pa.array(np.full(len(at), v, np.int32)) for v in (t, leaf)),
-                            batch.column(0).take(pa.array(at)),
-                            pa.ListArray.from_arrays(offsets, pa.array(own.ravel())).cast(placed_arrow.field(3).type),
-                        ],
-                        schema=placed_arrow,
-                    )
+            fps = fps_of(batch, 1)
+            for t, (column, *_) in enumerate(sent.value):
+                shards, at = places(fps, t)
+                own = (fps if sketch_radius is not None else fps[:, [column]])[at]  # a shard needs no others without a sketch
+                offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * own.shape[1])
+                lists = pa.ListArray.from_arrays(offsets, pa.array(own.ravel())).cast(placed_arrow.field(2).type)
+                yield pa.RecordBatch.from_arrays([pa.array(shards), batch.column(0).take(pa.array(at)), lists], schema=placed_arrow)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                for t in range(len(sent.value)):
+                    shards, counts = np.unique(places(fps_of(batch, 0), t)[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(shards), pa.array(counts.astype(np.int64))], schema=tally_arrow)
 
     out = arrow_type("a long, b long")
 
     def compare(shard: pa.Table) -> pa.Table:
-        column, _, mask, _ = sent.value[shard.column("tree")[0].as_py()]
+        column, cuts, *_ = sent.value[shard.column("shard")[0].as_py() >> 48]
+        part = np.uint64(cuts[1][0])
         reps = shard.column("rep").to_numpy()
         flat = shard.column("fps").combine_chunks()
         flat = flat.flatten().to_numpy().reshape(len(reps), -1).view(np.uint64)
@@ -275,32 +304,33 @@ def near_links(
         def close(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             bits = own[a][:, None] ^ own[b][None, :]
             apart = np.bitwise_count(bits)
-            x, y = np.nonzero((apart <= radius) & (np.bitwise_count(bits & np.uint64(mask)) <= part_radius))
+            x, y = np.nonzero((apart <= radius) & (np.bitwise_count(bits & part) <= part_radius))
             if sketch_radius is None:
                 return x, y, apart[x, y]
             differ = np.bitwise_count(flat[a[x]] ^ flat[b[y]]).sum(axis=1, dtype=np.int32)
             near = differ <= sketch_radius
             return x[near], y[near], differ[near]
 
-        made = links_within(own, np.uint64(mask), part_radius, close, Forest(len(own)), np.random.default_rng(7))
+        made = links_within(own, cuts, close, Forest(len(own)), np.random.default_rng(7))
         pairs = np.array(made, np.int64).reshape(-1, 2)
         return pa.Table.from_arrays([pa.array(reps[pairs[:, 0]]), pa.array(reps[pairs[:, 1]])], schema=out)
 
     placed = classes.select("rep", "fps").mapInArrow(place, placed_schema)
-    sizes = placed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > OVERSIZE * SHARD_CLASSES)
+    if n <= OVERSIZE * SHARD_CLASSES:
+        return placed.groupBy("shard").applyInArrow(compare, "a long, b long")
+    sizes = classes.select("fps").mapInArrow(tally, "shard long, n long").groupBy("shard").agg(F.sum("n").alias("n"))
     # fewer than one for each SHARD_CLASSES classes
-    large = materialize(sizes.select("tree", "leaf", F.ceil(F.col("n") / SHARD_CLASSES).alias("chunks")), "large-shards")
+    large = sizes.where(F.col("n") > OVERSIZE * SHARD_CLASSES).select("shard", F.ceil(F.col("n") / SHARD_CLASSES).alias("chunks"))
+    large = materialize(large, "large-shards")
+    if large.isEmpty():
+        return placed.groupBy("shard").applyInArrow(compare, "a long, b long")
     own = "pmod(xxhash64(rep), chunks)"
     pairs = F.expr(
         f"""CASE WHEN chunks IS NULL THEN array(struct(-1L AS one, -1L AS other)) ELSE transform(filter(sequence(0L, chunks - 1), j -> j <> {own}),
           j -> struct(least(j, {own}) AS one, greatest(j, {own}) AS other)) END"""
     )
-    if not large.isEmpty():
-        placed = placed.join(F.broadcast(large), ["tree", "leaf"], "left").select("tree", "leaf", "rep", "fps", F.explode(pairs).alias("to"))
-    else:
-        placed = placed.withColumn("to", F.struct(F.lit(-1).alias("one"), F.lit(-1).alias("other")))
-    placed = placed.select("tree", "leaf", "to.*", "rep", "fps")
-    return placed.groupBy("tree", "leaf", "one", "other").applyInArrow(compare, "a long, b long")
+    placed = placed.join(F.broadcast(large), "shard", "left").select("shard", "rep", "fps", F.explode(pairs).alias("to"))
+    return placed.select("shard", "to.*", "rep", "fps").groupBy("shard", "one", "other").applyInArrow(compare, "a long, b long")
 
 
 def similar_pairs(at: np.ndarray, runs: np.ndarray, m: int, least: float, forest: Forest) -> list[tuple[int, int]]:
